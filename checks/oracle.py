@@ -114,8 +114,8 @@ def mart_cols(prefixes: list[str]) -> str:
     for p in prefixes:
         base = p.removeprefix("prev_")
         out += [f"{p}_diff", f"{p}_game"]
-        out += [] if base == "d1" else [f"round({p}_win_rate, 6) as {p}_win_rate"]
-        out.append(f"round({p}_payout_rate, 6) as {p}_payout_rate")
+        out += [] if base == "d1" else [f"{p}_win_rate"]
+        out.append(f"{p}_payout_rate")
         out += [f"{p}_days"] if base == "all" else []
     return ", ".join(out)
 
@@ -181,8 +181,12 @@ RATES = ["d3", "d5", "d7", "d28"]
 STRATEGY_WINDOWS = ["d1"] + RATES + ["prev_" + r for r in RATES]
 
 
-def strategy_list(p: str, best: str, worst: str, day: str, special: str, version: str) -> str:
-    """Codes of the matched strategies as a list expression."""
+def strategy_list(p: str, best: str, worst: str, day: str, special: str, version: str, literal: bool = False) -> str:
+    """Codes of the matched strategies as a list expression.
+
+    literal: a strategy matches by its long or its short condition; only the
+    last long condition needs the empty short one.
+    """
     le = "<=" if version == "backtest" else "<"
     w, y = f"{p}d28_win_rate", f"{p}d28_payout_rate"
     longs = {
@@ -203,15 +207,19 @@ def strategy_list(p: str, best: str, worst: str, day: str, special: str, version
         40: special, 41: f"not {special}",
     }
 
-    def codes(conds, lead):
-        return "[" + ", ".join(lead + [f"case when {c} then {k} end" for k, c in conds.items()]) + "]"
+    def holds(k, a, j, b):
+        if not literal:
+            return f"({a}) and ({b})"
+        if k == 14:
+            return a if j == 0 else b
+        return a if j == 0 else f"coalesce({a}, false) or coalesce({b}, false)"
 
     cross = [
-        f"case when ({a}) and ({b}) then {k * 100 + j} end"
+        f"case when {holds(k, a, j, b)} then {k * 100 + j} end"
         for k, a in ({0: "true"} | longs).items()
         for j, b in ({0: "true"} | shorts).items()
     ]
-    tail = [f"case when {c} then {k} end" for k, c in days.items()]
+    tail = [f"case when {'true' if literal else c} then {k} end" for k, c in days.items()]
     return f"list_filter([{', '.join(cross + tail)}], lambda x: x is not null)"
 
 
@@ -282,8 +290,8 @@ def weighted(filter_sql: str = "") -> str:
 def reco(features: str, literal: bool, methods: list[str]) -> str:
     """CTEs up to `scored` of the recommendation."""
     now_p, b, w = ("", "cb", "cw") if features == "current" else ("prev_", "pb", "pw")
-    past = strategy_list("prev_", "pb", "pw", "target_date", special("sp", "target_date"), "recommend")
-    now = strategy_list(now_p, b, w, "next_date", special("sp", "next_date"), "recommend")
+    past = strategy_list("prev_", "pb", "pw", "target_date", special("sp", "target_date"), "recommend", literal)
+    now = strategy_list(now_p, b, w, "next_date", special("sp", "next_date"), "recommend", literal)
     plain = "', '".join(m for m in methods if "filter" not in m)
     filt = "', '".join(m for m in methods if "filter" in m)
     return f"""{mart(STRATEGY_WINDOWS)}, {STUDIES},
@@ -307,13 +315,22 @@ rec as (select *, {EFF} as eff from rec0),
 hits as (select hole, machine, sp, next_date, machine_number, unnest({now}) as strategy from cur),
 joined as (select h.*, r.n, r.days, r.win_rate, r.payout_rate, r.eff from hits h left join rec r using (hole, machine, sp, strategy)),
 inputs as (
-  select hole, machine, sp, next_date, machine_number, unnest(['{plain}']) as method, {weighted()} from joined group by all
+  select hole, machine, sp, next_date, machine_number, unnest(['{plain}']) as method, {weighted()} from joined
+  group by hole, machine, sp, next_date, machine_number
   union all
   select hole, machine, sp, next_date, machine_number, unnest(['{filt}']) as method, {weighted()} from joined
-  where eff >= 0.5 group by all),
+  where eff >= 0.5 group by hole, machine, sp, next_date, machine_number),
 {scores('inputs', 'hole, machine, sp, method', False)}"""
 
 
+def repeats(ctes: str) -> str:
+    """The same with the strategies of the empty short condition listed twice."""
+    again = "{0} as (select * from {0}1 union all select * from {0}1 where strategy % 100 = 0),"
+    ctes = ctes.replace("rec0 as (", again.format("hist") + "\nrec0 as (")
+    ctes = ctes.replace("joined as (", again.format("hits") + "\njoined as (")
+    return ctes.replace("count(*) as match_count", "count(distinct strategy) as match_count")
+
+
 def backtest() -> str:
     """CTEs up to `picks` of the back-test over all days."""
     past = strategy_list("prev_", "pb", "pw", "target_date", special("sp", "target_date"), "backtest")
@@ -429,7 +446,7 @@ agg as (
   select hole, machine, machine_number, sum(diff)::double / count(*) as avg_diff, sum(win)::double / count(*) as win_rate,
     min(date) as date_from, max(date) as date_to, {pay('sum(game)', 'sum(diff)')} as payout_rate
   from ren where game > 0 {{cond}} group by all)"""
-    out = "select hole, machine, machine_number, round(avg_diff, 6) as avg_diff, round(win_rate, 6) as win_rate, date_from, date_to, round(payout_rate, 6) as payout_rate from agg qualify date_to = max(date_to) over (partition by hole, machine_number)"
+    out = "select hole, machine, machine_number, avg_diff, win_rate, date_from, date_to, payout_rate from agg qualify date_to = max(date_to) over (partition by hole, machine_number)"
     add("heatmap_all", heat.format(cond=""), out)
     cond = f"and ('土日' like '%' || {WEEKDAY.format(d=d)} || '%' or '祝日' like '%' || ({day_type(d)}) || '%' or '06' like '%' || (day(date) % 10) || '%' or month(date) = day(date))"
     add("heatmap_special", heat.format(cond=cond), out)
@@ -441,7 +458,7 @@ agg as (
     ]
     union = "\n  union all ".join(f"select {a} as condition_type, {b} as condition_value, * from one where {c}" for a, b, c in fam)
     add("condition_summary", f"{OBS}, one as (select * from obs where game > 0 qualify row_number() over (partition by id {NEWEST}) = 1), spread as ({union})",
-        f"select condition_type, condition_value, hole, machine, min(date) as period_from, max(date) as period_to, count(distinct date) as sample_days, count(*) as sample_units, cast(sum(diff) as bigint) as total_diff, round(sum(diff)::double / count(*), 6) as avg_diff, cast(sum(game) as bigint) as total_game, round(sum(win)::double / count(*), 6) as win_rate, round({pay('sum(game)', 'sum(diff)')}, 6) as payout_rate from spread group by condition_type, condition_value, hole, machine")
+        f"select condition_type, condition_value, hole, machine, min(date) as period_from, max(date) as period_to, count(distinct date) as sample_days, count(*) as sample_units, cast(sum(diff) as bigint) as total_diff, sum(diff)::double / count(*) as avg_diff, cast(sum(game) as bigint) as total_game, sum(win)::double / count(*) as win_rate, {pay('sum(game)', 'sum(diff)')} as payout_rate from spread group by condition_type, condition_value, hole, machine")
 
     # studies
     m = mart(STUDY_WINDOWS)
@@ -483,13 +500,16 @@ from (select *, round(total_score / nullif(max(total_score) over g, 0), 9) as ra
   from scored window g as (partition by hole, machine, sp, method))"""
     add("strategy_recommend", r, final)
     add("strategy_recommend_prev", reco("prev", False, methods), final)
+    add("strategy_recommend_literal", reco("prev", True, methods), final)
+    twice = r.replace("hits as (select", "hits1 as (select").replace("hist as (", "hist1 as (")
+    q["strategy_recommend_repeats"] = f"with {repeats(twice)}\n{final}"
 
     # back-test
     b = backtest()
-    add("backtest_record", b, "select hole, machine, sp as special_day_type, strategy, target_date, cast(n as bigint) as ref_count, days, round(win_rate, 6) as rec_win_rate, round(payout_rate, 6) as rec_payout_rate from rec where (hole, machine, sp, strategy, target_date) in (select (hole, machine, sp, strategy, target_date) from hits)")
+    add("backtest_record", b, "select distinct hole, machine, sp as special_day_type, strategy, target_date, cast(n as bigint) as ref_count, days, round(win_rate, 6) as rec_win_rate, round(payout_rate, 6) as rec_payout_rate, round(eff, 6) as effectiveness from joined where n is not null")
     add("backtest_picks", b, "select hole, machine, sp as special_day_type, method as score_method, target_date, evaluation_date, machine_number, round(total_score, 6) as total_score, rank, round(top1, 6) as top1_score, round(cut, 6) as outlier_threshold, actual_diff, actual_game from picks")
     s = f"{b}, {SUMMARY}"
-    add("backtest_summary", s, "select * from summary")
+    add("backtest_summary", s, "select *, cast(null as varchar) as result_detail from summary")
     keys = "target_hole, target_machine, evaluation_days, special_day_type"
     piv = ["TOP1"] + [f"THRESHOLD_{p}PCT" for p in (95, 96, 97, 98, 99)]
     cells = ", ".join(f"max({c}) filter (where result_key = '{k}') as \"{k}_{c}\"" for k in piv for c in ("win_rate", "payout_rate", "avg_machines_per_day"))
