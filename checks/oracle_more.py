@@ -1,5 +1,150 @@
-"""SQL counterparts: data quality, reconciliation, parsing, maintenance."""
+"""SQL counterparts: data quality, reconciliation, parsing, maintenance, streaming."""
 
+from __future__ import annotations
 
-def build():
-    return {}
+from .oracle import EVENT_ROWS, EVENTS, NEWEST, OBS, OLDEST, UNITS, mart, pay
+
+KEY = "date, hole, machine_number"
+VENUES = """
+venues as (
+  select 'H' || n_nationkey as name, lower(n_name) as code,
+    case n_nationkey % 3 when 0 then 'high' when 1 then 'normal' else 'low' end as priority,
+    'R' || n_regionkey as region, n_nationkey % 5 <> 4 as active, n_nationkey % 4 = 0 as late_update
+  from nation)"""
+STATUS = f"""{OBS}, {VENUES},
+have as (select date, hole, count(*) as rows, max(ts) as last_updated from obs group by all),
+status as (
+  select cast(d as date) as date, v.name as hole, v.region, v.late_update, coalesce(h.rows, 0) as rows, h.last_updated
+  from generate_series(date '1995-01-01', date '2001-12-31', interval 1 day) g(d) cross join venues v
+  left join have h on h.date = cast(d as date) and h.hole = v.name where v.active),
+days as (
+  select date, cast(sum(rows) as bigint) as total_count, count(*) filter (where rows > 0) as acquired_count,
+    count(*) as total_venues, coalesce(bool_and(rows > 0) filter (where late_update), true) as priority_complete,
+    bool_and(rows > 0) as all_complete
+  from status group by all)"""
+FAILURES = """
+failures as (
+  select cast(event_id as varchar) as id, cast(ts as date) as date, 'H' || (user_id % 2) as hole,
+    case when event_id % 4 = 0 then null else 'M' || (event_id % 3) end as machine, ts as failed_at,
+    case event_id % 3 when 0 then 'pending' when 1 then 'resolved' else 'ignored' end as status, event_id
+  from events where event_type = 'error')"""
+CORRECTIONS = """
+fix as (
+  select id, date, hole, machine, machine_number, diff + 1 as diff, game, source, ts + 1000000000 as ts,
+    make_timestamp(ts * 1000000) as corrected_at, 'note ' || ts as notes, l_partkey, l_suppkey, l_extendedprice
+  from obs where l_returnflag = 'R')"""
+STORE = f"store as (select * from obs where l_returnflag <> 'R')"
+
+
+def newest(src: str, key: str = KEY) -> str:
+    return f"select * from {src} qualify row_number() over (partition by {key} {NEWEST}) = 1"
+
+
+def build() -> dict[str, tuple[str, str]]:
+    q = {}
+    q["scan_rows_per_date"] = (OBS, "select date, count(*) as n from obs group by date")
+    q["latest_dates"] = (mart(["d1"]), "select hole, machine, max(target_date) as latest_date from mart group by all")
+    q["collection_status"] = (STATUS, "select * from status")
+    q["collection_days"] = (STATUS, "select * from days")
+    q["collection_summary"] = (STATUS, "select count(*) as total_dates, count(*) filter (where priority_complete) as priority_complete_dates, count(*) filter (where all_complete) as all_complete_dates from days")
+    q["mart_status"] = (mart(["d1"]), """select target_date, hole, case grouping(target_date, hole) when 0 then 'venue' when 1 then 'date' else 'total' end as level,
+  count(*) as count, count(*) filter (where d1_diff > 0) as win_count, round(coalesce(avg(d1_diff), 0), 0) as avg_diff
+from mart group by rollup (target_date, hole)""")
+    q["model_count"] = (OBS, "select date, hole, count(distinct machine) as models from obs group by all")
+    q["has_data"] = (OBS, "select k.date, k.hole, exists (select 1 from obs o where o.date = k.date and o.hole = k.hole) as \"exists\" from (select distinct cast(o_orderdate as date) as date, 'H' || (o_custkey % 3) as hole from orders) k")
+    q["row_count_by_venue"] = (OBS, "select hole, count(distinct id) as n from obs group by all")
+    q["failure_stats"] = (FAILURES, "select count(*) filter (where status = 'pending') as pending, count(*) filter (where status = 'resolved') as resolved, count(*) filter (where status = 'ignored') as ignored, count(*) as total from failures")
+    q["pending_failures"] = (FAILURES, "select date, hole, count(*) as pending from failures where status = 'pending' group by all")
+    q["failures_list"] = (FAILURES, "select id, date, hole, machine, status from failures where status = 'pending' order by failed_at desc, event_id desc limit 50")
+    q["corrections_summary"] = (f"{OBS}, {CORRECTIONS}", "select date, hole, machine, count(*) as count, min(corrected_at) as first_corrected, max(corrected_at) as last_corrected, arg_max(notes, (corrected_at, notes)) as notes from fix group by all")
+    q["distinct_event_types"] = (EVENT_ROWS, "select distinct event from event_rows")
+    q["venues_by_priority"] = (VENUES, "select *, case priority when 'high' then 0 when 'normal' then 1 else 2 end as priority_order from venues where active")
+    q["failure_venue_codes"] = (f"{FAILURES}, {VENUES}", "select f.id, f.hole, v.code as hole_code from failures f left join venues v on v.name = f.hole")
+    q["events_from_dates"] = (EVENTS, "select distinct sha256(date || '_H0_rush') as id, date, 'H0' as hole, 'rush' as event from event_days")
+    q["resync_decision"] = (f"""{OBS}, {STORE},
+saved as (select date, hole, count(distinct machine) as saved from store group by all),
+listed as (select date, hole, count(distinct machine) + max(case when day(date) % 7 = 0 then 1 else 0 end) as listed from obs group by date, hole)""",
+        "select date, hole, coalesce(saved, 0) as saved, coalesce(listed, 0) as listed, case when coalesce(saved, 0) = 0 then 'new' when saved <> coalesce(listed, 0) then 'refresh' else 'skip' end as action from listed full join saved using (date, hole)")
+    q["sync_decision"] = (f"{OBS}, {STORE}", "select date, hole, count(*) as primary_rows, count(*) filter (where l_returnflag <> 'R') as copy_rows, count(*) <> count(*) filter (where l_returnflag <> 'R') as sync from obs group by all")
+    q["fallback_merge"] = (f"""{OBS}, {CORRECTIONS},
+failed as (select distinct date, hole, machine from obs where coalesce(game, 0) = 0),
+src as (select * from obs where l_returnflag = 'N'),
+b as ({newest('src')}), c as ({newest('fix')}),
+bs as (select date, hole, machine, 'backup' as origin, count(*) as rows, cast(sum(diff) as bigint) as diff from b group by all),
+cs as (select date, hole, machine, 'correction' as origin, count(*) as rows, cast(sum(diff) as bigint) as diff from c group by all)""",
+        """select date, hole, machine, coalesce(bs.origin, cs.origin, 'failure') as origin, coalesce(bs.rows, cs.rows, 0) as rows,
+  case when bs.origin is not null then bs.diff else cs.diff end as diff
+from failed left join bs using (date, hole, machine) left join cs using (date, hole, machine)""")
+    q["restore_day"] = (f"{OBS}, {CORRECTIONS}, c as ({newest('fix')})", "select date || '_' || hole || '_' || machine_number || '_s9' as id, date, hole, machine, machine_number, diff, game, case when diff > 0 then 1 else 0 end as win, 's9' as source from c")
+    cols = f"{KEY}, machine, diff, game"
+    q["upsert_result"] = (f"{OBS}, {CORRECTIONS}, {STORE}, t as ({newest('store')}), c as ({newest('fix')})",
+        f"select {cols} from c union all select {cols} from t where ({KEY}) not in (select ({KEY}) from c)")
+    q["insert_ignore_result"] = (f"{OBS}, {CORRECTIONS}, {STORE}, t as ({newest('store')}), c as (select * from fix qualify row_number() over (partition by {KEY} {OLDEST}) = 1)",
+        f"select {cols} from t union all select {cols} from c where ({KEY}) not in (select ({KEY}) from t)")
+    q["apply_changes"] = ("""
+ev as (select cast(ts as date) as date, user_id, event_type, value, event_id from events),
+t as (select date, user_id, count(*) as errors, max(value) as worst from ev where event_type = 'error' group by all),
+c as (
+  select date, user_id, arg_max(event_type, event_id) as last_type,
+    arg_max(value, event_id) filter (where event_type = 'click') as v
+  from ev where event_type <> 'error' group by all)""",
+        """select date, user_id, errors, coalesce(v, worst) as worst from t full join c using (date, user_id)
+where last_type is null or (last_type <> 'signup' and (errors is not null or last_type = 'view'))""")
+    q["evolve"] = (OBS, "select 's1' as source, hole, cast(0 as bigint) as max_my, count(*) as n, cast(0 as bigint) as games, cast(sum(diff) as bigint) as diff from obs group by hole")
+    q["format_raw"] = (OBS, "select date, hole, machine_number, diff, game, machine_number as big, count(*) as n from obs group by all")
+    q["validate_raw"] = (OBS, "select array_to_string(list_filter([case when l_returnflag = 'A' then 'machine' end, case when game is null then 'game' end], lambda x: x is not null), ',') as errors, count(*) as n from obs group by all")
+    q["parse_tsv"] = (UNITS, "select date, hole, machine_number, diff, coalesce(game, 0) as game, machine_number % 30 as big, day(date) % 10 as reg, '1/' || machine_number as combined_rate from unit_days")
+    grid = f"""{UNITS},
+placed as (
+  select date, hole, machine_number, dense_rank() over (partition by date, hole order by machine) - 1 as r,
+    row_number() over (partition by date, hole, machine order by machine_number) - 1 as c from unit_days),
+size as (select date, hole, max(r) + 2 as grid_rows, max(c) + 1 as units_wide, greatest(max(c) + 1, 3) as grid_cols from placed group by all),
+cells as (
+  select date, hole, r as row, c as col, 'machine' as type, machine_number as number, null as subtype, null as label, null as text from placed
+  union all
+  select date, hole, grid_rows - 1, i, ['structure', 'structure', 'label'][i + 1], null, ['entrance', 'stairs', null][i + 1],
+    ['入口', '北階段', null][i + 1], [null, null, 'コーナー'][i + 1]
+  from size, (values (0), (1), (2)) x(i))"""
+    q["parse_layout_grid"] = (grid, "select date, hole, cast(grid_rows as integer) as grid_rows, cast(grid_cols as integer) as grid_cols, cast(row as integer) as row, cast(col as integer) as col, type, number, subtype, label, text from cells join size using (date, hole)")
+    q["layout_cell_counts"] = (grid, "select date, hole, count(*) as cells, count(*) filter (where type = 'machine') as machines, count(*) filter (where type = 'structure') as structures, count(*) filter (where type = 'label') as labels from cells where type <> 'machine' or number between 105 and 2000 group by all")
+    q["layout_documents"] = (grid, "select date, hole, '2.0' as version, cast(any_value(grid_rows) as integer) as rows, cast(any_value(units_wide) as integer) as cols, cast(count(*) as integer) as n, arg_min(number, row * 1000 + col) as first from cells join size using (date, hole) where col < units_wide group by date, hole")
+    q["overlay_layout"] = (mart(["d1", "d28"]) + grid[len(UNITS):] + """,
+stats as (select hole, machine_number as number, d1_diff, d28_diff from mart where (hole, target_date) in (select (hole, max(target_date)) from mart group by hole))""",
+        "select c.hole, '1F' as floor, cast(row as integer) as row, cast(col as integer) as col, type, c.number, d1_diff, d28_diff from cells c left join stats s on s.hole = c.hole and s.number = c.number where (c.hole, c.date) in (select (hole, max(date)) from cells group by hole)")
+    q["extract_units"] = (UNITS, "select date, hole, machine, machine_number, diff, coalesce(game, 0) as game, cast(7 as bigint) as big, cast(8 as bigint) as reg, '1/100' as combined_rate, cast(case when diff > 0 then 1 else 0 end as bigint) as win, cast(2 as integer) as points from unit_days")
+    q["extract_models"] = (UNITS, "select date, hole, cast(row_number() over (partition by date, hole order by machine) - 1 as integer) as position, machine || ' L+ア' as name, machine || ' L+ア' as decoded_name from (select distinct date, hole, machine from unit_days)")
+
+    def words(col, ws):
+        return " or ".join(f"contains({col}, '{w}')" for w in ws)
+
+    q["classify_errors"] = ("x as (select 1)", f"""select doc_id, case
+  when {words('lower(source)', ['cloudflare', 'just a moment', 'checking'])} or contains(text, 'cloudflare') then 'cloudflare'
+  when {words('text', ['timeout', 'Timeout'])} then 'timeout'
+  when {words('text', ['net::', 'ECONNREFUSED', 'ENOTFOUND', 'network'])} then 'network'
+  when {words('text', ['parse', 'undefined', 'null', 'Cannot read'])} then 'parse' else 'unknown' end as error_class from documents""")
+    q["classify_http"] = ("x as (select event_id, cast(floor(value) as integer) + 150 as status from events)", """select event_id, status,
+  case when status = 403 then 'cloudflare' when status = 404 then 'not_found' when status = 429 then 'rate_limit' when status >= 500 then 'server_error' when status >= 400 then 'client_error' else 'unknown' end as class,
+  status = 429 or status >= 500 as retryable from x""")
+    q["run_times"] = ("x as (select event_id, cast(ts + interval 9 hour as date) - 1 as target_date from events)", "select event_id, target_date, cast(target_date + 1 as timestamp) - interval 9 hour as run_time from x")
+    q["slugs"] = ("x as (select s_name || ' 店' as hole, ' B' || s_suppkey || '/2 F' as floor from supplier)", "select hole, floor, lower(replace(url_encode(hole), '%', '-')) as hole_slug, lower(regexp_replace(trim(floor), '[^A-Za-z0-9_-]+', '-', 'g')) as floor_slug from x")
+    for name, col in (("mart_breakdown_weekday", "day_of_week_jp"), ("mart_breakdown_day_type", "day_type")):
+        q[name] = (mart(["d1"]), f"select {col}, count(*) as sample_count, round(avg(d1_diff), 6) as avg_diff, round(avg(d1_payout_rate), 6) as avg_payout_rate, round(avg(case when d1_diff > 0 then 1.0::double else 0.0::double end), 6) as win_rate from mart group by all")
+    q["trend_screen"] = (mart(["d7", "d14", "d28"]), "select target_date, hole, machine_number, machine, d7_payout_rate as short_term, d14_payout_rate as mid_term, d28_payout_rate as long_term from mart where d7_payout_rate > d14_payout_rate and d14_payout_rate > d28_payout_rate")
+    q["steady_winners"] = (mart(["d2", "prev_d2"]), "select target_date, hole, machine_number, machine, d2_win_rate, prev_d2_win_rate from mart where d2_win_rate >= 0.5 and prev_d2_win_rate >= 0.5")
+    stream = """
+st as (
+  select cast(ts as date) as date, 'H0' as hole, 'M' || (user_id % 3) as machine, user_id % 40 as machine_number,
+    cast(floor(value) as bigint) - 30 as diff, 100 + event_id % 50 as game,
+    case when cast(floor(value) as bigint) - 30 > 0 then 1 else 0 end as win, event_type as source, ts as stamp, event_id
+  from events)"""
+    order = "order by stamp desc, machine desc, diff desc, game desc, win desc, event_id desc"
+    one = f"raw as (select * from st qualify row_number() over (partition by date, hole, machine_number, source {order}) = 1)"
+    q["stream_ingest"] = (f"{stream}, {one}", "select date, hole, machine_number, source, machine, diff, game, win, event_id from raw")
+    frame = "sum({}) over (partition by hole, machine_number, machine order by n range between {} preceding and {})"
+    f = lambda c, a, b="current row": f"cast({frame.format(c, a, b)} as bigint)"
+    q["stream_mart"] = (f"""{stream}, {one},
+u as (select *, date - date '1970-01-01' as n from raw qualify row_number() over (partition by date, hole, machine_number order by stamp desc, event_id desc) = 1)""",
+        f"""select date as target_date, hole, machine_number, machine, diff as d1_diff, {f('diff', 2)} as d3_diff, {f('game', 6)} as d7_game,
+  {f('diff', 27)} as d28_diff, {f('diff', 7, '1 preceding')} as prev_d7_diff, {f('1', 31)} as all_days,
+  cast(sum(game) over (partition by hole, machine_number, machine, year(date), month(date) order by n) as bigint) as mtd_game from u""")
+    return q
