@@ -344,17 +344,23 @@ daily as (
   select {keys}, strategy, target_date, count(*) as n, count(*) filter (where d1_diff > 0) as wins,
     sum({pay('d1_game', 'd1_diff')}) as pays, count({pay('d1_game', 'd1_diff')}) as npays
   from hist group by all),
+hits as (select {keys}, target_date, machine_number, unnest({now}) as strategy from rows1),
+every as (
+  select {keys}, strategy, target_date, n, wins, pays, npays from daily
+  union all
+  select distinct {keys}, strategy, target_date, 0, 0, cast(null as double), 0 from hits),
+sums as (
+  select {keys}, strategy, target_date, sum(n) as n, sum(wins) as wins, sum(pays) as pays, sum(npays) as npays
+  from every group by {keys}, strategy, target_date),
 run as (
-  select {keys}, strategy, target_date, sum(n) over w as n, count(*) over w as days,
-    (sum(wins) over w)::double / sum(n) over w as win_rate,
+  select {keys}, strategy, target_date, cast(sum(n) over w as bigint) as n, count(*) filter (where n > 0) over w as days,
+    (sum(wins) over w)::double / nullif(sum(n) over w, 0) as win_rate,
     (sum(pays) over w) / nullif(sum(npays) over w, 0) as payout_rate
-  from daily window w as (partition by {keys}, strategy order by target_date)),
-rec as (select *, {EFF} as eff from run),
-hits as (select {keys}, target_date, machine_number, unnest({now}) as strategy from rows1),
+  from sums window w as (partition by {keys}, strategy order by target_date)),
+rec as (select *, {EFF} as eff from run where n > 0),
 joined as (
   select h.*, r.n, r.days, r.win_rate, r.payout_rate, r.eff
-  from hits h asof left join rec r on h.hole = r.hole and h.machine = r.machine and h.sp = r.sp
-    and h.strategy = r.strategy and h.target_date >= r.target_date),
+  from hits h left join rec r using ({keys}, strategy, target_date)),
 inputs as (
   select {keys}, target_date, machine_number,
     unnest(['original', 'simple', 'rms_reliability', 'rms_frequency', 'rms_frequency_anomaly', 'rms_frequency_dual']) as method,
@@ -489,7 +495,7 @@ r as (select *, case when c in ('0のつく日', '1のつく日') then (0, '対
     methods = ["original", "simple", "rms_reliability", "rms_frequency", "rms_frequency_filter", "rms_frequency_anomaly", "rms_frequency_dual"]
     r = reco("current", False, methods)
     add("strategy_match", r, "select hole, machine, sp as special_day_type, strategy, count(*) as matched_units from hits group by all")
-    add("strategy_record", r, "select hole, machine, sp as special_day_type, strategy, n as ref_count, days, round(win_rate, 6) as rec_win_rate, round(payout_rate, 6) as rec_payout_rate, round(eff, 6) as effectiveness from rec")
+    add("strategy_record", r, "select hole, machine, sp as special_day_type, strategy, n as ref_count, days, win_rate as rec_win_rate, round(payout_rate, 6) as rec_payout_rate, round(eff, 6) as effectiveness from rec")
     parts = "match_count, round(p, 6) as weighted_payout_rate, round(v, 6) as weighted_win_rate, round(rms, 6) as rms, round(freq, 6) as frequency_bonus, round(rel, 6) as reliability_score, round(anomaly, 6) as anomaly_bonus, dual as dual_high_bonus"
     add("strategy_scores", r, f"select hole, machine, sp as special_day_type, method as score_method, next_date as target_date, machine_number, {parts}, round(total_score, 6) as total_score from scored")
     final = """select hole, machine, sp as special_day_type, method as score_method, next_date as target_date, machine_number,
@@ -506,7 +512,7 @@ from (select *, round(total_score / nullif(max(total_score) over g, 0), 9) as ra
 
     # back-test
     b = backtest()
-    add("backtest_record", b, "select distinct hole, machine, sp as special_day_type, strategy, target_date, cast(n as bigint) as ref_count, days, round(win_rate, 6) as rec_win_rate, round(payout_rate, 6) as rec_payout_rate, round(eff, 6) as effectiveness from joined where n is not null")
+    add("backtest_record", b, "select hole, machine, sp as special_day_type, strategy, target_date, n as ref_count, days, win_rate as rec_win_rate, round(payout_rate, 6) as rec_payout_rate, round(eff, 6) as effectiveness from rec where (hole, machine, sp, strategy, target_date) in (select (hole, machine, sp, strategy, target_date) from hits)")
     add("backtest_picks", b, "select hole, machine, sp as special_day_type, method as score_method, target_date, evaluation_date, machine_number, round(total_score, 6) as total_score, rank, round(top1, 6) as top1_score, round(cut, 6) as outlier_threshold, actual_diff, actual_game from picks")
     s = f"{b}, {SUMMARY}"
     add("backtest_summary", s, "select *, cast(null as varchar) as result_detail from summary")

@@ -14,6 +14,7 @@ from floorlens.plans import backtest as bt
 from floorlens.plans import effects, report, summary
 from floorlens.plans import mart as mart_plan
 from floorlens.plans import strategy as st
+from floorlens.session import stored
 from floorlens.sources import derived as d
 from floorlens.sources import schemas
 
@@ -33,9 +34,12 @@ RECO_METHODS = [
 ]
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles to a fixed number of digits, for comparison between engines."""
-    return df.withColumns({c: F.round(c, digits) for c, t in df.dtypes if t == "double"})
+def rounded(df: DataFrame, digits: int = 6, exact=()) -> DataFrame:
+    """Doubles to a fixed number of digits, for comparison between engines.
+
+    Ratios of integers (`exact`) are the same everywhere and stay as they are.
+    """
+    return df.withColumns({c: F.round(c, digits) for c, t in df.dtypes if t == "double" and c not in exact})
 
 
 def common(spark):
@@ -81,8 +85,17 @@ def reco_params():
     return [st.RecoParam(h, m, PROFILES[h], s) for h in VENUES for m in MODELS for s in RECO_METHODS]
 
 
+def scoring_mart(spark, sf):
+    """The mart columns of the scoring plans as a written table.
+
+    These plans read the mart several times, as they would read the stored one.
+    """
+    cols = ["target_date", "hole", "machine", "machine_number", "d1_diff", "d1_game"]
+    return stored(mart(spark, sf).select(*cols, *st.RATES, *[f"prev_{c}" for c in st.RATES]))
+
+
 def recommendation(spark, sf, **kw):
-    return st.recommend(mart(spark, sf), reco_params(), **kw)
+    return st.recommend(scoring_mart(spark, sf), reco_params(), **kw)
 
 
 def backtest_params():
@@ -93,12 +106,12 @@ AS_OF = dt.date.fromisoformat(oracle.BACKTEST_AS_OF)
 
 
 def backtest_picks(spark, sf):
-    rows = bt.evaluation_rows(mart(spark, sf), backtest_params())
+    rows = bt.evaluation_rows(scoring_mart(spark, sf), backtest_params())
     return bt.score_picks(bt.unit_scores(rows))
 
 
 def backtest_summary(spark, sf):
-    return bt.backtest(mart(spark, sf), backtest_params(), AS_OF)
+    return bt.backtest(scoring_mart(spark, sf), backtest_params(), AS_OF)
 
 
 def _ranked(**kw):
@@ -162,7 +175,7 @@ def _core() -> dict:
         "strategy_match": lambda s, f: recommendation(s, f)
         .matches.groupBy(*st.STUDY, "strategy")
         .agg(F.count(F.lit(1)).alias("matched_units")),
-        "strategy_record": lambda s, f: rounded(recommendation(s, f).record),
+        "strategy_record": lambda s, f: rounded(recommendation(s, f).record, exact=["rec_win_rate"]),
         "strategy_scores": lambda s, f: rounded(
             recommendation(s, f).scores.select(
                 *st.STUDY, "score_method", F.col("next_date").alias("target_date"), "machine_number", "match_count",
@@ -174,7 +187,7 @@ def _core() -> dict:
         "strategy_recommend_prev": _ranked(features="prev"),
         "strategy_recommend_literal": _ranked(features="prev", literal_precedence=True),
         "strategy_recommend_repeats": _ranked(dedupe_strategies=False),
-        "backtest_record": lambda s, f: rounded(_backtest_record(s, f)),
+        "backtest_record": lambda s, f: rounded(_backtest_record(s, f), exact=["rec_win_rate"]),
         "backtest_picks": lambda s, f: rounded(
             backtest_picks(s, f).select("*", "actual.*").drop("actual").withColumnsRenamed(
                 {"diff": "actual_diff", "game": "actual_game"}
@@ -190,7 +203,7 @@ def _core() -> dict:
 
 
 def _backtest_record(spark, sf):
-    rows = bt.evaluation_rows(mart(spark, sf), backtest_params())
+    rows = bt.evaluation_rows(scoring_mart(spark, sf), backtest_params())
     asked = rows.select(*st.STUDY, "target_date", F.explode("now").alias("strategy")).distinct()
     return bt.running_record(rows).join(asked, [*st.STUDY, "strategy", "target_date"], "left_semi")
 

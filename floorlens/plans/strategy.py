@@ -382,7 +382,7 @@ class Recommendation:
     ranked: DataFrame
 
 
-_RATES = [f"d{n}_win_rate" for n in (3, 5, 7, 28)] + ["d28_payout_rate", "d28_diff"]
+RATES = [f"d{n}_win_rate" for n in (3, 5, 7, 28)] + ["d28_payout_rate", "d28_diff"]
 
 
 def recommend(
@@ -401,7 +401,7 @@ def recommend(
     spark = mart.sparkSession
     studies = param_table(spark, params)
     cols = ["target_date", "hole", "machine", "machine_number", "d1_diff", "d1_game"]
-    cols += _RATES + [f"prev_{c}" for c in _RATES]
+    cols += RATES + [f"prev_{c}" for c in RATES]
     base = mart.select(*cols).join(studies.drop("target_date").distinct(), ["hole", "machine"])
     unit = Window.partitionBy(*STUDY, "machine_number").orderBy("target_date")
     # the next outcome belongs to the row, before strategies multiply it
