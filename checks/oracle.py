@@ -497,10 +497,10 @@ r as (select *, case when c in ('0のつく日', '1のつく日') then (0, '対
     add("strategy_match", r, "select hole, machine, sp as special_day_type, strategy, count(*) as matched_units from hits group by all")
     add("strategy_record", r, "select hole, machine, sp as special_day_type, strategy, n as ref_count, days, win_rate as rec_win_rate, round(payout_rate, 6) as rec_payout_rate, round(eff, 6) as effectiveness from rec")
     parts = "match_count, round(p, 6) as weighted_payout_rate, round(v, 6) as weighted_win_rate, round(rms, 6) as rms, round(freq, 6) as frequency_bonus, round(rel, 6) as reliability_score, round(anomaly, 6) as anomaly_bonus, dual as dual_high_bonus"
-    add("strategy_scores", r, f"select hole, machine, sp as special_day_type, method as score_method, next_date as target_date, machine_number, {parts}, round(total_score, 6) as total_score from scored")
+    add("strategy_scores", r, f"select hole, machine, sp as special_day_type, method as score_method, next_date as target_date, machine_number, {parts}, total_score from scored")
     final = """select hole, machine, sp as special_day_type, method as score_method, next_date as target_date, machine_number,
   case when ratio >= 0.99 then 5 when ratio >= 0.97 then 4 when ratio >= 0.95 then 3 when ratio >= 0.9 then 2 when ratio >= 0.8 then 1 else 0 end as priority_rank,
-  round(total_score, 6) as total_score, round(ratio, 6) as top1_ratio, rank, match_count
+  total_score, ratio as top1_ratio, rank, match_count
 from (select *, round(total_score / nullif(max(total_score) over g, 0), 9) as ratio,
   row_number() over (partition by hole, machine, sp, method order by total_score desc nulls last, machine_number) as rank
   from scored window g as (partition by hole, machine, sp, method))"""
@@ -513,7 +513,7 @@ from (select *, round(total_score / nullif(max(total_score) over g, 0), 9) as ra
     # back-test
     b = backtest()
     add("backtest_record", b, "select hole, machine, sp as special_day_type, strategy, target_date, n as ref_count, days, win_rate as rec_win_rate, round(payout_rate, 6) as rec_payout_rate, round(eff, 6) as effectiveness from rec where (hole, machine, sp, strategy, target_date) in (select (hole, machine, sp, strategy, target_date) from hits)")
-    add("backtest_picks", b, "select hole, machine, sp as special_day_type, method as score_method, target_date, evaluation_date, machine_number, round(total_score, 6) as total_score, rank, round(top1, 6) as top1_score, round(cut, 6) as outlier_threshold, actual_diff, actual_game from picks")
+    add("backtest_picks", b, "select hole, machine, sp as special_day_type, method as score_method, target_date, evaluation_date, machine_number, total_score, rank, top1 as top1_score, cut as outlier_threshold, actual_diff, actual_game from picks")
     s = f"{b}, {SUMMARY}"
     add("backtest_summary", s, "select *, cast(null as varchar) as result_detail from summary")
     keys = "target_hole, target_machine, evaluation_days, special_day_type"
