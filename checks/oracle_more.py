@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import EVENT_ROWS, EVENTS, NEWEST, OBS, OLDEST, UNITS, mart, pay
+from .oracle import EVENT_ROWS, EVENTS, NEWEST, OBS, OLDEST, UNITS, mart
 
 KEY = "date, hole, machine_number"
 VENUES = """
@@ -147,4 +147,61 @@ u as (select *, date - date '1970-01-01' as n from raw qualify row_number() over
         f"""select date as target_date, hole, machine_number, machine, diff as d1_diff, {f('diff', 2)} as d3_diff, {f('game', 6)} as d7_game,
   {f('diff', 27)} as d28_diff, {f('diff', 7, '1 preceding')} as prev_d7_diff, {f('1', 31)} as all_days,
   cast(sum(game) over (partition by hole, machine_number, machine, year(date), month(date) order by n) as bigint) as mtd_game from u""")
+    return q | profiles()
+
+
+U = "hole, machine, machine_number"
+
+
+def profiles() -> dict[str, tuple[str, str]]:
+    d1 = mart(["d1"])
+    won = "case when d1_diff > 0 then 1.0::double else 0.0::double end"
+    q = {}
+    q["weekday_profile"] = (d1, f"select {U}, cast(dayofweek(target_date) + 1 as integer) as weekday, round(avg({won}), 6) as win_rate, round(avg(d1_payout_rate), 6) as avg_payout_rate from mart group by all")
+    q["cycle_profile"] = (d1, f"select {U}, cast(((target_date - date '1996-01-01') % 14 + 14) % 14 as integer) as cycle_day, count(*) as n, round(avg({won}), 6) as win_rate from mart group by all")
+    ma = lambda n: f"round(avg(d1_payout_rate) over (partition by {U} order by target_date rows between {n - 1} preceding and current row), 9)"
+    q["ma_cross"] = (f"{d1}, m as (select {U}, target_date, {ma(3)} as ma_short, {ma(7)} as ma_long from mart)",
+        f"select *, case when ma_short > ma_long and lag(ma_short) over w <= lag(ma_long) over w then 'ゴールデンクロス' end as signal from m window w as (partition by {U} order by target_date)")
+    q["rebound_rate"] = (f"{d1}, r as (select *, coalesce(lag(d1_diff, 1) over w < 0 and lag(d1_diff, 2) over w < 0 and lag(d1_diff, 3) over w < 0, false) as a from mart window w as (partition by {U} order by target_date))",
+        f"select {U}, count(*) filter (where a and d1_diff > 0) as rebound_wins, count(*) filter (where a) as total_rebounds, (count(*) filter (where a and d1_diff > 0))::double / nullif(count(*) filter (where a), 0) as rebound_rate from r group by all")
+    q["volatility"] = (f"{d1}, v as (select {U}, stddev_samp(d1_payout_rate) as s from mart group by all)",
+        f"select {U}, round(s, 6) as volatility, case when s > 0.1 then '高ボラ（設定変更頻繁）' when s > 0.05 then '中ボラ' else '低ボラ（設定固定気味）' end as volatility_category from v")
+    q["neighbour_effect"] = (f"{d1}, p as (select a.*, b.d1_diff as other from mart a join mart b on a.hole = b.hole and a.target_date = b.target_date and b.machine_number in (a.machine_number - 1, a.machine_number + 1))",
+        f"select {U}, count(*) as pairs, round(avg(case when d1_diff > 0 and other > 0 then 1.0::double else 0 end), 6) as neighbor_same_win_rate, round(avg(case when d1_diff > 0 and other < 0 then 1.0::double else 0 end), 6) as neighbor_opposite_rate from p group by all")
+    q["digit_groups"] = (d1, f"select hole, machine, machine_number % 10 as last_digit, target_date, round(avg(d1_payout_rate), 6) as avg_payout_rate, round(avg({won}), 6) as group_win_rate from mart group by all")
+    sp = f"""days as (select distinct hole, target_date from mart),
+flag as (select *, day(target_date) in (6, 16, 26) or target_date = last_day(target_date) or (hole = 'H1' and day(target_date) = 14) as sp from days),
+dist as (
+  select hole, target_date, sp as is_special_day,
+    cast(target_date - max(case when sp then target_date end) over (partition by hole order by target_date rows between unbounded preceding and 1 preceding) as integer) as days_since_last_special,
+    cast(min(case when sp then target_date end) over (partition by hole order by target_date rows between 1 following and unbounded following) - target_date as integer) as days_until_next_special
+  from flag)"""
+    q["special_distances"] = (f"{d1}, {sp}", "select * from dist")
+    q["feature_table"] = (f"""{mart(['d1', 'prev_d28'])}, {sp},
+s as (select *, row_number() over (partition by {U} order by target_date) as seq from mart),
+f as (
+  select *, seq - 1 - coalesce(max(case when d1_diff > 0 then null else seq end) over b, 0) as consecutive_wins,
+    seq - 1 - coalesce(max(case when d1_diff <= 0 then null else seq end) over b, 0) as consecutive_losses,
+    avg(d1_payout_rate) over (partition by {U} order by target_date rows between 3 preceding and 1 preceding)
+      - avg(d1_payout_rate) over (partition by {U} order by target_date rows between 7 preceding and 1 preceding) as ma,
+    stddev_samp(d1_payout_rate) over (partition by {U} order by target_date rows between 28 preceding and 1 preceding) as vol,
+    percent_rank() over (partition by hole, machine, target_date order by prev_d28_diff asc nulls first) as pr,
+    row_number() over (partition by hole, machine, target_date order by prev_d28_diff desc nulls last, machine_number) as rk
+  from s window b as (partition by {U} order by target_date rows between unbounded preceding and 1 preceding))""",
+        """select hole, machine, target_date, machine_number, consecutive_wins, consecutive_losses, round(ma, 6) as ma3_ma7_diff, round(vol, 6) as volatility,
+  round(pr, 6) as diff_percentile, rk as diff_rank, dayofweek(target_date) + 1 as weekday, dayofweek(target_date) in (0, 6) as is_weekend,
+  target_date = last_day(target_date) as is_month_end, machine_number % 100 as machine_last_2digits, days_since_last_special, days_until_next_special
+from f join dist using (hole, target_date)""")
+    cols = ["d3_win_rate", "d7_payout_rate", "d14_payout_rate", "d28_payout_rate"]
+    g = "partition by hole, machine, target_date"
+    norms = ", ".join(f"percent_rank() over ({g} order by {c} asc nulls first) as n{i}, row_number() over ({g} order by {c} desc nulls last, machine_number) as r{i}" for i, c in enumerate(cols))
+    ens = f"""{mart(['d1', 'd3', 'd7', 'd14', 'd28'])}, e0 as (select *, {norms} from mart),
+e1 as (select *, round(n0 * 0.3::double + n1 * 0.25::double + n2 * 0.25::double + n3 * 0.2::double, 9) as sc,
+  (r0 <= 10)::int + (r1 <= 10)::int + (r2 <= 10)::int + (r3 <= 10)::int as cc from e0),
+e2 as (select *, row_number() over ({g} order by sc desc, machine_number) as er from e1)"""
+    q["ensemble_rank"] = (ens, """select hole, machine, target_date, machine_number, sc as ensemble_score, (r0 + r1 + r2 + r3) / 4.0::double as avg_rank,
+  (r0 <= 5)::int + (r1 <= 5)::int + (r2 <= 5)::int + (r3 <= 5)::int as total_votes, cc as consensus_count, er as ensemble_rank,
+  case when er <= 1 then 5 when er <= 3 then 4 when er <= 5 then 3 when cc >= 3 then 3 when er <= 10 then 2 else 1 end as priority_rank from e2""")
+    q["weight_grid"] = (f"{ens}, k(x) as (values (1), (2), (3), (4), (5)), w as (select i.x as a, j.x as b, l.x as c, 10 - i.x - j.x - l.x as d from k i, k j, k l where i.x + j.x + l.x <= 10)",
+        "select a, b, c, d, count(*) as n, round(avg(d1_payout_rate), 6) as avg_payout_rate from e0, w where round((a * n0 + b * n1 + c * n2 + d * n3) / 10, 9) >= 0.95 group by a, b, c, d")
     return q

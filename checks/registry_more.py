@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from floorlens import session
 from floorlens.functions import scalars as sc
 from floorlens.operators import dedupe, lists, quality, reconcile
-from floorlens.plans import summary
+from floorlens.plans import profiles, summary
 from floorlens.sources import clean, layouts, pages, schemas, sinks, text
 from floorlens.sources import derived as d
 from floorlens.streaming import ingest
@@ -361,8 +361,50 @@ def queries():
         "steady_winners": lambda s, f: summary.steady_winners(_mart(s, f)),
         "stream_ingest": stream_ingest,
         "stream_mart": stream_mart,
+        **profile_queries(),
     }
 
 
 def _round(df):
     return df.withColumns({c: F.round(c, 6) for c, t in df.dtypes if t == "double"})
+
+
+ENSEMBLE = ["d3_win_rate", "d7_payout_rate", "d14_payout_rate", "d28_payout_rate"]
+
+
+def _ensemble(s, f):
+    rows = _mart(s, f).select("hole", "machine", "target_date", "machine_number", "d1_payout_rate", *ENSEMBLE)
+    return profiles.ensemble(rows, ENSEMBLE, [0.3, 0.25, 0.25, 0.2], ["hole", "machine", "target_date"])
+
+
+def _venue_profile():
+    return F.when(F.col("hole") == "H0", "island").otherwise("espas")
+
+
+def profile_queries():
+    p = profiles
+    m = _mart
+    key = ["hole", "machine", "target_date", "machine_number"]
+    return {
+        "weekday_profile": lambda s, f: _round(p.weekday_profile(m(s, f))),
+        "cycle_profile": lambda s, f: _round(p.cycle_profile(m(s, f), 14, dt.date(1996, 1, 1))),
+        "ma_cross": lambda s, f: p.moving_average_cross(m(s, f)),
+        "rebound_rate": lambda s, f: p.rebound_rate(m(s, f)),
+        "volatility": lambda s, f: _round(p.volatility(m(s, f))),
+        "neighbour_effect": lambda s, f: _round(p.neighbour_effect(m(s, f), ["hole"])),
+        "digit_groups": lambda s, f: _round(p.digit_groups(m(s, f))),
+        "special_distances": lambda s, f: p.special_distances(m(s, f), _venue_profile()),
+        "feature_table": lambda s, f: _round(
+            p.feature_table(m(s, f), _venue_profile()).select(
+                *key, "consecutive_wins", "consecutive_losses", "ma3_ma7_diff", "volatility", "diff_percentile",
+                "diff_rank", "weekday", "is_weekend", "is_month_end", "machine_last_2digits",
+                "days_since_last_special", "days_until_next_special",
+            )
+        ),
+        "ensemble_rank": lambda s, f: _ensemble(s, f).select(
+            *key, "ensemble_score", "avg_rank", "total_votes", "consensus_count", "ensemble_rank", "priority_rank"
+        ),
+        "weight_grid": lambda s, f: _round(
+            p.weight_grid_search(_ensemble(s, f), [f"norm_{c}" for c in ENSEMBLE], "d1_payout_rate")
+        ),
+    }
