@@ -168,7 +168,7 @@ def profiles() -> dict[str, tuple[str, str]]:
         f"select {U}, round(s, 6) as volatility, case when s > 0.1 then '高ボラ（設定変更頻繁）' when s > 0.05 then '中ボラ' else '低ボラ（設定固定気味）' end as volatility_category from v")
     q["neighbour_effect"] = (f"{d1}, p as (select a.*, b.d1_diff as other from mart a join mart b on a.hole = b.hole and a.target_date = b.target_date and b.machine_number in (a.machine_number - 1, a.machine_number + 1))",
         f"select {U}, count(*) as pairs, round(avg(case when d1_diff > 0 and other > 0 then 1.0::double else 0 end), 6) as neighbor_same_win_rate, round(avg(case when d1_diff > 0 and other < 0 then 1.0::double else 0 end), 6) as neighbor_opposite_rate from p group by all")
-    q["digit_groups"] = (d1, f"select hole, machine, machine_number % 10 as last_digit, target_date, round(avg(d1_payout_rate), 6) as avg_payout_rate, round(avg({won}), 6) as group_win_rate from mart group by all")
+    q["digit_groups"] = (d1, f"select hole, machine, machine_number % 10 as last_digit, target_date, avg(d1_payout_rate) as avg_payout_rate, avg({won}) as group_win_rate from mart group by all")
     sp = f"""days as (select distinct hole, target_date from mart),
 flag as (select *, day(target_date) in (6, 16, 26) or target_date = last_day(target_date) or (hole = 'H1' and day(target_date) = 14) as sp from days),
 dist as (

@@ -392,7 +392,7 @@ def profile_queries():
         "rebound_rate": lambda s, f: p.rebound_rate(m(s, f)),
         "volatility": lambda s, f: _round(p.volatility(m(s, f))),
         "neighbour_effect": lambda s, f: _round(p.neighbour_effect(m(s, f), ["hole"])),
-        "digit_groups": lambda s, f: _round(p.digit_groups(m(s, f))),
+        "digit_groups": lambda s, f: p.digit_groups(m(s, f)),
         "special_distances": lambda s, f: p.special_distances(m(s, f), _venue_profile()),
         "feature_table": lambda s, f: _round(
             p.feature_table(m(s, f), _venue_profile()).select(

@@ -7,7 +7,8 @@ the tokens - which value wins, typing, filtering - is DataFrame work.
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import html as html_lib
+import re
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,77 +19,85 @@ from ..functions import fixed
 from ..functions.scalars import clean_int, win_flag
 from ..operators.dedupe import dedupe_first
 
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+# the tags that matter; anything else is text to be stripped
+_TAG = re.compile(r"<!--.*?-->|<(/?)(div|p|strong|font|table|tr|th|td|script)\b([^>]*)>", re.S | re.I)
+_SCRIPT_END = re.compile("</script", re.I)
+_CLASS = re.compile(r"""class\s*=\s*["']?([^"'>]*)""", re.I)
+_ANY_TAG = re.compile(r"<[^>]*>")
 
 
-class _Tables(HTMLParser):
+def _text(raw: str) -> str:
+    return html_lib.unescape(_ANY_TAG.sub("", raw) if "<" in raw else raw).strip()
+
+
+class _Tables:
     """Header cells and rows of every table, with the card around it.
 
     A card is a div of the unit block; its unit number is the text of
-    p.has-text-align-center strong font.
+    p.has-text-align-center strong font.  Tags that are never closed are closed
+    with the tag around them.
     """
 
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.stack = []  # open tags with their classes
+    def __init__(self, page: str):
+        self.stack = []  # (tag, classes, where its text starts)
         self.tables = []  # {"card", "summary", "head", "rows"}
-        self.cards = []  # {"unit", "script"}
         self.open_tables = []
         self.open_cards = []
-        self.buffer = None
-
-    def handle_starttag(self, tag, attrs):
-        classes = set((dict(attrs).get("class") or "").split())
-        if tag in _VOID:
-            return
-        self.stack.append((tag, classes))
+        self.page = page
+        pos = 0
+        while (m := _TAG.search(page, pos)) is not None:
+            pos = m.end()
+            if m.group(2) is None:
+                continue
+            tag = m.group(2).lower()
+            if m.group(1):
+                self._end(tag, m.start())
+            elif tag == "script":
+                end = _SCRIPT_END.search(page, pos)
+                stop = end.start() if end else len(page)
+                if self.open_cards and "data: [" in page[pos:stop]:
+                    self.open_cards[-1][1]["script"] = page[pos:stop]
+                pos = stop
+            else:
+                self._start(tag, m.group(3), pos)
+
+    def _start(self, tag, attrs, pos):
+        found = _CLASS.search(attrs) if attrs else None
+        classes = set(found.group(1).split()) if found else set()
+        self.stack.append((tag, classes, pos))
         if tag == "div" and {"wp-block-column", "is-vertically-aligned-top"} <= classes:
-            self.cards.append({"unit": None, "script": ""})
-            self.open_cards.append((len(self.stack), self.cards[-1]))
+            self.open_cards.append((len(self.stack), {"unit": None, "script": ""}))
         elif tag == "table":
             card = self.open_cards[-1][1] if self.open_cards else None
             self.tables.append({"card": card, "summary": "table2" in classes, "head": [], "rows": []})
             self.open_tables.append(self.tables[-1])
         elif tag == "tr" and self.open_tables:
             self.open_tables[-1]["rows"].append([])
-        elif tag in ("th", "td", "script") or self._at_unit():
-            self.buffer = []
 
-    def handle_endtag(self, tag):
-        if tag not in [t for t, _ in self.stack]:
+    def _end(self, tag, pos):
+        if not any(t == tag for t, _, _ in self.stack):
             return
-        while self.stack:
-            self._close(self.stack[-1][0])
-            top, _ = self.stack.pop()
+        while True:
+            top, _, start = self.stack[-1]
+            self._close(top, start, pos)
+            self.stack.pop()
             if top == tag:
                 return
 
-    def handle_data(self, data):
-        if self.buffer is not None:
-            self.buffer.append(data)
-
     def _at_unit(self):
-        tags = [t for t, _ in self.stack]
-        in_p = any(t == "p" and "has-text-align-center" in c for t, c in self.stack)
-        return bool(self.open_cards) and in_p and "strong" in tags and tags[-1] == "font"
+        in_p = any(t == "p" and "has-text-align-center" in c for t, c, _ in self.stack)
+        return bool(self.open_cards) and in_p and any(t == "strong" for t, _, _ in self.stack)
 
-    def _close(self, tag):
-        text = "".join(self.buffer).strip() if self.buffer is not None else ""
+    def _close(self, tag, start, pos):
         table = self.open_tables[-1] if self.open_tables else None
         if tag == "th" and table is not None:
-            table["head"].append(text)
-            self.buffer = None
+            table["head"].append(_text(self.page[start:pos]))
         elif tag == "td" and table is not None and table["rows"]:
-            table["rows"][-1].append(text)
-            self.buffer = None
-        elif tag == "script" and self.open_cards:
-            if "data: [" in text:
-                self.open_cards[-1][1]["script"] = text
-            self.buffer = None
+            table["rows"][-1].append(_text(self.page[start:pos]))
         elif tag == "font" and self._at_unit():
             card = self.open_cards[-1][1]
-            card["unit"] = text if card["unit"] is None else card["unit"]
-            self.buffer = None
+            if card["unit"] is None:
+                card["unit"] = _text(self.page[start:pos])
         elif tag == "table" and self.open_tables:
             self.open_tables.pop()
         elif tag == "div" and self.open_cards and self.open_cards[-1][0] == len(self.stack):
@@ -97,9 +106,7 @@ class _Tables(HTMLParser):
 
 def page_rows(html: str) -> list[tuple]:
     """(origin, position, unit, diff, game, big, reg, rate, script) of one page."""
-    parser = _Tables()
-    parser.feed(html or "")
-    parser.close()
+    parser = _Tables(html or "")
     unit, values = fixed.PAGE_HEADERS[0], fixed.PAGE_HEADERS[1:]
     out, seen = [], set()
     for t in parser.tables:
