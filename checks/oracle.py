@@ -394,7 +394,7 @@ rules as (
   select *, unnest(list_filter([
     {', '.join(f"case when rank <= {k} then 'TOP{k}' end" for k in (1, 2, 3, 4, 5))},
     case when total_score >= cut then 'OUTLIER' end,
-    {', '.join(f"case when total_score >= round(top1 * {p / 100}::double, 9) then 'THRESHOLD_{p}PCT' end" for p in (80, 85, 90, 95, 96, 97, 98, 99))}
+    {', '.join(f"case when total_score >= top1 * {p / 100}::double then 'THRESHOLD_{p}PCT' end" for p in (80, 85, 90, 95, 96, 97, 98, 99))}
     ], lambda x: x is not null)) as result_key
   from picks where has_actual),
 summary as (

@@ -108,7 +108,7 @@ AS_OF = dt.date.fromisoformat(oracle.BACKTEST_AS_OF)
 
 
 def backtest_picks(spark, sf):
-    rows = bt.evaluation_rows(scoring_mart(spark, sf), backtest_params())
+    rows = stored(bt.evaluation_rows(scoring_mart(spark, sf), backtest_params()))
     return bt.score_picks(bt.unit_scores(rows))
 
 
@@ -205,7 +205,7 @@ def _core() -> dict:
 
 
 def _backtest_record(spark, sf):
-    rows = bt.evaluation_rows(scoring_mart(spark, sf), backtest_params())
+    rows = stored(bt.evaluation_rows(scoring_mart(spark, sf), backtest_params()))
     asked = rows.select(*st.STUDY, "target_date", F.explode("now").alias("strategy")).distinct()
     return bt.running_record(rows).join(asked, [*st.STUDY, "strategy", "target_date"], "left_semi")
 
