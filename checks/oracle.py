@@ -17,7 +17,7 @@ obs as (
     cast(floor(l_extendedprice) as bigint) % 6001 - 3000 as diff,
     case when l_orderkey % 97 = 0 then 0 when l_orderkey % 89 = 0 then null
       else cast(l_quantity as bigint) * 100 end as game,
-    case when cast(floor(l_extendedprice) as bigint) % 6001 - 3000 > 0 then 1 else 0 end as win,
+    cast(case when cast(floor(l_extendedprice) as bigint) % 6001 - 3000 > 0 then 1 else 0 end as bigint) as win,
     's' || (l_linenumber % 2) as source,
     l_orderkey * 10 + l_linenumber as ts,
     l_partkey, l_suppkey, l_extendedprice, l_returnflag,
@@ -140,7 +140,7 @@ def category(d: str, event: str) -> str:
 
 
 def position(col: str, values: list[str]) -> str:
-    return f"cast(list_position([{', '.join(repr(v) for v in values)}], {col}) as integer)"
+    return f"cast(list_position([{', '.join(repr(v) for v in values)}], {col}) as bigint)"
 
 
 STUDY = """
@@ -472,7 +472,7 @@ agg as (
     add("day_category_effect", f"{m}, {EVENTS}, {STUDY}, {CATEGORIZED}", f"select hole, machine, day_category, count(distinct target_date) as sample_days, count(*) as sample_records, cast(sum(d1_game) as bigint) as total_game, {MEASURES}, {position('day_category', CATEGORIES)} as sort_order from cat join base using (hole, machine) group by hole, machine, day_category")
     fan = CATEGORIZED.replace("event_days e", "event_rows e")
     add("day_category_effect_fanout", f"{m}, {EVENT_ROWS}, {STUDY}, {fan}, fbase as (select hole, machine, avg(d1_payout_rate) as bp, avg(win) as bw from cat group by all)", f"select hole, machine, day_category, count(distinct target_date) as sample_days, count(*) as sample_records, cast(sum(d1_game) as bigint) as total_game, {MEASURES}, {position('day_category', CATEGORIES)} as sort_order from cat join fbase using (hole, machine) group by hole, machine, day_category")
-    add("streak_effect", f"{m}, {STUDY}, s as ({streaks('study')})", f"select hole, machine, period, pattern as streak_pattern, count(*) as sample_count, {MEASURES}, {position('period', ['2日間', '3日間', '5日間'])} as period_order, case when pattern like '%連勝' then 1 else 2 end as pattern_order from s join base using (hole, machine) group by hole, machine, period, pattern")
+    add("streak_effect", f"{m}, {STUDY}, s as ({streaks('study')})", f"select hole, machine, period, pattern as streak_pattern, count(*) as sample_count, {MEASURES}, {position('period', ['2日間', '3日間', '5日間'])} as period_order, cast(case when pattern like '%連勝' then 1 else 2 end as bigint) as pattern_order from s join base using (hole, machine) group by hole, machine, period, pattern")
     add("combined_effect", f"{m}, {EVENTS}, {STUDY}, {CATEGORIZED}, s as ({streaks('cat')}), t as (select * from s union all select * replace ('すべての日' as day_category) from s)", f"select hole, machine, day_category, pattern as streak_pattern, count(*) as sample_count, {MEASURES}, {position('day_category', CATEGORIES)} as day_sort, {position('pattern', PATTERNS)} as streak_sort from t join base using (hole, machine) group by hole, machine, day_category, pattern")
     for name, p in {"tier_recommend": "prev_", "tier_recommend_current": ""}.items():
         pat = ", ".join(f"case when w{n} = 1 then '{n}連勝' when w{n} = 0 then '{n}連敗' end as d{n}_pattern" for n in (2, 3, 5))
@@ -500,7 +500,7 @@ r as (select *, case when c in ('0のつく日', '1のつく日') then (0, '対
     add("strategy_scores", r, f"select hole, machine, sp as special_day_type, method as score_method, next_date as target_date, machine_number, {parts}, total_score from scored")
     final = """select hole, machine, sp as special_day_type, method as score_method, next_date as target_date, machine_number,
   case when ratio >= 0.99 then 5 when ratio >= 0.97 then 4 when ratio >= 0.95 then 3 when ratio >= 0.9 then 2 when ratio >= 0.8 then 1 else 0 end as priority_rank,
-  total_score, ratio as top1_ratio, rank, match_count
+  total_score, ratio as top1_ratio, cast(rank as integer) as rank, match_count
 from (select *, round(total_score / nullif(max(total_score) over g, 0), 9) as ratio,
   row_number() over (partition by hole, machine, sp, method order by total_score desc nulls last, machine_number) as rank
   from scored window g as (partition by hole, machine, sp, method))"""
@@ -513,7 +513,7 @@ from (select *, round(total_score / nullif(max(total_score) over g, 0), 9) as ra
     # back-test
     b = backtest()
     add("backtest_record", b, "select hole, machine, sp as special_day_type, strategy, target_date, n as ref_count, days, win_rate as rec_win_rate, round(payout_rate, 6) as rec_payout_rate, round(eff, 6) as effectiveness from rec where (hole, machine, sp, strategy, target_date) in (select (hole, machine, sp, strategy, target_date) from hits)")
-    add("backtest_picks", b, "select hole, machine, sp as special_day_type, method as score_method, target_date, evaluation_date, machine_number, total_score, rank, top1 as top1_score, cut as outlier_threshold, actual_diff, actual_game from picks")
+    add("backtest_picks", b, "select hole, machine, sp as special_day_type, method as score_method, target_date, evaluation_date, machine_number, total_score, cast(rank as integer) as rank, top1 as top1_score, cut as outlier_threshold, actual_diff, actual_game from picks")
     s = f"{b}, {SUMMARY}"
     add("backtest_summary", s, "select *, cast(null as varchar) as result_detail from summary")
     keys = "target_hole, target_machine, evaluation_days, special_day_type"

@@ -58,7 +58,7 @@ from mart group by rollup (target_date, hole)""")
     q["failures_list"] = (FAILURES, "select id, date, hole, machine, status from failures where status = 'pending' order by failed_at desc, event_id desc limit 50")
     q["corrections_summary"] = (f"{OBS}, {CORRECTIONS}", "select date, hole, machine, count(*) as count, min(corrected_at) as first_corrected, max(corrected_at) as last_corrected, arg_max(notes, (corrected_at, notes)) as notes from fix group by all")
     q["distinct_event_types"] = (EVENT_ROWS, "select distinct event from event_rows")
-    q["venues_by_priority"] = (VENUES, "select *, case priority when 'high' then 0 when 'normal' then 1 else 2 end as priority_order from venues where active")
+    q["venues_by_priority"] = (VENUES, "select *, cast(case priority when 'high' then 0 when 'normal' then 1 else 2 end as bigint) as priority_order from venues where active")
     q["failure_venue_codes"] = (f"{FAILURES}, {VENUES}", "select f.id, f.hole, v.code as hole_code from failures f left join venues v on v.name = f.hole")
     q["events_from_dates"] = (EVENTS, "select distinct sha256(date || '_H0_rush') as id, date, 'H0' as hole, 'rush' as event from event_days")
     q["resync_decision"] = (f"""{OBS}, {STORE},
@@ -75,7 +75,7 @@ cs as (select date, hole, machine, 'correction' as origin, count(*) as rows, cas
         """select date, hole, machine, coalesce(bs.origin, cs.origin, 'failure') as origin, coalesce(bs.rows, cs.rows, 0) as rows,
   case when bs.origin is not null then bs.diff else cs.diff end as diff
 from failed left join bs using (date, hole, machine) left join cs using (date, hole, machine)""")
-    q["restore_day"] = (f"{OBS}, {CORRECTIONS}, c as ({newest('fix')})", "select date || '_' || hole || '_' || machine_number || '_s9' as id, date, hole, machine, machine_number, diff, game, case when diff > 0 then 1 else 0 end as win, 's9' as source from c")
+    q["restore_day"] = (f"{OBS}, {CORRECTIONS}, c as ({newest('fix')})", "select date || '_' || hole || '_' || machine_number || '_s9' as id, date, hole, machine, machine_number, diff, game, cast(case when diff > 0 then 1 else 0 end as bigint) as win, 's9' as source from c")
     cols = f"{KEY}, machine, diff, game"
     q["upsert_result"] = (f"{OBS}, {CORRECTIONS}, {STORE}, t as ({newest('store')}), c as ({newest('fix')})",
         f"select {cols} from c union all select {cols} from t where ({KEY}) not in (select ({KEY}) from c)")
@@ -188,8 +188,8 @@ f as (
     percent_rank() over (partition by hole, machine, target_date order by prev_d28_diff asc nulls first) as pr,
     row_number() over (partition by hole, machine, target_date order by prev_d28_diff desc nulls last, machine_number) as rk
   from s window b as (partition by {U} order by target_date rows between unbounded preceding and 1 preceding))""",
-        """select hole, machine, target_date, machine_number, consecutive_wins, consecutive_losses, round(ma, 6) as ma3_ma7_diff, round(vol, 6) as volatility,
-  round(pr, 6) as diff_percentile, rk as diff_rank, dayofweek(target_date) + 1 as weekday, dayofweek(target_date) in (0, 6) as is_weekend,
+        """select hole, machine, target_date, machine_number, cast(consecutive_wins as integer) as consecutive_wins, cast(consecutive_losses as integer) as consecutive_losses, round(ma, 6) as ma3_ma7_diff, round(vol, 6) as volatility,
+  round(pr, 6) as diff_percentile, cast(rk as integer) as diff_rank, cast(dayofweek(target_date) + 1 as integer) as weekday, dayofweek(target_date) in (0, 6) as is_weekend,
   target_date = last_day(target_date) as is_month_end, machine_number % 100 as machine_last_2digits, days_since_last_special, days_until_next_special
 from f join dist using (hole, target_date)""")
     cols = ["d3_win_rate", "d7_payout_rate", "d14_payout_rate", "d28_payout_rate"]
@@ -200,7 +200,7 @@ e1 as (select *, round(n0 * 0.3::double + n1 * 0.25::double + n2 * 0.25::double
   (r0 <= 10)::int + (r1 <= 10)::int + (r2 <= 10)::int + (r3 <= 10)::int as cc from e0),
 e2 as (select *, row_number() over ({g} order by sc desc, machine_number) as er from e1)"""
     q["ensemble_rank"] = (ens, """select hole, machine, target_date, machine_number, sc as ensemble_score, (r0 + r1 + r2 + r3) / 4.0::double as avg_rank,
-  (r0 <= 5)::int + (r1 <= 5)::int + (r2 <= 5)::int + (r3 <= 5)::int as total_votes, cc as consensus_count, er as ensemble_rank,
+  (r0 <= 5)::int + (r1 <= 5)::int + (r2 <= 5)::int + (r3 <= 5)::int as total_votes, cc as consensus_count, cast(er as integer) as ensemble_rank,
   case when er <= 1 then 5 when er <= 3 then 4 when er <= 5 then 3 when cc >= 3 then 3 when er <= 10 then 2 else 1 end as priority_rank from e2""")
     q["weight_grid"] = (f"{ens}, k(x) as (values (1), (2), (3), (4), (5)), w as (select i.x as a, j.x as b, l.x as c, 10 - i.x - j.x - l.x as d from k i, k j, k l where i.x + j.x + l.x <= 10)",
         "select a, b, c, d, count(*) as n, round(avg(d1_payout_rate), 6) as avg_payout_rate from e0, w where round((a * n0 + b * n1 + c * n2 + d * n3) / 10, 9) >= 0.95 group by a, b, c, d")
