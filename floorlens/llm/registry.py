@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from floorlens.llm import decontaminate, html_text, packing, pii, quality, sharding
+from floorlens.llm import chat_repair, decontaminate, html_text, ngram_join, packing, paragraph_dedup, pii, pitman_yor, quality, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(_table(spark, sf_dir, "documents"))
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.rendered(chat_repair.repaired(_table(spark, sf_dir, "conversations")))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(sharding.shuffled_shards(_table(spark, sf_dir, "documents")))
 
@@ -30,10 +38,18 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(pii.found_spans(_table(spark, sf_dir, "documents")))
 
 
+def op7_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.repeats_digest(paragraph_dedup.repeated(_table(spark, sf_dir, "documents")))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(quality.quality(_table(spark, sf_dir, "documents")))
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_digest(pitman_yor.scored(_table(spark, sf_dir, "documents")))
+
+
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
