@@ -35,7 +35,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     executor costs the readers' tasks only."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
