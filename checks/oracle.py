@@ -11,7 +11,7 @@ TRAIL = [2, 3, 4, 5, 6, 7, 14, 28]
 OBS = """
 obs as (
   select cast(l_shipdate as date) as date,
-    'H' || (l_suppkey % 2) as hole,
+    'H' || (l_suppkey // 50) as hole,
     'M' || ((l_partkey % 20 + year(l_shipdate)) % 3) as machine,
     100 + l_partkey % 20 as machine_number,
     cast(floor(l_extendedprice) as bigint) % 6001 - 3000 as diff,
@@ -21,7 +21,7 @@ obs as (
     's' || (l_linenumber % 2) as source,
     l_orderkey * 10 + l_linenumber as ts,
     l_partkey, l_suppkey, l_extendedprice, l_returnflag,
-    strftime(l_shipdate, '%Y-%m-%d') || '_H' || (l_suppkey % 2) || '_' || (100 + l_partkey % 20)
+    strftime(l_shipdate, '%Y-%m-%d') || '_H' || (l_suppkey // 50) || '_' || (100 + l_partkey % 20)
       || '_s' || (l_linenumber % 2) as id
   from lineitem)"""
 
@@ -122,14 +122,14 @@ def mart_cols(prefixes: list[str]) -> str:
 
 EVENTS = """
 event_days as (
-  select cast(o_orderdate as date) as date, 'H' || (o_custkey % 2) as hole, 'rush' as event
+  select cast(o_orderdate as date) as date, 'H' || (o_custkey // 750) as hole, 'rush' as event
   from orders group by all
   having count(*) filter (where o_orderpriority = '1-URGENT') * 3 > count(*))"""
 EVENT_ROWS = f"""{EVENTS},
 event_rows as (
-  select cast(o_orderdate as date) as date, 'H' || (o_custkey % 2) as hole, 'rush' as event, o_orderkey
+  select cast(o_orderdate as date) as date, 'H' || (o_custkey // 750) as hole, 'rush' as event, o_orderkey
   from orders where o_orderpriority = '1-URGENT'
-    and (cast(o_orderdate as date), 'H' || (o_custkey % 2)) in (select (date, hole) from event_days))"""
+    and (cast(o_orderdate as date), 'H' || (o_custkey // 750)) in (select (date, hole) from event_days))"""
 
 CATEGORIES = ["LINE告知", "月末", "0のつく日", "1のつく日", "6のつく日", "8のつく日", "9のつく日", "通常日", "すべての日"]
 
@@ -239,8 +239,7 @@ def pct(x: str, knots: tuple[float, float, float]) -> str:
 WIN_KNOTS, PAY_KNOTS = (0.357, 0.429, 0.5), (1.0091, 1.0247, 1.0447)
 STUDIES = """
 studies as (
-  select h as hole, m as machine, case when h = 'H0' then 'island' else 'espas' end as sp
-  from (values ('H0'), ('H1')) a(h), (values ('M0'), ('M1'), ('M2')) b(m))"""
+  select distinct hole, machine, case when hole = 'H0' then 'island' else 'espas' end as sp from unit_days)"""
 
 
 def ranks(diff: str, best: str, worst: str) -> str:
@@ -292,8 +291,8 @@ def reco(features: str, literal: bool, methods: list[str]) -> str:
     now_p, b, w = ("", "cb", "cw") if features == "current" else ("prev_", "pb", "pw")
     past = strategy_list("prev_", "pb", "pw", "target_date", special("sp", "target_date"), "recommend", literal)
     now = strategy_list(now_p, b, w, "next_date", special("sp", "next_date"), "recommend", literal)
-    plain = "', '".join(m for m in methods if "filter" not in m)
-    filt = "', '".join(m for m in methods if "filter" in m)
+    plain = "', '".join(m for m in methods if m != "rms_frequency_filter")
+    filt = "rms_frequency_filter"
     return f"""{mart(STRATEGY_WINDOWS)}, {STUDIES},
 rows0 as (
   select m.*, sp, lead(d1_diff) over u as next_diff, lead(d1_game) over u as next_game
@@ -331,8 +330,9 @@ def repeats(ctes: str) -> str:
     return ctes.replace("count(*) as match_count", "count(distinct strategy) as match_count")
 
 
-def backtest() -> str:
+def backtest(candidates: int | None = None) -> str:
     """CTEs up to `picks` of the back-test over all days."""
+    cut = f"where r.rank <= {candidates}" if candidates else ""
     past = strategy_list("prev_", "pb", "pw", "target_date", special("sp", "target_date"), "backtest")
     now = strategy_list("", "cb", "cw", "next_date", special("sp", "next_date"), "backtest")
     keys = "hole, machine, sp"
@@ -383,11 +383,11 @@ picks as (
   from ranked r join stats t using (hole, machine, sp, method, target_date)
   left join rows0 o on o.hole = r.hole and o.machine = r.machine and o.sp = r.sp
     and o.machine_number = r.machine_number and o.target_date = r.target_date + 1
-  where r.rank <= 10)"""
+  {cut})"""
 
 
 BACKTEST_AS_OF = "2001-11-04"
-BACKTEST_PERIODS = [28, 120, 5000]
+BACKTEST_PERIODS = [14, 28, 60, 120, 5000]
 
 SUMMARY = f"""
 rules as (
@@ -400,7 +400,7 @@ rules as (
 summary as (
   select hole as target_hole, machine as target_machine, d.evaluation_days, sp as special_day_type, method as score_method,
     result_key, count(distinct evaluation_date) as evaluation_days_count, count(*) as total_machines,
-    round(count(*)::double / count(distinct evaluation_date), 2) as avg_machines_per_day,
+    ((200 * count(*) + count(distinct evaluation_date)) // (2 * count(distinct evaluation_date)))::double / 100 as avg_machines_per_day,
     count(*) filter (where actual_diff > 0) as win_days,
     round((count(*) filter (where actual_diff > 0))::double / count(*) * 100, 2) as win_rate,
     cast(sum(actual_diff) as bigint) as total_diff, round(avg(actual_diff), 0) as avg_diff,
@@ -492,7 +492,7 @@ r as (select *, case when c in ('0のつく日', '1のつく日') then (0, '対
             "select td as target_date, ld as data_latest_date, hole, machine, c as day_category, machine_number, t[1] as priority_rank, t[2] as strategy_name, round(w2, 2) as d2_win_rate, round(w3, 2) as d3_win_rate, round(w5, 2) as d5_win_rate, d2_pattern, d3_pattern, d5_pattern from r where t[1] > 0")
 
     # strategies
-    methods = ["original", "simple", "rms_reliability", "rms_frequency", "rms_frequency_filter", "rms_frequency_anomaly", "rms_frequency_dual"]
+    methods = ["original", "simple", "rms_reliability", "rms_frequency", "rms_frequency_filter", "rms_frequency_anomaly", "rms_frequency_dual", "strategy_filter"]
     r = reco("current", False, methods)
     add("strategy_match", r, "select hole, machine, sp as special_day_type, strategy, count(*) as matched_units from hits group by all")
     add("strategy_record", r, "select hole, machine, sp as special_day_type, strategy, n as ref_count, days, win_rate as rec_win_rate, round(payout_rate, 6) as rec_payout_rate, round(eff, 6) as effectiveness from rec")
@@ -513,7 +513,7 @@ from (select *, round(total_score / nullif(max(total_score) over g, 0), 9) as ra
     # back-test
     b = backtest()
     add("backtest_record", b, "select hole, machine, sp as special_day_type, strategy, target_date, n as ref_count, days, win_rate as rec_win_rate, round(payout_rate, 6) as rec_payout_rate, round(eff, 6) as effectiveness from rec where (hole, machine, sp, strategy, target_date) in (select (hole, machine, sp, strategy, target_date) from hits)")
-    add("backtest_picks", b, "select hole, machine, sp as special_day_type, method as score_method, target_date, evaluation_date, machine_number, total_score, cast(rank as integer) as rank, top1 as top1_score, cut as outlier_threshold, actual_diff, actual_game from picks")
+    add("backtest_picks", b, "select hole, machine, sp as special_day_type, method as score_method, target_date, evaluation_date, machine_number, total_score, cast(rank as integer) as rank, top1 as top1_score, cut as outlier_threshold, actual_diff, actual_game from picks where rank <= 10")
     s = f"{b}, {SUMMARY}"
     add("backtest_summary", s, "select *, cast(null as varchar) as result_detail from summary")
     keys = "target_hole, target_machine, evaluation_days, special_day_type"
@@ -526,8 +526,14 @@ from (select *, round(total_score / nullif(max(total_score) over g, 0), 9) as ra
     add("best_method", f"{s}, {best('top1', 'TOP1', 0, 100)}, {best('th98', 'THRESHOLD_98PCT', 1, 2)}, {best('th99', 'THRESHOLD_99PCT', 1, 1.5)}",
         f"select {keys}, top1_method, top1_payout, th98_method, th98_payout, th98_units, th99_method, th99_payout, th99_units, round(top1_payout - th98_payout, 2) as top1_th98_gap, abs(top1_payout - th98_payout) < 1 as gap_below_one from top1 left join th98 using ({keys}) left join th99 using ({keys})")
     side = lambda n: f"(select target_hole, target_machine, special_day_type, score_method, max(nullif(payout_rate, 0)) filter (where result_key = 'TOP1') as t, max(nullif(payout_rate, 0)) filter (where result_key = 'THRESHOLD_99PCT') as h from summary where evaluation_days = {n} group by all having count(*) filter (where result_key = 'TOP1') > 0)"
-    add("period_compare", s, f"select target_hole, target_machine, special_day_type, score_method, a.t as short_top1, b.t as long_top1, round(b.t - a.t, 2) as top1_change, a.h as short_th99, b.h as long_th99, round(b.h - a.h, 2) as th99_change from {side(28)} a full join {side(120)} b using (target_hole, target_machine, special_day_type, score_method)")
-    add("reliability_grade", s, f"select {keys}, score_method, win_rate, payout_rate, case when win_rate > 60 and payout_rate > 108 then 5 when win_rate > 55 and payout_rate > 105 then 4 when win_rate > 50 and payout_rate > 102 then 3 when win_rate > 45 and payout_rate > 100 then 2 else 1 end as stars from summary where result_key = 'TOP1'")
+    add("period_compare", s, f"select target_hole, target_machine, special_day_type, score_method, a.t as short_top1, b.t as long_top1, round(b.t - a.t, 2) as top1_change, a.h as short_th99, b.h as long_th99, round(b.h - a.h, 2) as th99_change from {side(60)} a full join {side(120)} b using (target_hole, target_machine, special_day_type, score_method)")
+    grade = "case when win_rate > 60 and payout_rate > 108 then '非常に高い' when win_rate > 55 and payout_rate > 105 then '高い' when win_rate > 50 and payout_rate > 102 then '中程度' when win_rate > 45 and payout_rate > 100 then '低い' else '非常に低い' end"
+    add("reliability_grade", s, f"select {keys}, score_method, win_rate, payout_rate, case when win_rate > 60 and payout_rate > 108 then 5 when win_rate > 55 and payout_rate > 105 then 4 when win_rate > 50 and payout_rate > 102 then 3 when win_rate > 45 and payout_rate > 100 then 2 else 1 end as stars, {grade} as grade from summary where result_key = 'TOP1'")
+    add("backtest_summary_top10", f"{backtest(10)}, {SUMMARY}", "select *, cast(null as varchar) as result_detail from summary")
+    pay_of = ", ".join(f"max(payout_rate) filter (where evaluation_days = {n}) as payout_{n}" for n in (14, 28, 60))
+    add("recent_trend", s, f"select *, coalesce(payout_14 > payout_28 and payout_28 > payout_60, false) as rising from (select target_hole, target_machine, special_day_type, score_method, {pay_of} from summary where result_key = 'TOP1' group by all)")
+    levels = ", ".join(f"round(max(total_score) * {p / 100}::double, 9) as threshold_{p}" for p in (80, 85, 90, 95, 96, 97, 98, 99))
+    add("score_stats", b, f"select hole, machine, sp as special_day_type, method as score_method, target_date, count(*) as units, min(total_score) as min_score, max(total_score) as max_score, round(median(total_score), 9) as median_score, {levels} from scored group by all")
 
     for name, (ctes, select) in oracle_more.build().items():
         add(name, ctes, select)

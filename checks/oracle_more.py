@@ -14,17 +14,22 @@ venues as (
 STATUS = f"""{OBS}, {VENUES},
 have as (select date, hole, count(*) as rows, max(ts) as last_updated from obs group by all),
 status as (
-  select cast(d as date) as date, v.name as hole, v.region, v.late_update, coalesce(h.rows, 0) as rows, h.last_updated
-  from generate_series(date '1995-01-01', date '2001-12-31', interval 1 day) g(d) cross join venues v
+  select cast(d as date) as date, v.name as hole, v.region, v.late_update, true as active, coalesce(h.rows, 0) as rows, h.last_updated
+  from generate_series((select min(date) from obs), (select max(date) from obs), interval 1 day) g(d) cross join venues v
   left join have h on h.date = cast(d as date) and h.hole = v.name where v.active),
+inactive as (select h.* from have h where hole not in (select name from venues where active)),
+every as (
+  select * from status union all
+  select date, i.hole, v.region, coalesce(v.late_update, false), false, i.rows, i.last_updated from inactive i left join venues v on v.name = i.hole),
 days as (
   select date, cast(sum(rows) as bigint) as total_count, count(*) filter (where rows > 0) as acquired_count,
-    count(*) as total_venues, coalesce(bool_and(rows > 0) filter (where late_update), true) as priority_complete,
-    bool_and(rows > 0) as all_complete
-  from status group by all)"""
+    count(*) filter (where active) as total_venues,
+    coalesce(bool_and(rows > 0) filter (where late_update and active), true) as priority_complete,
+    coalesce(bool_and(rows > 0) filter (where active), true) as all_complete
+  from every group by all)"""
 FAILURES = """
 failures as (
-  select cast(event_id as varchar) as id, cast(ts as date) as date, 'H' || (user_id % 2) as hole,
+  select cast(event_id as varchar) as id, cast(ts as date) as date, 'H' || (user_id // 75) as hole,
     case when event_id % 4 = 0 then null else 'M' || (event_id % 3) end as machine, ts as failed_at,
     case event_id % 3 when 0 then 'pending' when 1 then 'resolved' else 'ignored' end as status, event_id
   from events where event_type = 'error')"""
@@ -44,7 +49,7 @@ def build() -> dict[str, tuple[str, str]]:
     q = {}
     q["scan_rows_per_date"] = (OBS, "select date, count(*) as n from obs group by date")
     q["latest_dates"] = (mart(["d1"]), "select hole, machine, max(target_date) as latest_date from mart group by all")
-    q["collection_status"] = (STATUS, "select * from status")
+    q["collection_status"] = (STATUS, "select * from every")
     q["collection_days"] = (STATUS, "select * from days")
     q["collection_summary"] = (STATUS, "select count(*) as total_dates, count(*) filter (where priority_complete) as priority_complete_dates, count(*) filter (where all_complete) as all_complete_dates from days")
     q["mart_status"] = (mart(["d1"]), """select target_date, hole, case grouping(target_date, hole) when 0 then 'venue' when 1 then 'date' else 'total' end as level,
@@ -81,15 +86,24 @@ from failed left join bs using (date, hole, machine) left join cs using (date, h
         f"select {cols} from c union all select {cols} from t where ({KEY}) not in (select ({KEY}) from c)")
     q["insert_ignore_result"] = (f"{OBS}, {CORRECTIONS}, {STORE}, t as ({newest('store')}), c as (select * from fix qualify row_number() over (partition by {KEY} {OLDEST}) = 1)",
         f"select {cols} from t union all select {cols} from c where ({KEY}) not in (select ({KEY}) from t)")
+    # one by one: each change reads the row that the ones before it left
     q["apply_changes"] = ("""
-ev as (select cast(ts as date) as date, user_id, event_type, value, event_id from events),
+recursive ev as (select cast(ts as date) as date, user_id, event_type, value, event_id from events),
 t as (select date, user_id, count(*) as errors, max(value) as worst from ev where event_type = 'error' group by all),
-c as (
-  select date, user_id, arg_max(event_type, event_id) as last_type,
-    arg_max(value, event_id) filter (where event_type = 'click') as v
-  from ev where event_type <> 'error' group by all)""",
-        """select date, user_id, errors, coalesce(v, worst) as worst from t full join c using (date, user_id)
-where last_type is null or (last_type <> 'signup' and (errors is not null or last_type = 'view'))""")
+c as (select *, row_number() over (partition by date, user_id order by event_id) as n from ev where event_type <> 'error'),
+k as (select date, user_id from t union select date, user_id from c),
+step as (
+  select k.date, k.user_id, 0 as n, t.user_id is not null as here, t.errors, t.worst from k left join t using (date, user_id)
+  union all
+  select s.date, s.user_id, c.n,
+    case c.event_type when 'signup' then false when 'view' then true else s.here end,
+    case when c.event_type = 'signup' then null else s.errors end,
+    case when c.event_type = 'signup' then null
+      when c.event_type = 'click' and s.here then c.value
+      when c.event_type = 'view' and c.event_id % 3 = 0 then null else s.worst end
+  from step s join c on c.date = s.date and c.user_id = s.user_id and c.n = s.n + 1)""",
+        """select date, user_id, errors, worst from (
+  select * from step qualify row_number() over (partition by date, user_id order by n desc) = 1) where here""")
     q["evolve"] = (OBS, "select 's1' as source, hole, cast(0 as bigint) as max_my, count(*) as n, cast(0 as bigint) as games, cast(sum(diff) as bigint) as diff from obs group by hole")
     q["format_raw"] = (OBS, "select date, hole, machine_number, diff, game, machine_number as big, count(*) as n from obs group by all")
     q["validate_raw"] = (OBS, "select array_to_string(list_filter([case when l_returnflag = 'A' then 'machine' end, case when game is null then 'game' end], lambda x: x is not null), ',') as errors, count(*) as n from obs group by all")
@@ -133,7 +147,7 @@ stats as (select hole, machine_number as number, d1_diff, d28_diff from mart whe
     q["steady_winners"] = (mart(["d2", "prev_d2"]), "select target_date, hole, machine_number, machine, d2_win_rate, prev_d2_win_rate from mart where d2_win_rate >= 0.5 and prev_d2_win_rate >= 0.5")
     stream = """
 st as (
-  select cast(ts as date) as date, 'H0' as hole, 'M' || (user_id % 3) as machine, user_id % 40 as machine_number,
+  select cast(ts as date) as date, 'H' || (user_id // 75) as hole, 'M' || (user_id % 3) as machine, user_id % 40 as machine_number,
     cast(floor(value) as bigint) - 30 as diff, 100 + event_id % 50 as game,
     case when cast(floor(value) as bigint) - 30 > 0 then 1 else 0 end as win, event_type as source, ts as stamp, event_id
   from events)"""

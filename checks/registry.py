@@ -21,8 +21,6 @@ from floorlens.sources import schemas
 from . import oracle
 
 OBS_ORDER = dict(ts="ts", ties=d.TIES)
-PROFILES = {"H0": "island", "H1": "espas"}
-VENUES, MODELS = ["H0", "H1"], ["M0", "M1", "M2"]
 RECO_METHODS = [
     "original",
     "simple",
@@ -31,6 +29,7 @@ RECO_METHODS = [
     "rms_frequency_filter",
     "rms_frequency_anomaly",
     "rms_frequency_dual",
+    "strategy_filter",
 ]
 
 
@@ -83,8 +82,14 @@ def special_days(spark, sf):
     )
 
 
-def reco_params():
-    return [st.RecoParam(h, m, PROFILES[h], s) for h in VENUES for m in MODELS for s in RECO_METHODS]
+def studies(mart_table):
+    """(venue, model, special-day profile) of every venue and model of the data: a list as long as the venues' models."""
+    pairs = mart_table.select("hole", "machine").distinct().orderBy("hole", "machine").collect()
+    return [(r.hole, r.machine, "island" if r.hole == "H0" else "espas") for r in pairs]
+
+
+def reco_params(mart_table):
+    return [st.RecoParam(h, m, p, s) for h, m, p in studies(mart_table) for s in RECO_METHODS]
 
 
 def scoring_mart(spark, sf):
@@ -97,23 +102,42 @@ def scoring_mart(spark, sf):
 
 
 def recommendation(spark, sf, **kw):
-    return st.recommend(scoring_mart(spark, sf), reco_params(), **kw)
+    table = scoring_mart(spark, sf)
+    return st.recommend(table, reco_params(table), **kw)
 
 
-def backtest_params():
-    return [bt.BacktestParam(h, m, n, PROFILES[h]) for h in VENUES for m in MODELS for n in oracle.BACKTEST_PERIODS]
+def backtest_params(mart_table):
+    return [bt.BacktestParam(h, m, n, p) for h, m, p in studies(mart_table) for n in oracle.BACKTEST_PERIODS]
 
 
 AS_OF = dt.date.fromisoformat(oracle.BACKTEST_AS_OF)
 
 
+def backtest_rows(spark, sf):
+    table = scoring_mart(spark, sf)
+    return stored(bt.evaluation_rows(table, backtest_params(table)))
+
+
 def backtest_picks(spark, sf):
-    rows = stored(bt.evaluation_rows(scoring_mart(spark, sf), backtest_params()))
-    return bt.score_picks(bt.unit_scores(rows))
+    return bt.score_picks(bt.unit_scores(backtest_rows(spark, sf)), 10)
 
 
-def backtest_summary(spark, sf):
-    return bt.backtest(scoring_mart(spark, sf), backtest_params(), AS_OF)
+def backtest_summary(spark, sf, candidates=None):
+    table = scoring_mart(spark, sf)
+    return bt.backtest(table, backtest_params(table), AS_OF, candidates=candidates)
+
+
+def score_stats(spark, sf):
+    """Spread of the scores of each floor, method and day."""
+    picks = bt.score_picks(bt.unit_scores(backtest_rows(spark, sf)))
+    levels = [F.round(F.first("top1_score") * (p / 100), 9).alias(f"threshold_{p}") for p in (80, 85, 90, 95, 96, 97, 98, 99)]
+    return picks.groupBy(*st.STUDY, "score_method", "target_date").agg(
+        F.count(F.lit(1)).alias("units"),
+        F.min("total_score").alias("min_score"),
+        F.max("total_score").alias("max_score"),
+        F.round(F.median("total_score"), 9).alias("median_score"),
+        *levels,
+    )
 
 
 def _ranked(**kw):
@@ -198,14 +222,19 @@ def _core() -> dict:
         "backtest_summary": backtest_summary,
         "method_matrix": lambda s, f: report.method_matrix(backtest_summary(s, f)),
         "best_method": lambda s, f: report.best_method(backtest_summary(s, f)),
-        "period_compare": lambda s, f: report.period_compare(backtest_summary(s, f), 28, 120),
-        "reliability_grade": lambda s, f: report.reliability_grade(backtest_summary(s, f)).drop("grade"),
+        "period_compare": lambda s, f: report.period_compare(backtest_summary(s, f), 60, 120),
+        "reliability_grade": lambda s, f: report.reliability_grade(backtest_summary(s, f)),
+        "backtest_summary_top10": lambda s, f: backtest_summary(s, f, 10),
+        "recent_trend": lambda s, f: report.recent_trend(backtest_summary(s, f)).withColumnsRenamed(
+            {"14": "payout_14", "28": "payout_28", "60": "payout_60"}
+        ),
+        "score_stats": score_stats,
     }
     return q
 
 
 def _backtest_record(spark, sf):
-    rows = stored(bt.evaluation_rows(scoring_mart(spark, sf), backtest_params()))
+    rows = backtest_rows(spark, sf)
     asked = rows.select(*st.STUDY, "target_date", F.explode("now").alias("strategy")).distinct()
     return bt.running_record(rows).join(asked, [*st.STUDY, "strategy", "target_date"], "left_semi")
 

@@ -15,7 +15,6 @@ from floorlens.sources import clean, layouts, pages, schemas, sinks, text
 from floorlens.sources import derived as d
 from floorlens.streaming import ingest
 
-FIRST, LAST = dt.date(1995, 1, 1), dt.date(2001, 12, 31)
 
 
 def _mart(s, f):
@@ -30,8 +29,12 @@ def _unit_days(s, f):
     return unit_days(s, f)
 
 
+def _range(s, f):
+    return d.observations(s, f).agg(F.min("date"), F.max("date")).first()
+
+
 def _collection(s, f):
-    return quality.collection_status(d.observations(s, f), d.venues(s, f), FIRST, LAST, ts="ts")
+    return quality.collection_status(d.observations(s, f), d.venues(s, f), *_range(s, f), ts="ts")
 
 
 def has_data(s, f):
@@ -108,6 +111,7 @@ def apply_changes(s, f):
         "user_id",
         op.alias("op"),
         F.when(F.col("event_type") == "click", F.col("value")).alias("worst"),
+        F.when((F.col("event_type") == "view") & (F.col("event_id") % 3 == 0), F.array(F.lit("worst"))).alias("set_null"),
         F.col("event_id").alias("seq"),
     )
     return sinks.apply_changes(target, changes, ["date", "user_id"])
@@ -315,7 +319,7 @@ def stream_mart(s, f):
 def queries():
     obs = d.observations
     return {
-        "scan_rows_per_date": lambda s, f: lists.rows_per_date(obs(s, f), FIRST, LAST),
+        "scan_rows_per_date": lambda s, f: lists.rows_per_date(obs(s, f), *_range(s, f)),
         "latest_dates": lambda s, f: summary.latest_dates(_mart(s, f), ["hole", "machine"]),
         "collection_status": _collection,
         "collection_days": lambda s, f: quality.collection_days(_collection(s, f)),

@@ -13,16 +13,34 @@ from ..functions import fixed
 def collection_status(
     raw: DataFrame, venues: DataFrame, date_from: dt.date, date_to: dt.date, ts: str = "timestamp"
 ) -> DataFrame:
-    """Rows and last update per day and active venue, days without data included."""
+    """Rows and last update per day and venue.
+
+    Every active venue has a row for every day, days without data included; venues
+    that are inactive or not listed have rows where they have data.
+    """
     have = (
         raw.where(F.col("date").between(F.lit(date_from), F.lit(date_to)))
         .groupBy("date", "hole")
         .agg(F.count(F.lit(1)).alias("rows"), F.max(ts).alias("last_updated"))
     )
-    active = venues.where("active").select(F.col("name").alias("hole"), "region", "late_update")
+    active = venues.where("active").select(F.col("name").alias("hole"))
     every_day = F.sequence(F.lit(date_from), F.lit(date_to), F.expr("interval 1 day"))
     grid = active.withColumn("date", F.explode(every_day))
-    return grid.join(have, ["date", "hole"], "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    grid = grid.select("date", "hole", F.lit(True).alias("active"))
+    listed = venues.select(F.col("name").alias("hole"), "region", "late_update")
+    return (
+        grid.join(have, ["date", "hole"], "full")
+        .join(listed, "hole", "left")
+        .select(
+            "date",
+            "hole",
+            "region",
+            F.coalesce("late_update", F.lit(False)).alias("late_update"),
+            F.coalesce("active", F.lit(False)).alias("active"),
+            F.coalesce("rows", F.lit(0)).alias("rows"),
+            "last_updated",
+        )
+    )
 
 
 def collection_days(status: DataFrame) -> DataFrame:
@@ -31,9 +49,9 @@ def collection_days(status: DataFrame) -> DataFrame:
     return status.groupBy("date").agg(
         F.sum("rows").alias("total_count"),
         F.count_if(have).alias("acquired_count"),
-        F.count(F.lit(1)).alias("total_venues"),
-        F.coalesce(F.bool_and(F.when(F.col("late_update"), have)), F.lit(True)).alias("priority_complete"),
-        F.bool_and(have).alias("all_complete"),
+        F.count_if("active").alias("total_venues"),
+        F.coalesce(F.bool_and(F.when(F.col("late_update") & F.col("active"), have)), F.lit(True)).alias("priority_complete"),
+        F.coalesce(F.bool_and(F.when(F.col("active"), have)), F.lit(True)).alias("all_complete"),
     )
 
 

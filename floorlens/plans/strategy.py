@@ -306,11 +306,12 @@ def unit_score_inputs(matches: DataFrame, unit_keys: list[str], filter_missing:
 _INPUTS = ["match_count", "weight", "pay", "win", "days", "refs"]
 
 
-def with_methods(inputs: DataFrame, methods: list[str]) -> DataFrame:
-    """One row per unit and method, with the sums the method uses."""
+def with_methods(inputs: DataFrame, methods: list[str], filtered=fixed.FILTERED_METHODS) -> DataFrame:
+    """One row per unit and method, with the sums the method uses: those in `filtered`
+    use the effective strategies only."""
     structs = []
     for m in methods:
-        p = "f_" if m in fixed.FILTERED_METHODS else ""
+        p = "f_" if m in filtered else ""
         s = F.struct(F.lit(m).alias("score_method"), *[F.col(p + c).alias(c) for c in _INPUTS])
         structs.append(F.when(F.col(p + "match_count").isNotNull(), s))
     keys = [c for c in inputs.columns if c.removeprefix("f_") not in _INPUTS]
@@ -451,7 +452,7 @@ def recommend(
         T.StructType([T.StructField(c, T.StringType()) for c in [*STUDY, "score_method"]]),
     )
     group = [*STUDY, "score_method"]
-    scores = score_units(with_methods(inputs, methods).join(wanted, group, "left_semi"), group, "absolute")
+    scores = score_units(with_methods(inputs, methods, ("rms_frequency_filter",)).join(wanted, group, "left_semi"), group, "absolute")
     w = Window.partitionBy(*group)
     ranked = scores.withColumns(
         {

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 def work_folder(spark: SparkSession) -> str:
     """A new folder in the shared storage that spark.checkpoint.dir names.
 
-    Only where that setting is absent - tests on one machine - a local folder is
-    made.
+    Without it there is no place that all executors see; a session whose executors are
+    the driver uses its warehouse, any other is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="floorlens-")
+        master = spark.sparkContext.master
+        if not master.startswith("local") or "cluster" in master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir')}/floorlens"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 

@@ -1,7 +1,8 @@
 """Domain tables derived from the generic test tables.
 
 Every table is computed by Spark from the whole parquet input; integers only,
-so another engine gets the same values.
+so another engine gets the same values.  A venue is a run of supplier, customer
+or user keys, so venues grow with the data and each keeps its density.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     base = table(spark, sf_dir, "lineitem").selectExpr(
         f"{day} as date",
-        "concat('H', cast(l_suppkey % 2 as string)) as hole",
+        "concat('H', cast(l_suppkey div 50 as string)) as hole",
         f"concat('M', cast(({part20} + year({day})) % 3 as string)) as machine",
         f"cast(100 + {part20} as bigint) as machine_number",
         f"{diff} as diff",
@@ -80,7 +81,7 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = table(spark, sf_dir, "orders").selectExpr(
         "cast(o_orderdate as date) as date",
-        "concat('H', cast(o_custkey % 2 as string)) as hole",
+        "concat('H', cast(o_custkey div 750 as string)) as hole",
         "o_orderkey",
         "o_orderpriority = '1-URGENT' as urgent",
     )
@@ -97,7 +98,7 @@ def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (date, hole) of the event calendar."""
     orders = table(spark, sf_dir, "orders").selectExpr(
         "cast(o_orderdate as date) as date",
-        "concat('H', cast(o_custkey % 2 as string)) as hole",
+        "concat('H', cast(o_custkey div 750 as string)) as hole",
         "o_orderpriority = '1-URGENT' as urgent",
     )
     return (
@@ -142,7 +143,7 @@ def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").where("event_type = 'error'").selectExpr(
         "cast(event_id as string) as id",
         "cast(ts as date) as date",
-        "concat('H', cast(user_id % 2 as string)) as hole",
+        "concat('H', cast(user_id div 75 as string)) as hole",
         "case when event_id % 4 = 0 then null else concat('M', cast(event_id % 3 as string)) end as machine",
         "props as error_message",
         "ts as failed_at",
@@ -156,7 +157,7 @@ def stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     diff = "(cast(floor(value) as bigint) - 30)"
     return table(spark, sf_dir, "events").selectExpr(
         "cast(ts as date) as date",
-        "'H0' as hole",
+        "concat('H', cast(user_id div 75 as string)) as hole",
         "concat('M', cast(user_id % 3 as string)) as machine",
         "cast(user_id % 40 as bigint) as machine_number",
         f"{diff} as diff",

@@ -12,7 +12,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,15 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def _drop(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
-    fs.delete(p, True)
+    if fs.exists(p) and not fs.delete(p, True):
+        raise OSError(f"{path} could not be deleted")
+
+
+def partition_folder(spark: SparkSession, path: str, by: list[str], row) -> str:
+    """The folder of a partition, with the names that Spark gives it."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    parts = [utils.getPartitionPathString(c, None if row[c] is None else str(row[c])) for c in by]
+    return "/".join([path, *parts])
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
@@ -63,8 +71,7 @@ def _drop_partitions(spark: SparkSession, path: str, keys: DataFrame, by: list[s
     """Deletes folders.  The key list is as long as the number of folders, like Spark's own file index."""
     rows = keys.collect()
     for r in rows:
-        spec = "/".join(f"{c}={r[c]}" for c in by)
-        _drop(spark, f"{path}/{spec}")
+        _drop(spark, partition_folder(spark, path, by, r))
     return len(rows)
 
 
@@ -90,7 +97,7 @@ def delete_slice(
     if hole is None or "hole" in by:
         doomed = counts.collect()
         for r in doomed:
-            _drop(spark, f"{path}/" + "/".join(f"{c}={r[c]}" for c in by))
+            _drop(spark, partition_folder(spark, path, list(by), r))
         return sum(r["n"] for r in doomed)
     n = hit.count()
     rest = rows.where(F.col("hole") != hole)
@@ -98,7 +105,7 @@ def delete_slice(
     gone = emptied.collect()
     overwrite_partitions(rest, path, list(by))
     for r in gone:
-        _drop(spark, f"{path}/" + "/".join(f"{c}={r[c]}" for c in by))
+        _drop(spark, partition_folder(spark, path, list(by), r))
     return n
 
 
@@ -118,6 +125,22 @@ def absent(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     return source.join(target.select(*keys), keys, "left_anti")
 
 
+def touched_partitions(spark: SparkSession, batch: DataFrame, path: str, by: list[str], schema: T.StructType) -> DataFrame:
+    """The table's rows in the partitions of the batch, read with a literal partition filter.
+
+    The batch's partition keys are collected: as many as the folders it will write.
+    """
+    keys = batch.select(*by).distinct().collect()
+    rows = spark.read.schema(schema).parquet(path)
+    if not keys:
+        return rows.where("false")
+    for c in by:
+        values = {k[c] for k in keys}
+        given = F.col(c).isin([v for v in values if v is not None])
+        rows = rows.where(given | F.col(c).isNull() if None in values else given)
+    return rows
+
+
 def upsert(
     spark: SparkSession, source: DataFrame, path: str, keys: list[str], by: list[str], schema: T.StructType
 ) -> UpsertResult:
@@ -133,8 +156,7 @@ def upsert(
     total = new.count()
     updated = 0
     if exists(spark, path):
-        touched = new.select(*by).distinct()
-        old = spark.read.schema(schema).parquet(path).join(touched, by, "left_semi")
+        old = touched_partitions(spark, new, path, by, schema)
         updated = old.join(new.select(*keys), keys, "left_semi").count()
         overwrite_partitions(merged(old, new, keys), path, by)
     else:
@@ -149,7 +171,7 @@ def insert_ignore(
     """Adds the rows whose key is new; existing rows win.  The source has unique keys."""
     rows = source.select(*[f.name for f in schema.fields])
     if exists(spark, path):
-        rows = absent(rows, spark.read.schema(schema).parquet(path), keys)
+        rows = absent(rows, touched_partitions(spark, rows, path, by, schema), keys)
     rows.hint("rebalance", *[F.col(c) for c in by]).write.mode("append").partitionBy(*by).parquet(path)
 
 
@@ -181,30 +203,56 @@ def write_layouts(layouts: DataFrame, path: str) -> None:
     ).json(path)
 
 
-def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
-    """Target after a change set of rows (op, keys, values, seq).
+def apply_changes(
+    target: DataFrame, changes: DataFrame, keys: list[str], seq: str = "seq", nulls: str = "set_null"
+) -> DataFrame:
+    """Target after a change set of rows (op, keys, values, seq), as if applied one by one.
+
+    op is add, update or delete.  An add makes the row if it is absent and otherwise
+    changes it; an update of an absent row does nothing; a delete takes the row with
+    all its values.  A change sets the columns it has a value for, and to NULL those
+    that its optional array column `nulls` names.  Keys compare NULL-safe.
 
-    op is add, update or delete; per key the last change decides between keeping
-    and deleting, and each column takes its last non-NULL value.  Keys compare
-    NULL-safe.  Changes are reduced per key with partial aggregation.
+    Whether a row exists is decided by its last add or delete; its values come from the
+    changes after the last delete that found the row there.
     """
     cols = [c for c in target.columns if c not in keys]
     given = [c for c in cols if c in changes.columns]
-    aggs = [F.max_by("op", seq).alias("__op"), F.max_by(F.lit(True), seq).alias("__hit")]
-    aggs += [
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(seq))).alias(f"__{c}") for c in given
-    ]
-    last = changes.groupBy(*keys).agg(*aggs).withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    key = Window.partitionBy(*keys)
+    so_far = key.orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    decides = F.when(F.col("op") != "update", F.col("op"))
+    marked = changes.withColumns(
+        {
+            "__state": F.last(decides, ignorenulls=True).over(so_far),
+            "__deleted": F.max(F.when(F.col("op") == "delete", F.col(seq))).over(key),
+        }
+    )
+    live = (F.col("op") != "delete") & (F.col("__deleted").isNull() | (F.col(seq) > F.col("__deleted")))
+    sure = live & (F.col("__state") == "add")  # without an add or delete before it, the target decides
+    maybe = live & (F.coalesce("__state", F.lit("add")) == "add")
+    aggs = [F.max_by(decides, F.when(decides.isNotNull(), F.col(seq))).alias("__op"), F.max("__deleted").alias("__deleted")]
+    for c in given:
+        sets = F.col(c).isNotNull()
+        if nulls in changes.columns:
+            sets = sets | F.coalesce(F.array_contains(nulls, c), F.lit(False))
+        for name, holds in (("sure", sure), ("maybe", maybe)):
+            aggs.append(F.max_by(F.struct(F.col(c).alias("v")), F.when(holds & sets, F.col(seq))).alias(f"__{name}_{c}"))
+    last = marked.groupBy(*keys).agg(*aggs).withColumnsRenamed({k: f"__k_{k}" for k in keys})
     on = None
     for k in keys:
         same = F.col(k).eqNullSafe(F.col(f"__k_{k}"))
         on = same if on is None else on & same
     old = target.withColumn("__old", F.lit(True))
     both = old.join(last, on, "full")
-    keep = F.col("__op").isNull() | ((F.col("__op") != "delete") & (F.col("__old").isNotNull() | (F.col("__op") == "add")))
+    was = F.col("__old").isNotNull()
+    keep = F.when(F.col("__op").isNull(), was).otherwise(F.col("__op") == "add")
 
     def value(c: str) -> Column:
-        return F.coalesce(F.col(f"__{c}"), F.col(c)).alias(c) if c in given else F.col(c)
+        base = F.when(F.col("__deleted").isNull(), F.col(c))
+        if c not in given:
+            return base.alias(c)
+        new = F.when(was, F.col(f"__maybe_{c}")).otherwise(F.col(f"__sure_{c}"))
+        return F.when(new.isNotNull(), new["v"]).otherwise(base).alias(c)
 
-    key_cols = [F.when(F.col("__old").isNotNull(), F.col(k)).otherwise(F.col(f"__k_{k}")).alias(k) for k in keys]
+    key_cols = [F.when(was, F.col(k)).otherwise(F.col(f"__k_{k}")).alias(k) for k in keys]
     return both.where(keep).select(*key_cols, *[value(c) for c in cols]).select(*target.columns)

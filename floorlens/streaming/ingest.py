@@ -39,9 +39,7 @@ def merge_batch(
     spark = batch.sparkSession
     rows = batch.select(*[f.name for f in schema.fields])
     if sinks.exists(spark, path):
-        touched = rows.select(*by).distinct()
-        old = spark.read.schema(schema).parquet(path).join(touched, by, "left_semi")
-        rows = rows.unionByName(old)
+        rows = rows.unionByName(sinks.touched_partitions(spark, rows, path, by, schema))
     # after ts the remaining columns only make the order total
     ties = [f.name for f in schema.fields if f.name not in (ts, *keys)]
     sinks.overwrite_partitions(dedupe_latest(rows, keys, ts, ties), path, by)

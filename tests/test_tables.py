@@ -71,6 +71,40 @@ def test_apply_changes(spark):
     assert got == {(1, "a2", "x3"), (None, "c2", "z"), (3, "n", "m")}
 
 
+def test_apply_changes_in_order(spark):
+    """An update after an add counts, a delete takes the old values, NULL can be set."""
+    target = spark.createDataFrame([(1, 5, "x"), (2, 6, "y"), (5, 7, "z")], "k int, v int, w string")
+    changes = spark.createDataFrame(
+        [(3, "add", 1, None, None, 1), (3, "update", 2, None, None, 2), (1, "delete", None, None, None, 1),
+         (1, "update", 8, None, None, 2), (1, "add", None, "new", None, 3), (2, "update", None, None, ["v"], 1),
+         (4, "update", 9, None, None, 1), (4, "add", None, "w", None, 2), (5, "add", 1, None, None, 1), (5, "delete", None, None, None, 2)],
+        "k int, op string, v int, w string, set_null array<string>, seq int",
+    )
+    got = {tuple(r) for r in sinks.apply_changes(target, changes, ["k"]).collect()}
+    assert got == {(3, 2, None), (1, None, "new"), (2, None, "y"), (4, None, "w")}
+
+
+def test_delete_slice_with_special_characters(spark, tmp_path):
+    p = str(tmp_path / "t")
+    rows = spark.createDataFrame([(D(2024, 1, 1), h, n) for h in ("A:B", "C/D", None) for n in (1, 2)], "date date, hole string, n int")
+    sinks.overwrite_partitions(rows, p, ["date", "hole"])
+    assert sinks.delete_slice(spark, p, D(2024, 1, 1), D(2024, 1, 1), "A:B", schema=rows.schema) == 2
+    left = spark.read.schema(rows.schema).parquet(p)
+    assert {r.hole for r in left.collect()} == {"C/D", None}
+    assert sinks.delete_slice(spark, p, D(2024, 1, 1), D(2024, 1, 1), schema=rows.schema) == 4
+    assert spark.read.schema(rows.schema).parquet(p).count() == 0
+
+
+def test_merge_reads_the_touched_partitions_only(spark, tmp_path):
+    p = str(tmp_path / "t")
+    rows = spark.range(40).selectExpr("date_add(date'2024-01-01', cast(id % 20 as int)) as date", "concat('H', id % 2) as hole", "id")
+    sinks.overwrite_partitions(rows, p, ["date", "hole"])
+    batch = rows.where("date = date'2024-01-03'")
+    plan = sinks.touched_partitions(spark, batch, p, ["date", "hole"], rows.schema)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "2024" in plan.split("PartitionFilters: [")[1].split("]")[0] or "19725" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_export_refuses_bad_batches_and_csv_reads_back(spark, tmp_path):
     p = str(tmp_path / "csv")
     rows = raw(spark, [(D(2024, 1, 1), "A", 'm"1, x', 1, 1, 1)])
