@@ -34,6 +34,8 @@ _BLOCKS = frozenset(
 ) | _SKIPPED
 _CLOSES_P = _BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "head", "title"}
 _REGIONS = frozenset(("article", "main"))
+#: Elements that can hold a page's text; a paragraph or list cannot be its region.
+_HOLDERS = frozenset("html body div section td center".split())
 _BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|notices?|gdpr|"
     r"popup|modal|newsletter|subscribe|signup|sidebar|side-bar|rail|menu|nav(?:bar|igation)?|breadcrumbs?|footer|header|"
@@ -53,6 +55,7 @@ class PageLines(HTMLParser):
         self.by_class = by_class
         self.lines: list[tuple[str, int, tuple[int, ...]]] = []
         self.regions: dict[int, str] = {}
+        self.holders: set[int] = set()
         self.stack: list[tuple[str, int, bool]] = []
         self.text: list[str] = []
         self.tags, self.made, self.hidden = 0, 0, 0
@@ -81,6 +84,8 @@ class PageLines(HTMLParser):
         skipped = tag in _SKIPPED or self._marked(tag, attrs)
         if tag in _REGIONS and not self.hidden and not skipped:
             self.regions[self.made] = tag
+        if tag in _HOLDERS:
+            self.holders.add(self.made)
         self.stack.append((tag, self.made, skipped))
         self.hidden += skipped
 
@@ -155,7 +160,7 @@ def content_lines(page: PageLines, sigma: float, share: float) -> list[str]:
         kind = "article" if "article" in regions.values() else "main"
         inside = {n for n, k in regions.items() if k == kind}
         return [t for t, _, path in lines if inside.intersection(path)]
-    holders = [n for n, weight in voted.items() if weight >= share * total]
+    holders = [n for n, weight in voted.items() if weight >= share * total and n in page.holders]
     if not holders:
         return [t for t, _, _ in lines]
     smallest = max(holders)  # elements are numbered as they open, so the innermost opened last
