@@ -84,7 +84,7 @@ class ChunkIds(dict):
     are forgotten in whole when they grow large.
     """
 
-    LIMIT = 350_000
+    LIMIT = 220_000
 
     def __init__(self, path: str | None):
         super().__init__()
