@@ -154,8 +154,10 @@ def references(
     pooled = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("lang"), "word", "n")
     both = own.unionByName(pooled)
     is_class = F.col("word").startswith(" ")
-    rank = F.row_number().over(Window.partitionBy("lang", is_class).orderBy(F.desc("n"), "word"))
-    top = both.withColumn("rank", rank).where((F.col("rank") <= top_words) | is_class).drop("rank")
+    # words alone, so that each task keeps its first `top_words` of a language before the shuffle
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    common = both.where(~is_class).withColumn("rank", rank).where(F.col("rank") <= top_words).drop("rank")
+    top = common.unionByName(both.where(is_class))
     sums = both.where(~is_class).groupBy("lang").agg(F.sum("n").alias("n"))
     rows = top.collect()  # bounded: languages x (words + classes)
     total = {r["lang"]: r["n"] for r in sums.collect()}
