@@ -181,7 +181,7 @@ def _core() -> dict:
         "mart_excl": _mart_part(excl, key),
         "mart_mtd_all": _mart_part(["mtd", "all", "prev_mtd", "prev_all"], key),
         "mart_full": _mart_part(every, head),
-        "unit_stats_latest": lambda s, f: summary.unit_statistics(mart(s, f)),
+        "unit_stats_latest": lambda s, f: summary.latest_unit_statistics(obs(s, f), **common(s)),
         "heatmap_all": lambda s, f: summary.heatmap(obs(s, f), **common(s)),
         "heatmap_special": lambda s, f: summary.heatmap(
             obs(s, f), special=summary.SpecialFilter(True, "土日", "祝日", "06", True, None), **common(s)

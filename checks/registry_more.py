@@ -184,7 +184,9 @@ def overlay(s, f):
     docs = layouts.build_layout(cells, ["date", "hole", "floor"], "2026-01-01")
     newest = docs.groupBy("hole").agg(F.max("date").alias("date"))
     docs = docs.join(newest, ["hole", "date"], "left_semi")
-    stats = summary.unit_statistics(_mart(s, f)).select("hole", "machine_number", "d1_diff", "d28_diff")
+    from .registry import common
+
+    stats = summary.latest_unit_statistics(d.observations(s, f), **common(s)).select("hole", "machine_number", "d1_diff", "d28_diff")
     return summary.overlay_layout(docs, stats).select("hole", "floor", "row", "col", "type", "number", "d1_diff", "d28_diff")
 
 
@@ -381,6 +383,11 @@ def _ensemble(s, f):
     return profiles.ensemble(rows, ENSEMBLE, [0.3, 0.25, 0.25, 0.2], ["hole", "machine", "target_date"])
 
 
+def _venue_days(s, f):
+    """A venue's days with data: the raw keys have the days of the mart."""
+    return d.observations(s, f).select("hole", F.col("date").alias("target_date")).distinct()
+
+
 def _venue_profile():
     return F.when(F.col("hole") == "H0", "island").otherwise("espas")
 
@@ -399,7 +406,7 @@ def profile_queries():
         "digit_groups": lambda s, f: p.digit_groups(m(s, f)),
         "special_distances": lambda s, f: p.special_distances(m(s, f), _venue_profile()),
         "feature_table": lambda s, f: _round(
-            p.feature_table(m(s, f), _venue_profile()).select(
+            p.feature_table(m(s, f), _venue_profile(), _venue_days(s, f)).select(
                 *key, "consecutive_wins", "consecutive_losses", "ma3_ma7_diff", "volatility", "diff_percentile",
                 "diff_rank", "weekday", "is_weekend", "is_month_end", "machine_last_2digits",
                 "days_since_last_special", "days_until_next_special",

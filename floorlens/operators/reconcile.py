@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import make_id, win_flag
@@ -54,11 +54,11 @@ def fallback(failed: DataFrame, backup: DataFrame, corrections: DataFrame, sourc
     rows = backup.select(*_ROWS).withColumn("origin", F.lit("backup"))
     rows = rows.unionByName(corrections.select(*_ROWS).withColumn("origin", F.lit("correction")))
     rows = rows.join(asked, key, "left_semi")
-    # which origin wins is decided per model, over aggregated rows
-    best = rows.groupBy(*key).agg(F.min("origin").alias("origin"))  # 'backup' < 'correction'
-    used = rows.join(best, [*key, "origin"], "left_semi")
-    left = failed.join(best, key, "left_anti")
-    return used, left
+    # which origin wins is decided per model; a model of a floor and day has few rows
+    first = F.min("origin").over(Window.partitionBy(*key))  # 'backup' < 'correction'
+    used = rows.withColumn("__first", first).where("origin = __first").drop("__first")
+    held = backup.select(*key).unionByName(corrections.select(*key))
+    return used, failed.join(held, key, "left_anti")
 
 
 def restore_day(corrections: DataFrame, source: str) -> DataFrame:

@@ -14,6 +14,7 @@ from ..functions.scalars import payout, safe_div
 from ..operators.dedupe import dedupe_latest
 from ..operators.remap import remap_units
 from ..sources import schemas
+from .mart import LOOKBACK_DAYS, build_mart
 
 
 @dataclass(frozen=True)
@@ -190,9 +191,25 @@ def unit_statistics(mart: DataFrame, at: dt.date | None = None, hole: str | None
     else:
         newest = latest_dates(rows, ["hole"]).withColumnRenamed("latest_date", "target_date")
         rows = rows.join(newest, ["hole", "target_date"], "left_semi")
-    keep = ["hole", "machine_number", "machine", "target_date", "start_date", "end_date"]
-    keep += [n for p in schemas.WINDOW_PREFIXES for n, _ in schemas.window_columns(p)]
-    return rows.select(*keep)
+    return rows.select(*_statistics())
+
+
+def _statistics() -> list[str]:
+    head = ["hole", "machine_number", "machine", "target_date", "start_date", "end_date"]
+    return head + [n for p in schemas.WINDOW_PREFIXES for n, _ in schemas.window_columns(p)]
+
+
+def latest_unit_statistics(raw: DataFrame, lookback: int = LOOKBACK_DAYS, **mart_args) -> DataFrame:
+    """`unit_statistics` of each venue's latest day, straight from raw rows.
+
+    The latest days come from the raw keys; windows are built over the days behind them
+    only, so the history is neither deduplicated nor windowed.
+    """
+    newest = raw.groupBy("hole").agg(F.max("date").alias("__latest"))
+    near = raw.join(newest, "hole").where(F.col("date") > F.date_sub("__latest", lookback)).drop("__latest")
+    rows = build_mart(near, lookback=lookback, **mart_args)
+    rows = rows.join(newest.withColumnRenamed("__latest", "target_date"), ["hole", "target_date"], "left_semi")
+    return rows.select(*_statistics())
 
 
 def overlay_layout(layouts: DataFrame, stats: DataFrame) -> DataFrame:

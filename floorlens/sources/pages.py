@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 from ..functions import fixed
 from ..functions.scalars import clean_int, win_flag
-from ..operators.dedupe import dedupe_first
 
 # the tags that matter; anything else is text to be stripped
 _TAG = re.compile(r"<!--.*?-->|<(/?)(div|p|strong|font|table|tr|th|td|script)\b([^>]*)>", re.S | re.I)
@@ -167,12 +166,13 @@ def extract_units(pages: DataFrame, keys: list[str], html: str = "html") -> Data
         numbers.alias("graph_data"),
     ).where(F.col("machine_number").isNotNull())
     unit = [*keys, "machine_number"]
-    # the chart stays with the unit whatever table its numbers come from
-    charts = typed.where(F.size("graph_data") > 0).groupBy(*unit).agg(
-        F.min_by("graph_data", "position").alias("__g")
+    # one aggregation, so the pages are scanned once; the chart stays with the unit
+    # whatever table its numbers come from
+    best = typed.groupBy(*unit).agg(
+        F.min_by(F.struct("diff", "game", "big", "reg", "combined_rate"), F.struct("__order", "position")).alias("__v"),
+        F.min_by("graph_data", F.when(F.size("graph_data") > 0, F.col("position"))).alias("__g"),
     )
-    best = dedupe_first(typed, unit, "__order", ["position"]).drop("graph_data", "__order", "position")
-    return best.join(charts, unit, "left").select(
+    return best.select(*unit, "__v.*", "__g").select(
         *unit,
         "diff",
         "game",

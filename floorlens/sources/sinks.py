@@ -4,6 +4,8 @@ Tables are partitioned by the columns a slice is addressed with, so replacing
 or deleting a slice touches only its folders.  Writes use dynamic partition
 overwrite: Spark stages the new files and moves them in when all tasks are
 done, so lost executors and retried tasks do not leave half-written slices.
+A driver lost while the folders are exchanged can leave some of them without
+their old rows; merges keep a copy beside the table until then (`recover`).
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.dedupe import dedupe_collapse, duplicate_report
 from . import schemas
 from .clean import require_valid
 
@@ -53,6 +56,42 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def _merged_folder(path: str) -> str:
+    return f"{path.rstrip('/')}__merged"
+
+
+def commit_merged(df: DataFrame, path: str, by: list[str]) -> None:
+    """`overwrite_partitions` for rows that were read from the table itself.
+
+    The whole new content of the partitions is written beside the table first. If the
+    driver is lost while partitions are exchanged, `recover` finishes from that copy, so
+    rows that were stored before the batch are not lost with their old folders.
+    """
+    copy = f"{_merged_folder(path)}/{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).parquet(copy)
+    overwrite_partitions(df.sparkSession.read.schema(df.schema).parquet(copy), path, by)
+    _drop(df.sparkSession, copy)
+
+
+def recover(spark: SparkSession, path: str, by: list[str], schema: T.StructType) -> int:
+    """Finishes the exchange that a lost driver left open; returns how many were open.
+
+    A complete copy is written again, an incomplete one is dropped: its table was not
+    touched yet. A table has one writer at a time, so at most one copy is complete.
+    """
+    fs, folder = _fs(spark, _merged_folder(path))
+    if not fs.exists(folder):
+        return 0
+    done = 0
+    for status in fs.listStatus(folder):
+        copy = status.getPath().toString()
+        if exists(spark, f"{copy}/_SUCCESS"):
+            overwrite_partitions(spark.read.schema(schema).parquet(copy), path, by)
+            done += 1
+        _drop(spark, copy)
+    return done
+
+
 def replace_slice(df: DataFrame, path: str, by: tuple[str, ...] = ("date", "hole")) -> None:
     """Replaces each (date, venue) of the batch; other venues of the day stay."""
     overwrite_partitions(df, path, list(by))
@@ -155,16 +194,43 @@ def upsert(
     new = spark.read.schema(schema).parquet(staging)
     total = new.count()
     updated = 0
+    recover(spark, path, by, schema)
     if exists(spark, path):
         old = touched_partitions(spark, new, path, by, schema)
         updated = old.join(new.select(*keys), keys, "left_semi").count()
-        overwrite_partitions(merged(old, new, keys), path, by)
+        commit_merged(merged(old, new, keys), path, by)
     else:
         overwrite_partitions(new, path, by)
     _drop(spark, staging)
     return UpsertResult(total - updated, updated)
 
 
+def rewrite_deduped(
+    spark: SparkSession,
+    path: str,
+    date_from: dt.date,
+    date_to: dt.date,
+    key: str = "id",
+    ts: str = "timestamp",
+    ties: tuple[str, ...] = (),
+    by: tuple[str, ...] = ("date", "hole"),
+    schema: T.StructType = schemas.RAW,
+) -> DataFrame:
+    """Rewrites the days of a range with one row per id, in one job for the whole range.
+
+    Only partitions that hold copies are rewritten. Returns rows, distinct ids and copies
+    of each slice as they were before.
+    """
+    recover(spark, path, list(by), schema)
+    rows = spark.read.schema(schema).parquet(path).where(F.col("date").between(F.lit(date_from), F.lit(date_to)))
+    report = duplicate_report(rows, list(by), key).where("has_duplicates").collect()  # one row a folder
+    before = spark.createDataFrame(report, "date date, hole string, total long, unique_count long, duplicate_count long, has_duplicates boolean")
+    if report:
+        doubled = touched_partitions(spark, before, path, list(by), schema).join(before.select(*by), list(by), "left_semi")
+        commit_merged(dedupe_collapse(doubled, key, ts, list(ties)), path, list(by))
+    return before
+
+
 def insert_ignore(
     spark: SparkSession, source: DataFrame, path: str, keys: list[str], by: list[str], schema: T.StructType
 ) -> None:

@@ -1,9 +1,10 @@
 """Streaming ingest and incremental mart refresh.
 
 New raw files are cleaned, the newest copy of each unit-day replaces the stored
-one, and only the mart days that can have changed are rebuilt.  Every batch is
-written by partition overwrite or keyed merge, so a batch that is replayed after
-a failure gives the same tables.
+one, and only the mart days that can have changed are rebuilt.  A batch is merged
+by key with the partitions it touches, and the merged rows are kept beside the
+table until the exchange is complete, so a batch that is replayed after a failure
+gives the same tables.
 """
 
 from __future__ import annotations
@@ -38,17 +39,55 @@ def merge_batch(
     """Keeps, per key, the newest of the stored and the arriving rows."""
     spark = batch.sparkSession
     rows = batch.select(*[f.name for f in schema.fields])
+    sinks.recover(spark, path, by, schema)
     if sinks.exists(spark, path):
         rows = rows.unionByName(sinks.touched_partitions(spark, rows, path, by, schema))
     # after ts the remaining columns only make the order total
     ties = [f.name for f in schema.fields if f.name not in (ts, *keys)]
-    sinks.overwrite_partitions(dedupe_latest(rows, keys, ts, ties), path, by)
+    sinks.commit_merged(dedupe_latest(rows, keys, ts, ties), path, by)
 
 
-def affected_range(batch: DataFrame, lookback: int = LOOKBACK_DAYS) -> tuple[dt.date, dt.date] | None:
-    """Target dates whose windows can contain a row of the batch."""
-    low, high = batch.agg(F.min("date"), F.max("date")).first()
-    return None if low is None else (low, high + dt.timedelta(days=lookback - 1))
+def affected_intervals(batch: DataFrame, lookback: int = LOOKBACK_DAYS) -> list[tuple[dt.date, dt.date]]:
+    """Target dates whose windows can contain a row of the batch, as separate intervals.
+
+    A late row of an old day adds the month behind that day, not all days up to now.
+    The batch's distinct dates are collected: one value a day.
+    """
+    dates = sorted(r[0] for r in batch.select("date").distinct().collect() if r[0] is not None)
+    out: list[tuple[dt.date, dt.date]] = []
+    for day in dates:
+        end = day + dt.timedelta(days=lookback - 1)
+        if out and day <= out[-1][1] + dt.timedelta(days=1):
+            out[-1] = out[-1][0], end
+        else:
+            out.append((day, end))
+    return out
+
+
+def _within(column: str, intervals: list[tuple[dt.date, dt.date]], before: int = 0):
+    days = F.lit(False)
+    for low, high in intervals:
+        days = days | F.col(column).between(F.lit(low - dt.timedelta(days=before)), F.lit(high))
+    return days
+
+
+def refresh_intervals(
+    spark: SparkSession,
+    raw_path: str,
+    mart_path: str,
+    intervals: list[tuple[dt.date, dt.date]],
+    raw_schema: T.StructType = schemas.RAW,
+    lookback: int = LOOKBACK_DAYS,
+    **mart_args,
+) -> sinks.UpsertResult:
+    """Rebuilds the target dates of all intervals in one job and upserts them.
+
+    Raw rows are read for the intervals and the lookback before each, as a literal filter
+    on the partition column.
+    """
+    raw = spark.read.schema(raw_schema).parquet(raw_path).where(_within("date", intervals, lookback - 1))
+    rows = build_mart(raw, lookback=lookback, **mart_args).where(_within("target_date", intervals))
+    return sinks.upsert(spark, rows, mart_path, schemas.MART_KEYS, ["target_date"], schemas.MART)
 
 
 def refresh_mart(
@@ -94,9 +133,9 @@ def ingest(
         merge_batch(batch, raw_path, list(keys), ["date", "hole"], schema)
         if mart_path is None:
             return
-        span = affected_range(batch)
-        if span is not None:
-            refresh_mart(spark, raw_path, mart_path, *span, raw_schema=schema, **mart_args)
+        intervals = affected_intervals(batch)
+        if intervals:
+            refresh_intervals(spark, raw_path, mart_path, intervals, raw_schema=schema, **mart_args)
 
     return (
         stream.writeStream.foreachBatch(step)
