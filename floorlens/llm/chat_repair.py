@@ -14,6 +14,7 @@ the states that the fold has fixed. So a conversation of any length is spread ov
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -168,9 +169,8 @@ def repaired(
                 out = []
         yield pd.DataFrame(out, columns=["conv", "segment", "matrix"])
 
-    def fold(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("segment")
-        mats = [np.array(m).reshape(STATES, STATES) for m in frame["matrix"]]
+    def fold(mats: list[np.ndarray]) -> list[tuple]:
+        """(start, end, last, cost) of each segment of one conversation, from its matrices in order."""
         at = [np.where(np.arange(STATES) == START, 0, _BIG)]
         for m in mats:
             at.append(np.minimum((at[-1][:, None] + m).min(0), _BIG))
@@ -179,18 +179,27 @@ def repaired(
         ways = []
         for i in range(len(mats) - 1, -1, -1):
             before = int((at[i] + mats[i][:, state]).argmin())
-            ways.append((before, state, i == len(mats) - 1))
+            ways.append((before, state, i == len(mats) - 1, cost))
             state = before
-        ways.reverse()
-        return pd.DataFrame(
-            {"conv": frame["conv"], "segment": frame["segment"], "start": [w[0] for w in ways], "end": [w[1] for w in ways], "last": [w[2] for w in ways], "cost": cost}
-        )
+        return ways[::-1]
+
+    def folds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["conv", "segment", "start", "end", "last", "cost"]
+        rows: list[tuple] = []
+        for conv, run in itertools.groupby(groups(frames, ["matrix"]), key=lambda x: x[0]):
+            parts = [(number, np.asarray(matrix[0]).reshape(STATES, STATES)) for _, number, (matrix,) in run]
+            rows += [(conv, number, *way) for (number, _), way in zip(parts, fold([m for _, m in parts]), strict=True)]
+            if len(rows) >= 5000:
+                yield pd.DataFrame(rows, columns=names)
+                rows = []
+        yield pd.DataFrame(rows, columns=names)
 
     # the stored files are sorted runs, but a file may be split: the runs are brought together again
     order = ["conv", "segment", "turn", "role", "text"]
     again = turns.repartition("conv", "segment").sortWithinPartitions(*order)
     folded = again.select("conv", "segment", "role").mapInPandas(matrices, f"conv {kind}, segment long, matrix array<bigint>")
-    ways = folded.groupBy("conv").applyInPandas(fold, f"conv {kind}, segment long, start int, end int, last boolean, cost long")
+    together = folded.repartition("conv").sortWithinPartitions("conv", "segment")
+    ways = together.mapInPandas(folds, f"conv {kind}, segment long, start int, end int, last boolean, cost long")
     ways = ways.withColumnsRenamed({"conv": "c", "segment": "s"})
     joined = turns.join(ways, F.col("conv").eqNullSafe(F.col("c")) & (F.col("segment") == F.col("s")))
     joined = joined.repartition("conv", "segment").sortWithinPartitions(*order)
