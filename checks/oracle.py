@@ -412,7 +412,7 @@ summary as (
 
 
 def build() -> dict[str, str]:
-    from . import oracle_more
+    from . import oracle_more, registry_store
 
     q: dict[str, str] = {}
 
@@ -535,6 +535,6 @@ from (select *, round(total_score / nullif(max(total_score) over g, 0), 9) as ra
     levels = ", ".join(f"round(max(total_score) * {p / 100}::double, 9) as threshold_{p}" for p in (80, 85, 90, 95, 96, 97, 98, 99))
     add("score_stats", b, f"select hole, machine, sp as special_day_type, method as score_method, target_date, count(*) as units, min(total_score) as min_score, max(total_score) as max_score, round(median(total_score), 9) as median_score, {levels} from scored group by all")
 
-    for name, (ctes, select) in oracle_more.build().items():
+    for name, (ctes, select) in (oracle_more.build() | registry_store.build()).items():
         add(name, ctes, select)
     return q

@@ -241,6 +241,6 @@ def _backtest_record(spark, sf):
 
 @functools.cache
 def queries() -> dict:
-    from . import registry_more
+    from . import registry_more, registry_store
 
-    return _core() | registry_more.queries()
+    return _core() | registry_more.queries() | registry_store.queries()

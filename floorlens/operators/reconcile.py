@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import make_id, win_flag
+from ..sources.clean import split_valid, stamp, with_win
+from ..sources.pages import extract_units
+from .dedupe import dedupe_first
 from .quality import model_count
 
 _SLICE = ["date", "hole"]
@@ -61,6 +64,36 @@ def fallback(failed: DataFrame, backup: DataFrame, corrections: DataFrame, sourc
     return used, failed.join(held, key, "left_anti")
 
 
+def ingest(
+    pages: DataFrame,
+    failed: DataFrame,
+    corrections: DataFrame,
+    stored: DataFrame | None,
+    listed: DataFrame | None,
+    source: str,
+    load_ts,
+    force: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows to store, failures to record) of captured pages: the ingest as one plan.
+
+    Pages (date, hole, machine, html) are parsed; `failed` (date, hole, machine) have none
+    and take their corrections. Slices that `stored` holds completely, by the models that
+    `listed` names, are skipped; without `listed` every slice is taken. Rows that fail
+    validation are left out; a unit that two models claim goes to the first by name.
+    Rows carry win flag, source, load time and id.
+    """
+    key = ["date", "hole", "machine"]
+    cols = [*key, "machine_number", "diff", "game"]
+    parsed = extract_units(pages, key).select(*cols)
+    rows = parsed.unionByName(corrections.join(failed.select(*key).distinct(), key, "left_semi").select(*cols))
+    if stored is not None and listed is not None:
+        wanted = collection_decision(stored, listed, force).where("action <> 'skip'").select(*_SLICE)
+        rows, failed = (x.join(wanted, _SLICE, "left_semi") for x in (rows, failed))
+    good, _ = split_valid(rows)
+    one = dedupe_first(good, [*_SLICE, "machine_number"], "machine", ["diff", "game"])
+    return stamp(with_win(one), source, load_ts), failed.select(*key).join(corrections.select(*key), key, "left_anti")
+
+
 def restore_day(corrections: DataFrame, source: str) -> DataFrame:
     """Raw rows from corrections alone, with the id of the source they replace."""
     return corrections.withColumns(

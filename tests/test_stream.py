@@ -24,6 +24,12 @@ def test_stream_replay_equals_batch(spark, tmp_path):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_intervals_of_a_batch_with_a_late_day(spark):
+    rows = raw(spark, [(D(2024, 1, 1), "A", "m", 1, 1, 1), (D(2024, 1, 20), "A", "m", 1, 1, 1), (D(2021, 5, 1), "A", "m", 1, 1, 1)])
+    assert ingest.affected_intervals(rows) == [(D(2021, 5, 1), D(2021, 6, 1)), (D(2024, 1, 1), D(2024, 2, 20))]
+    assert ingest.affected_intervals(rows.where("false")) == []
+
+
 def test_refresh_keeps_or_replaces_stale_units(spark, tmp_path):
     base, d = str(tmp_path), D(2024, 1, 5)
     sinks.replace_slice(raw(spark, [(d, "A", "m", 1, 1, 1), (d, "A", "m", 2, 1, 1)]), f"{base}/raw")

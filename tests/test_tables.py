@@ -105,6 +105,30 @@ def test_merge_reads_the_touched_partitions_only(spark, tmp_path):
     assert "2024" in plan.split("PartitionFilters: [")[1].split("]")[0] or "19725" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_a_lost_exchange_is_finished_from_its_copy(spark, tmp_path):
+    p = str(tmp_path / "raw")
+    d = D(2024, 1, 1)
+    sinks.replace_slice(raw(spark, [(d, "A", "m", 1, 1, 1)]), p)
+    merged = raw(spark, [(d, "A", "m", 1, 1, 1), (d, "A", "m", 2, 2, 1)])
+    merged.write.partitionBy("date", "hole").parquet(f"{p}__merged/whole")  # the driver stopped here
+    (tmp_path / "raw__merged" / "part").mkdir()  # and here before the copy was complete
+    sinks._drop(spark, sinks.partition_folder(spark, p, ["date", "hole"], {"date": d, "hole": "A"}))
+    assert sinks.recover(spark, p, ["date", "hole"], schemas.RAW) == 1
+    assert content(spark, p) == [(d, "A", 1, 1), (d, "A", 2, 2)]
+    assert sinks.recover(spark, p, ["date", "hole"], schemas.RAW) == 0
+
+
+def test_rewrite_deduped(spark, tmp_path):
+    p = str(tmp_path / "raw")
+    days = [D(2024, 1, i) for i in (1, 2, 3)]
+    rows = raw(spark, [(d, "A", "m", u, u, 1) for d in days for u in (1, 2)])
+    sinks.replace_slice(rows.unionByName(rows.where("machine_number = 1")), p)
+    report = sinks.rewrite_deduped(spark, p, days[0], days[1])
+    assert sorted((r.date, r.duplicate_count) for r in report.collect()) == [(days[0], 1), (days[1], 1)]
+    assert content(spark, p) == [(d, "A", u, u) for d in days[:2] for u in (1, 2)] + [(days[2], "A", u, u) for u in (1, 1, 2)]
+    assert sinks.rewrite_deduped(spark, p, days[0], days[1]).count() == 0
+
+
 def test_export_refuses_bad_batches_and_csv_reads_back(spark, tmp_path):
     p = str(tmp_path / "csv")
     rows = raw(spark, [(D(2024, 1, 1), "A", 'm"1, x', 1, 1, 1)])
