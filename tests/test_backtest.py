@@ -5,6 +5,7 @@ import math
 import random
 import statistics as stat
 
+import pytest
 from floorlens.functions import fixed
 from floorlens.plans import backtest as bt
 from floorlens.plans import strategy as st
@@ -88,7 +89,7 @@ def pct(x, k):
     return max(0.0, 0.25 * x / a)
 
 
-def brute(all_rows):
+def brute(all_rows, candidates=None):
     rows = [dict(zip(COLS, r)) for r in all_rows]
     rows = [r for r in rows if r["d1_diff"] is not None]
     pb, pw = ranks(rows, "prev_d28_diff")
@@ -145,20 +146,21 @@ def brute(all_rows):
             q = lambda x: vals[max(math.ceil(x * len(vals)), 1) - 1]
             sd = stat.stdev(vals) if len(vals) > 1 else 0.0
             cut = min(q(0.75) + (q(0.75) - q(0.25)), sum(vals) / len(vals) + 1.5 * sd)
-            for rank, unit in enumerate(order[:10], 1):
+            for rank, unit in enumerate(order[:candidates], 1):
                 nxt = by_key.get((day + dt.timedelta(days=1), unit))
                 picks[(method, day, unit)] = (score[unit], rank, round(cut, 6), nxt and nxt["d1_diff"])
     return picks
 
 
-def test_picks_equal_the_brute_force_walk(spark):
+@pytest.mark.parametrize("candidates", [10, None])  # the ten of the published form, and the default without a cut
+def test_picks_equal_the_brute_force_walk(spark, candidates):
     data = mart_rows()
     types = ["date", "string", "string", "bigint", "bigint", "bigint"] + (["double"] * 5 + ["bigint"]) * 2
     mart = spark.createDataFrame(data, ", ".join(f"{c} {t}" for c, t in zip(COLS, types)))
     params = [bt.BacktestParam("V", "M", 100, "island")]
     rows = bt.evaluation_rows(mart, params)
-    got = bt.score_picks(bt.unit_scores(rows)).collect()
-    want = brute(data)
+    got = bt.score_picks(bt.unit_scores(rows), candidates).collect()
+    want = brute(data, candidates)
     assert len(got) == len(want) > 500
     for r in got:
         score, rank, cut, diff = want[(r.score_method, r.target_date, r.machine_number)]
