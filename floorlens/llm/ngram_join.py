@@ -1,12 +1,11 @@
 """N-gram Jaccard join with a MinHash LSH forest and exact verification.
 
-Texts with equal bytes are one class. Each class has a signature: `trees` labels of `DEPTH`
-MinHash values of its five-word shingles. A tree's labels, sorted, form a prefix trie;
-classes under one node share a prefix. The join starts at long prefixes and shortens them
-until the target recall: at each depth a pair of similarity s is met in some tree with
-probability p = 1 - (1 - s^depth)^trees, so the pairs found, each weighed 1/p, estimate how
-many there are. The shortest prefix meets even pairs at the threshold with the target
-recall. Under a node, signatures are compared and classes that look alike are linked.
+Texts with equal bytes are one class. Each class has a signature of MinHash values of its
+five-word shingles, cut into trees of prefixes. A pair of similarity s shares a prefix of
+`depth` values in one tree or more with probability p = 1 - (1 - s^depth)^trees. Depth and
+the number of trees are chosen so that p reaches the target recall for a pair at the threshold
+itself, so whether a pair is met does not depend on what else is in the corpus. Under a
+prefix, signatures are compared and classes that look alike are linked.
 
 The linked classes form clusters. Each class's text goes to its cluster once, and within it
 every pair is checked exactly, in blocks. The result has no row for a pair: each document
@@ -15,6 +14,7 @@ gets its class (components of the verified links) and its number of links.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,15 +26,26 @@ from floorlens.llm.common import WordHashes, fresh, mix, stored, text_of
 from floorlens.llm.similar import SHINGLE, components, in_blocks, in_tasks, seeds, shingle_set, signatures, verified_links
 from floorlens.llm.similar import forest as spanning
 
-TREES = 16
-DEPTH = 8
-DEPTHS = (8, 6, 5)
+#: Longest prefixes are taken that need no more trees than this; signatures have so many values at least.
+MOST_TREES = 18
+LEAST_VALUES = 144
 
 
-def signed(df: DataFrame, key: str, text: str, width: int, seed: int) -> DataFrame:
+def tuned_forest(threshold: float, recall: float) -> tuple[int, int]:
+    """(trees, depth) of the longest prefix that reaches the recall at the threshold with
+    MOST_TREES trees; a prefix of one value takes as many trees as it needs."""
+    if threshold >= 1 or recall >= 1:
+        raise ValueError("threshold and recall must be below 1")
+    for depth in range(12, 0, -1):
+        trees = math.ceil(math.log(1 - recall) / math.log(1 - threshold**depth))
+        if trees <= MOST_TREES or depth == 1:
+            return trees, depth
+
+
+def signed(df: DataFrame, key: str, text: str, width: int, values: int, seed: int) -> DataFrame:
     """Rows (key, node, signature): `node` is the text's fingerprint; a text without words has
     no signature. A signature keeps eight bits of each MinHash value."""
-    multipliers = seeds(TREES * DEPTH, seed)
+    multipliers = seeds(values, seed)
 
     def sign(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
         hashes = WordHashes()
@@ -49,46 +60,19 @@ def signed(df: DataFrame, key: str, text: str, width: int, seed: int) -> DataFra
     )
 
 
-def met(similarity: np.ndarray, depth: int) -> np.ndarray:
-    """Probability that a pair shares a prefix of `depth` values in some tree."""
-    return 1 - (1 - similarity**depth) ** TREES
-
-
-def likely_links(classes: DataFrame, depth: int, least: float, block: int) -> DataFrame:
-    """Classes under one trie node whose signatures agree in a share of `least` or more.
-
-    Rows (node, other, found, expected): edges of a spanning forest for each task, and a row
-    with the number of pairs that no earlier tree has met and their sum of 1/p.
-    """
-    def node_of(tree: int):  # a trie node's number ends in its tree
-        whole = F.xxhash64(F.lit(tree), F.substring("signature", tree * DEPTH + 1, depth))
-        return F.shiftleft(F.shiftright(whole, 4), 4).bitwiseOR(F.lit(tree))
-
+def likely_links(classes: DataFrame, trees: int, depth: int, least: float, block: int) -> DataFrame:
+    """Rows (node, other): classes that share a prefix in some tree and whose signatures agree in
+    a share of `least` or more, as a spanning forest of each task."""
     ids = classes.select(F.xxhash64("node").alias("id"), "node", "signature")
-    members = ids.select(F.explode(F.array(*[node_of(t) for t in range(TREES)])).alias("group"), "id")
+    prefixes = [F.xxhash64(F.lit(t), F.substring("signature", t * depth + 1, depth)) for t in range(trees)]
+    members = ids.select(F.explode(F.array(*prefixes)).alias("group"), "id")
 
     def work(alone: bool, left: list, right: list) -> list[tuple]:
-        tree = left[2][0] & (TREES - 1)
         a, b = (np.frombuffer(b"".join(x[1]), np.uint8).reshape(len(x[1]), -1) for x in (left, right))
-        links = np.zeros((len(a), len(b)), bool)
-        found = expected = 0.0
-        for i, row in enumerate(a):
-            same = row == b
-            share = same.mean(1)
-            hit = share >= least
-            if alone:
-                hit[: i + 1] = False
-            links[i] = hit
-            if hit.any():
-                agree = same[hit].reshape(-1, TREES, DEPTH)[:, :tree, :depth].all(2).any(1)
-                new = share[hit][~agree]
-                found += len(new)
-                expected += float((1 / met(new, depth)).sum())
-        out = [(x, y, 0.0, 0.0) for x, y in spanning(links, left[0], right[0])]
-        return [*out, (None, None, found, expected)] if found else out
-
-    tasks = in_blocks(members, ids, block)
-    return in_tasks(tasks, ["node", "signature", "group"], work, "node string, other string, found double, expected double")
+        links = np.stack([(row == b).mean(1) >= least for row in a])
+        return spanning(np.triu(links, 1) if alone else links, left[0], right[0])
+
+    return in_tasks(in_blocks(members, ids, block), ["node", "signature"], work, "node string, other string")
 
 
 def joined(
@@ -109,20 +93,17 @@ def joined(
     words are linked to equal texts only. Null keys never name a class unless all are null;
     repeated rows keep a row each; an empty table gives an empty result.
     """
-    rows = stored(signed(df, key, text, width, seed), "signed")
+    trees, depth = tuned_forest(threshold, recall)
+    values = max(trees * depth, LEAST_VALUES)
+    rows = stored(signed(df, key, text, width, values, seed), "signed")
     classes = stored(
         rows.groupBy("node").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n_copies"), F.max("signature").alias("signature")),
         "classes",
     )
     signable = classes.where("signature IS NOT NULL").select("node", "signature")
-    # at 128 values the share of equal ones stays within 0.15 of the similarity
-    found = None
-    for depth in DEPTHS:
-        found = stored(likely_links(signable, depth, threshold - 0.15, block), "likely")
-        sums = found.agg(F.sum("found"), F.sum("expected")).first()
-        if sums[1] and sums[0] / sums[1] >= recall:
-            break
-    clusters = components(found.where("other IS NOT NULL").select("node", "other"))
+    # the share of equal values stays within 4.5 standard deviations of the similarity
+    margin = 4.5 * math.sqrt(threshold * (1 - threshold) / values)
+    clusters = components(stored(likely_links(signable, trees, depth, threshold - margin, block), "likely"))
     chosen = clusters.join(classes.select("node", "rep"), "node")
     texts = df.select(F.md5(text_of(text)).alias("node"), F.col(key).alias("key"), text_of(text).alias("text"))
     same = (texts["node"] == chosen["node"]) & texts["key"].eqNullSafe(chosen["rep"])

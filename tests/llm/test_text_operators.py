@@ -113,6 +113,21 @@ def test_ngram_join(docs, nothing):
     assert Counter(r.doc_id for r in kept.collect()) == Counter({r["class_id"] for r in got.values()})
 
 
+def test_pairs_at_the_threshold_beside_a_large_group(spark):
+    """300 near copies at 0.93 have 44,850 pairs; they must not hide lone pairs at 0.80 exactly."""
+    base = prose(280, 1000)
+    texts = [edited(base, 10 * (i % 27) + 5, f"w{i}") for i in range(300)]
+    for i in range(300):
+        words = [f"p{i}x{j}" for j in range(49)]
+        texts += [" ".join(words), edited(" ".join(words), 24, "other")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(ngram_join.joined(df))
+    missed = [i for i in range(300, 900, 2) if got[i]["n_links"] != 1 or got[i + 1]["class_id"] != i]
+    assert len(missed) <= 1  # 0.999 of 300
+    trees, depth = ngram_join.tuned_forest(0.8, 0.999)
+    assert 1 - (1 - 0.8**depth) ** trees >= 0.999
+
+
 def test_large_group_of_near_copies_in_blocks(spark):
     """More near copies than a block holds: every link counts, no pair is a row."""
     base = prose(200, 50)
