@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floorlens.llm import decontaminate, ngram_join, packing, pii, quality
-from floorlens.llm.common import fresh, shared_folder
+from floorlens.llm.common import fresh, shared_folder, text_of
 
 #: The stages run models and iterate; none of them is a SQL statement.
 ORACLE_SQL = None
@@ -32,9 +32,12 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a word of a benchmark window."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    name = fresh(docs, "_hit")
-    found = decontaminate.decontaminated(docs, benchmark).where("contaminated").select(F.col("doc_id").alias(name))
-    return docs.join(found.distinct(), F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+    name, node, hit = (fresh(docs, x) for x in ("_mark", "_node", "_hit"))
+    # a document is known by its key and text: several may share a key, or have none
+    marked = docs.withColumn(node, F.md5(text_of("text")))
+    found = decontaminate.decontaminated(marked.withColumn(name, F.struct("doc_id", node)), benchmark, name).where("contaminated")
+    found = found.select(F.col(f"{name}.doc_id").alias(hit), F.col(f"{name}.{node}").alias(name)).distinct()
+    return marked.join(found, F.col("doc_id").eqNullSafe(F.col(hit)) & (F.col(node) == F.col(name)), "left_anti").drop(node)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,24 +75,11 @@ def likely_links(classes: DataFrame, trees: int, depth: int, least: float, block
     return in_tasks(in_blocks(members, ids, block), ["node", "signature"], work, "node string, other string")
 
 
-def joined(
-    df: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    threshold: float = 0.8,
-    width: int = SHINGLE,
-    recall: float = 0.999,
-    block: int = 128,
-    seed: int = 1,
-) -> DataFrame:
-    """One row for each row of `df`: key, text_class (the least key with an equal text),
-    class_id (the least key of the group), n_copies (rows with an equal text, itself
-    included), n_links (other texts with a Jaccard similarity of `threshold` or more).
-
-    A text of fewer words than a shingle is one shingle. A null text is empty; texts without
-    words are linked to equal texts only. Null keys never name a class unless all are null;
-    repeated rows keep a row each; an empty table gives an empty result.
-    """
+def grouped(
+    df: DataFrame, key: str, text: str, threshold: float, width: int, recall: float, block: int, seed: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, node) of `df`, and for each text (node, rep, n_copies, class_id, kept, n_links):
+    `kept` is the text of its group with the least key, by which one document can be chosen."""
     trees, depth = tuned_forest(threshold, recall)
     values = max(trees * depth, LEAST_VALUES)
     rows = stored(signed(df, key, text, width, values, seed), "signed")
@@ -111,22 +98,57 @@ def joined(
     links = stored(verified_links(clusters, members, threshold, width, block), "links")
     counts = links.where("other IS NULL").groupBy("node").agg(F.sum("links").alias("n_links"))
     groups = components(links.where("other IS NOT NULL").select("node", "other")).join(classes.select("node", "rep"), "node")
-    least = groups.groupBy("component").agg(F.min("rep").alias("class_id"))
-    known = groups.join(least, "component").select("node", "class_id").join(counts, "node", "left")
+    lead = F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "node"))["node"]
+    least = groups.groupBy("component").agg(F.min("rep").alias("class_id"), lead.alias("kept"))
+    known = groups.join(least, "component").select("node", "class_id", "kept").join(counts, "node", "left")
     full = classes.select("node", "rep", "n_copies").join(known, "node", "left")
-    return rows.select("key", "node").join(full, "node").select(
-        F.col("key").alias(key),
-        F.col("rep").alias("text_class"),
-        F.coalesce("class_id", "rep").alias("class_id"),
+    return rows.select("key", "node"), full.select(
+        "node",
+        "rep",
         "n_copies",
+        F.coalesce("class_id", "rep").alias("class_id"),
+        F.coalesce("kept", "node").alias("kept"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
 
 
-def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One document of each group of near copies: the one with the least key, once."""
-    name, kept = fresh(df, "_node"), fresh(df, "_kept")
-    found = joined(df, key, text, **options)
-    keys = found.where(F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias(kept)).distinct()
+def joined(
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    threshold: float = 0.8,
+    width: int = SHINGLE,
+    recall: float = 0.999,
+    block: int = 128,
+    seed: int = 1,
+) -> DataFrame:
+    """One row for each row of `df`: key, text_class (the least key with an equal text),
+    class_id (the least key of the group), n_copies (rows with an equal text, itself
+    included), n_links (other texts with a Jaccard similarity of `threshold` or more).
+
+    A text of fewer words than a shingle is one shingle. A null text is empty; texts without
+    words are linked to equal texts only. Null keys never name a class unless all are null;
+    repeated rows keep a row each; an empty table gives an empty result.
+    """
+    rows, full = grouped(df, key, text, threshold, width, recall, block, seed)
+    return rows.join(full, "node").select(F.col("key").alias(key), F.col("rep").alias("text_class"), "class_id", "n_copies", "n_links")
+
+
+def deduplicated(
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    threshold: float = 0.8,
+    width: int = SHINGLE,
+    recall: float = 0.999,
+    block: int = 128,
+    seed: int = 1,
+) -> DataFrame:
+    """One document of each group of near copies: the one with the least key, once. It is known by
+    its key and text, so null keys and keys that several texts share lose no group and keep no copy."""
+    name, node, kept = fresh(df, "_node"), fresh(df, "_kept_node"), fresh(df, "_kept")
+    _, full = grouped(df, key, text, threshold, width, recall, block, seed)
+    chosen = full.where("node = kept").select(F.col("node").alias(node), F.col("rep").alias(kept))
     marked = df.withColumn(name, F.md5(text_of(text)))
-    return marked.join(keys, F.col(key).eqNullSafe(F.col(kept)), "left_semi").dropDuplicates([key, name]).drop(name)
+    same = (F.col(name) == F.col(node)) & F.col(key).eqNullSafe(F.col(kept))
+    return marked.join(chosen, same, "left_semi").dropDuplicates([name]).drop(name)

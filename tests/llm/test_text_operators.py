@@ -407,3 +407,27 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     out = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert {0, 1, 2, 4, 5, 6, 7, 8, 9, 10, 11, 23} <= out
     assert not out & {3, 12, 13, 14, 18, 19, 20, 21, 24, 25}
+
+
+def test_pipeline_keeps_texts_with_null_or_shared_ids_apart(spark, tmp_path):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string"
+    item = " ".join(BASE[3].split()[10:40])
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, BASE[3]), (None, BASE[4]), (7, BASE[3]), (7, BASE[5]), (8, BASE[6]), (None, None)]
+    left = corpus_pipeline.decontamination_stage(spark, spark.createDataFrame(rows, schema), str(tmp_path))
+    assert left.columns == ["doc_id", "text"]
+    assert Counter(map(tuple, left.collect())) == Counter([(None, BASE[4]), (7, BASE[5]), (8, BASE[6]), (None, None)])
+
+    near = [edited(t, 40, "zzz") for t in BASE]
+    rows = [(None, BASE[0]), (None, near[0]), (None, near[0])]  # a group without a key: one of it stays
+    rows += [(1, BASE[1]), (None, near[1])]  # null beside a key: the key leads
+    rows += [(2, BASE[2]), (3, near[2]), (3, BASE[3]), (4, near[3])]  # 3 leads one group and follows in another
+    rows += [(5, BASE[4]), (5, near[4]), (5, BASE[5])]  # one key: a group and a lone text
+    df = spark.createDataFrame(rows, schema)
+    kept = Counter(map(tuple, corpus_pipeline.near_duplicate_stage(spark, df, str(tmp_path)).collect()))
+    for a, b in ((0, {None}), (1, {1}), (2, {2}), (3, {3}), (4, {5}), (5, {5})):
+        found = [k for k in kept.elements() if k[1] in (BASE[a], near[a])]
+        assert len(found) == 1 and found[0][0] in b, a
+    assert sum(kept.values()) == 6
