@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from floorlens.llm import chat_repair, decontaminate, html_text, ngram_join, packing, paragraph_dedup, pii, pitman_yor, quality, sharding
+from floorlens.llm import (
+    chat_repair,
+    decontaminate,
+    html_text,
+    ngram_join,
+    packing,
+    paragraph_dedup,
+    pii,
+    pitman_yor,
+    quality,
+    sharding,
+    spelling,
+    structure_repair,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +68,20 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(_table(spark, sf_dir, "documents")))
+
+
+def op12_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return structure_repair.structure_digest(turns, structure_repair.faulted(structure_repair.damaged(turns), "conv"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return toxicity.scored(documents, toxicity.fit(documents, _table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
