@@ -269,7 +269,8 @@ def fit(documents: DataFrame, labels: DataFrame, most_labelled: int = 40_000, mo
     fold = F.crc32(F.concat(F.lit("fold:"), F.col("k").cast("string")).cast("binary"))
     known = known.withColumn("fold", (fold % 2).cast("int")).where(F.pmod(F.xxhash64("k"), F.lit(1_000_000)) < int(share * 1_000_000))
     texts = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    texts = texts.join(known, F.col("doc_id") == F.col("k")).select("text", "toxic", "fold")
+    # about `most_labelled` keys at most: small enough to send to every task, so that no text is shuffled
+    texts = texts.join(F.broadcast(known), F.col("doc_id") == F.col("k")).select("text", "toxic", "fold")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(costs)
