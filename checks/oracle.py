@@ -42,7 +42,18 @@ unit_days as (
   select date, hole, machine_number, machine, diff, game, win from ren
   qualify row_number() over (partition by date, hole, machine_number {NEWEST}) = 1)"""
 
-IS_HOLIDAY = "(month({d}), day({d})) in ((1,1),(1,15),(2,11),(3,21),(4,29),(5,3),(5,4),(5,5))"
+# Days off as published for the years of the derived tables, as month and day.
+HOLIDAYS = {
+    1995: "0101 0102 0115 0116 0211 0321 0429 0503 0504 0505 0915 0923 1010 1103 1123 1223",
+    1996: "0101 0115 0211 0212 0320 0429 0503 0504 0505 0506 0720 0915 0916 0923 1010 1103 1104 1123 1223",
+    1997: "0101 0115 0211 0320 0429 0503 0505 0720 0721 0915 0923 1010 1103 1123 1124 1223",
+    1998: "0101 0115 0211 0321 0429 0503 0504 0505 0720 0915 0923 1010 1103 1123 1223",
+    1999: "0101 0115 0211 0321 0322 0429 0503 0504 0505 0720 0915 0923 1010 1011 1103 1123 1223",
+    2000: "0101 0110 0211 0320 0429 0503 0504 0505 0720 0915 0923 1009 1103 1123 1223",
+    2001: "0101 0108 0211 0212 0320 0429 0430 0503 0504 0505 0720 0915 0923 0924 1008 1103 1123 1223 1224",
+}
+DAYS_OFF = ", ".join(f"{y * 10000 + int(md)}" for y, days in HOLIDAYS.items() for md in days.split())
+IS_HOLIDAY = "(year({d}) * 10000 + month({d}) * 100 + day({d})) in (" + DAYS_OFF + ")"
 WEEKDAY = "['日','月','火','水','木','金','土'][dayofweek({d}) + 1]"
 
 
@@ -412,7 +423,7 @@ summary as (
 
 
 def build() -> dict[str, str]:
-    from . import oracle_more, registry_store
+    from . import oracle_more, oracle_studies, registry_store
 
     q: dict[str, str] = {}
 
@@ -535,6 +546,6 @@ from (select *, round(total_score / nullif(max(total_score) over g, 0), 9) as ra
     levels = ", ".join(f"round(max(total_score) * {p / 100}::double, 9) as threshold_{p}" for p in (80, 85, 90, 95, 96, 97, 98, 99))
     add("score_stats", b, f"select hole, machine, sp as special_day_type, method as score_method, target_date, count(*) as units, min(total_score) as min_score, max(total_score) as max_score, round(median(total_score), 9) as median_score, {levels} from scored group by all")
 
-    for name, (ctes, select) in (oracle_more.build() | registry_store.build()).items():
+    for name, (ctes, select) in (oracle_more.build() | registry_store.build() | oracle_studies.build()).items():
         add(name, ctes, select)
     return q

@@ -241,6 +241,6 @@ def _backtest_record(spark, sf):
 
 @functools.cache
 def queries() -> dict:
-    from . import registry_more, registry_store
+    from . import registry_more, registry_store, registry_studies
 
-    return _core() | registry_more.queries() | registry_store.queries()
+    return _core() | registry_more.queries() | registry_store.queries() | registry_studies.queries()

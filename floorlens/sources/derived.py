@@ -13,7 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import calendar as cal
+from ..functions import holidays as rules
 from ..operators.remap import ShiftRule
 from . import schemas
 from .local import local_table
@@ -21,8 +21,8 @@ from .local import local_table
 # order that makes "newest" unique in the derived observations
 TIES = ["l_partkey", "l_suppkey", "l_extendedprice"]
 
-# holidays by (month, day); the derived tables cover 1994 to 2002
-HOLIDAY_DAYS = [(1, 1), (1, 15), (2, 11), (3, 21), (4, 29), (5, 3), (5, 4), (5, 5)]
+# the derived tables lie between these days
+FIRST_DAY, LAST_DAY = dt.date(1992, 1, 1), dt.date(2002, 12, 31)
 
 MAP_HOLE, MAP_TO = "H0", dt.date(1998, 3, 31)
 MAP_PAIRS = [(n, n + 1000) for n in range(100, 110)]
@@ -64,9 +64,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def holidays(spark: SparkSession) -> DataFrame:
-    days = cal.calendar(spark, dt.date(1994, 1, 1), dt.date(2002, 12, 31), "holiday_date")
-    md = F.month("holiday_date") * 100 + F.dayofmonth("holiday_date")
-    return days.where(md.isin([m * 100 + d for m, d in HOLIDAY_DAYS]))
+    return rules.holidays(spark, FIRST_DAY, LAST_DAY)
 
 
 def unit_map(spark: SparkSession) -> DataFrame:
