@@ -17,7 +17,7 @@ import re
 from array import array
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from floorlens.llm.common import fresh, text_of
 
 CAPACITY = 4096
+ROWS_AT_ONCE = 200
 END_ID = 1
 #: Fixed value: the tokenizer's word pattern, for lower-case letters up to U+00FF.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+"
@@ -80,11 +81,12 @@ class ChunkIds(dict):
 
     No token of a tokenizer that drops white space crosses a space or line end, so a text's
     ids are those of its chunks. Chunks of common letters are split into words here and only new
-    words go to the tokenizer's model; others go through the whole tokenizer. Both memories
-    are forgotten in whole when they grow large.
+    words go to the tokenizer's model; others go through the whole tokenizer. Long chunks and
+    words are not remembered, and both memories are forgotten in whole when they grow large:
+    they hold some 40 MB at most, whatever the texts.
     """
 
-    LIMIT = 220_000
+    LIMIT, LONGEST = 120_000, 40
 
     def __init__(self, path: str | None):
         super().__init__()
@@ -106,17 +108,19 @@ class ChunkIds(dict):
             ids = b"".join([known(w) or learn(w) for w in self.split(chunk.lower())])
         else:
             ids = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
-        if len(self) >= self.LIMIT:
-            self.clear()
-        self[chunk] = ids
+        if len(chunk) <= self.LONGEST:
+            if len(self) >= self.LIMIT:
+                self.clear()
+            self[chunk] = ids
         return ids
 
     def _word(self, word: str) -> bytes:
         coded = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
         ids = array("I", [t.id for t in self.model.tokenize(coded)]).tobytes()
-        if len(self.words) >= self.LIMIT:
-            self.words.clear()
-        self.words[word] = ids
+        if len(word) <= self.LONGEST:
+            if len(self.words) >= self.LIMIT:
+                self.words.clear()
+            self.words[word] = ids
         return ids
 
     def ids_of(self, text: str) -> bytes:
@@ -150,21 +154,25 @@ def packed(
     total = docs.agg(F.sum(F.octet_length(name).cast("long"))).first()[0] or 0
     docs = docs.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-total // partition_bytes)))
 
-    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         chunk_ids, bins = ChunkIds(tokenizer), OpenBins(capacity, open_bins)
         base = TaskContext.get().partitionId() << 40
         end = END_ID.to_bytes(4, "little")
-        for frame in frames:
-            rows = []
-            for at, ids in enumerate(map(chunk_ids.ids_of, frame[name])):
-                for piece, (start, part) in enumerate(token_pieces(ids + end, capacity)):
-                    length = len(part) // 4
-                    number, offset = bins.place(length)
-                    rows.append((at, piece, start, length, part, base + number, offset))
-            out = pd.DataFrame(rows, columns=["at", "piece", "start", "length", "ids", "sequence_id", "offset"])
-            out.insert(0, key, frame[key].take(out.pop("at")).array)
-            yield out
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+        for batch in batches:
+            for first in range(0, batch.num_rows, ROWS_AT_ONCE):  # only so many texts and their ids are held as Python values
+                some = batch.slice(first, ROWS_AT_ONCE)
+                at, rows = [], []
+                for i, ids in enumerate(map(chunk_ids.ids_of, some.column(1).to_pylist())):
+                    for piece, (start, part) in enumerate(token_pieces(ids + end, capacity)):
+                        length = len(part) // 4
+                        number, offset = bins.place(length)
+                        at.append(i)
+                        rows.append((piece, start, length, part, base + number, offset))
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                names = [key, "piece", "start", "length", "ids", "sequence_id", "offset"]
+                yield pa.record_batch([some.column(0).take(pa.array(at, pa.int32())), *columns], names=names)
 
     schema = T.StructType(
         [
@@ -177,7 +185,7 @@ def packed(
             T.StructField("offset", T.LongType()),
         ]
     )
-    return docs.mapInPandas(pack, schema)
+    return docs.mapInArrow(pack, schema)
 
 
 def packing_digest(pieces: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -431,3 +431,19 @@ def test_pipeline_keeps_texts_with_null_or_shared_ids_apart(spark, tmp_path):
         found = [k for k in kept.elements() if k[1] in (BASE[a], near[a])]
         assert len(found) == 1 and found[0][0] in b, a
     assert sum(kept.values()) == 6
+
+
+def test_packing_remembers_no_long_chunks(spark):
+    """A text of 20 MB without a space is packed in whole, and does not stay in memory."""
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    memory = packing.ChunkIds(None)
+    long = "ab3é" * 100_000
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode(long, add_special_tokens=False).ids
+    assert memory.ids_of(long + " ba") == np.array([*whole, *memory.tokenizer.encode("ba", add_special_tokens=False).ids], np.uint32).tobytes()
+    assert max(map(len, [*memory, *memory.words])) <= memory.LONGEST
+    rows = spark.createDataFrame([(1, "7" * 20_000_000), (2, None), (3, "ba")], "doc_id long, text string")
+    pieces = packing.packed(rows).groupBy("doc_id").agg({"length": "sum"}).collect()
+    assert {x["doc_id"]: x[1] for x in pieces} == {1: 20_000_001, 2: 1, 3: len(memory.ids_of("ba")) // 4 + 1}
