@@ -56,7 +56,7 @@ def build() -> dict[str, tuple[str, str]]:
   count(*) as count, count(*) filter (where d1_diff > 0) as win_count, round(coalesce(avg(d1_diff), 0), 0) as avg_diff
 from mart group by rollup (target_date, hole)""")
     q["model_count"] = (OBS, "select date, hole, count(distinct machine) as models from obs group by all")
-    q["has_data"] = (OBS, "select k.date, k.hole, exists (select 1 from obs o where o.date = k.date and o.hole = k.hole) as \"exists\" from (select distinct cast(o_orderdate as date) as date, 'H' || (o_custkey % 3) as hole from orders) k")
+    q["has_data"] = (OBS, "select k.date, k.hole, exists (select 1 from obs o where o.date = k.date and o.hole = k.hole) as \"exists\" from (select distinct cast(o_orderdate as date) as date, 'H' || (o_custkey // 750) as hole from orders) k")
     q["row_count_by_venue"] = (OBS, "select hole, count(distinct id) as n from obs group by all")
     q["failure_stats"] = (FAILURES, "select count(*) filter (where status = 'pending') as pending, count(*) filter (where status = 'resolved') as resolved, count(*) filter (where status = 'ignored') as ignored, count(*) as total from failures")
     q["pending_failures"] = (FAILURES, "select date, hole, count(*) as pending from failures where status = 'pending' group by all")
@@ -73,13 +73,15 @@ listed as (select date, hole, count(distinct machine) + max(case when day(date)
     q["sync_decision"] = (f"{OBS}, {STORE}", "select date, hole, count(*) as primary_rows, count(*) filter (where l_returnflag <> 'R') as copy_rows, count(*) <> count(*) filter (where l_returnflag <> 'R') as sync from obs group by all")
     q["fallback_merge"] = (f"""{OBS}, {CORRECTIONS},
 failed as (select distinct date, hole, machine from obs where coalesce(game, 0) = 0),
-src as (select * from obs where l_returnflag = 'N'),
-b as ({newest('src')}), c as ({newest('fix')}),
-bs as (select date, hole, machine, 'backup' as origin, count(*) as rows, cast(sum(diff) as bigint) as diff from b group by all),
-cs as (select date, hole, machine, 'correction' as origin, count(*) as rows, cast(sum(diff) as bigint) as diff from c group by all)""",
-        """select date, hole, machine, coalesce(bs.origin, cs.origin, 'failure') as origin, coalesce(bs.rows, cs.rows, 0) as rows,
-  case when bs.origin is not null then bs.diff else cs.diff end as diff
-from failed left join bs using (date, hole, machine) left join cs using (date, hole, machine)""")
+src as (select * from obs where source = 's0'),
+b as ({newest('src')}), c as ({newest('fix')})""",
+        """select date, hole, machine, 'backup' as origin, machine_number, diff, game from failed join b using (date, hole, machine)
+union all
+select date, hole, machine, 'correction', machine_number, diff, game from failed join c using (date, hole, machine)
+where (date, hole, machine) not in (select (date, hole, machine) from b)
+union all
+select date, hole, machine, 'failure', null, null, null from failed
+where (date, hole, machine) not in (select (date, hole, machine) from b) and (date, hole, machine) not in (select (date, hole, machine) from c)""")
     q["restore_day"] = (f"{OBS}, {CORRECTIONS}, c as ({newest('fix')})", "select date || '_' || hole || '_' || machine_number || '_s9' as id, date, hole, machine, machine_number, diff, game, cast(case when diff > 0 then 1 else 0 end as bigint) as win, 's9' as source from c")
     cols = f"{KEY}, machine, diff, game"
     q["upsert_result"] = (f"{OBS}, {CORRECTIONS}, {STORE}, t as ({newest('store')}), c as ({newest('fix')})",
@@ -216,6 +218,17 @@ e2 as (select *, row_number() over ({g} order by sc desc, machine_number) as er
     q["ensemble_rank"] = (ens, """select hole, machine, target_date, machine_number, sc as ensemble_score, (r0 + r1 + r2 + r3) / 4.0::double as avg_rank,
   (r0 <= 5)::int + (r1 <= 5)::int + (r2 <= 5)::int + (r3 <= 5)::int as total_votes, cc as consensus_count, cast(er as integer) as ensemble_rank,
   case when er <= 1 then 5 when er <= 3 then 4 when er <= 5 then 3 when cc >= 3 then 3 when er <= 10 then 2 else 1 end as priority_rank from e2""")
-    q["weight_grid"] = (f"{ens}, k(x) as (values (1), (2), (3), (4), (5)), w as (select i.x as a, j.x as b, l.x as c, 10 - i.x - j.x - l.x as d from k i, k j, k l where i.x + j.x + l.x <= 10)",
-        "select a, b, c, d, count(*) as n, round(avg(d1_payout_rate), 6) as avg_payout_rate from e0, w where round((a * n0 + b * n1 + c * n2 + d * n3) / 10, 9) >= 0.95 group by a, b, c, d")
+    q["weight_grid"] = (f"{ens}, e0n as (select *, lead(target_date) over u as next_day, lead(d1_payout_rate) over u as next_payout_rate from e0 window u as (partition by {U} order by target_date)), k(x) as (values (1), (2), (3), (4), (5)), w as (select i.x as a, j.x as b, l.x as c, 10 - i.x - j.x - l.x as d from k i, k j, k l where i.x + j.x + l.x <= 10)",
+        "select a, b, c, d, count(*) as n, round(avg(next_payout_rate), 6) as avg_payout_rate from e0n, w where next_day is not null and round((a * n0 + b * n1 + c * n2 + d * n3) / 10, 9) >= 0.95 group by a, b, c, d")
+    hit = ", ".join(f"sum(case when r{i} <= 5 and lead_won is not null then lead_won end) as h{i}, count(case when r{i} <= 5 then lead_won end) as c{i}" for i in range(3))
+    run = ", ".join(f"sum(h{i}) over before / nullif(sum(c{i}) over before, 0) as a{i}" for i in range(3))
+    part = lambda i, hi, lo: f"case when a{i} > 0.55 then {hi}::double else {lo}::double end"
+    q["conditional_ensemble"] = (f"""{ens},
+nx as (select *, case when lead(d1_diff) over u > 0 then 1 when lead(target_date) over u is not null then 0 end as lead_won, lead(target_date) over u as judged from e0 window u as (partition by {U} order by target_date)),
+dayhits as (select hole, machine, judged as target_date, {hit} from nx where judged is not null group by hole, machine, judged),
+days as (select distinct hole, machine, target_date from mart),
+acc as (select d.hole, d.machine, d.target_date, {run} from days d left join dayhits using (hole, machine, target_date) window before as (partition by d.hole, d.machine order by d.target_date rows between unbounded preceding and current row)),
+wts as (select *, {part(0, 0.35, 0.20)} as w0, {part(1, 0.25, 0.15)} as w1, {part(2, 0.25, 0.15)} as w2 from acc),
+sc as (select e0.*, a0, a1, a2, round(n0 * w0 + n1 * w1 + n2 * w2 + n3 * (1.0::double - w0 - w1 - w2), 9) as conditional_score from e0 join wts using (hole, machine, target_date))""",
+        f"select hole, machine, target_date, machine_number, round(a0, 6) as accuracy_0, round(a1, 6) as accuracy_1, round(a2, 6) as accuracy_2, conditional_score, cast(row_number() over ({g} order by conditional_score desc, machine_number) as integer) as conditional_rank from sc")
     return q

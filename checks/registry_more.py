@@ -40,7 +40,7 @@ def _collection(s, f):
 def has_data(s, f):
     """Venue-days of the orders table that have observations."""
     keys = d.table(s, f, "orders").selectExpr(
-        "cast(o_orderdate as date) as date", "concat('H', cast(o_custkey % 3 as string)) as hole"
+        "cast(o_orderdate as date) as date", "concat('H', cast(o_custkey div 750 as string)) as hole"
     )
     return quality.has_data(keys.distinct(), d.observations(s, f))
 
@@ -58,17 +58,19 @@ def stored_rows(s, f):
 
 
 def fallback(s, f):
+    """Every failed model of every observation, with the rows that stand in for it: the backup holds
+    what the first source brought; what has neither backup nor correction stays a failure."""
     failed = _failed_models(s, f)
     cols = ["date", "hole", "machine", "machine_number", "diff", "game", "win", "source"]
     backup = dedupe.dedupe_latest(
-        d.observations(s, f).where("l_returnflag = 'N'"), ["date", "hole", "machine_number"], "ts", d.TIES
+        d.observations(s, f).where("source = 's0'"), ["date", "hole", "machine_number"], "ts", d.TIES
     ).select(*cols)
     fixes = dedupe.dedupe_latest(d.corrections(s, f), ["date", "hole", "machine_number"], "ts", d.TIES)
     fixes = clean.with_win(fixes).select(*cols)
     used, left = reconcile.fallback(failed, backup, fixes)
-    a = used.groupBy("date", "hole", "machine", "origin").agg(F.count(F.lit(1)).alias("rows"), F.sum("diff").alias("diff"))
-    b = left.select("date", "hole", "machine", F.lit("failure").alias("origin"), F.lit(0).cast("bigint").alias("rows"), F.lit(None).cast("bigint").alias("diff"))
-    return a.unionByName(b)
+    shown = ["date", "hole", "machine", "origin", "machine_number", "diff", "game"]
+    none = {c: F.lit(None).cast("bigint") for c in shown[4:]}
+    return used.select(*shown).unionByName(left.withColumn("origin", F.lit("failure")).withColumns(none).select(*shown))
 
 
 def _failed_models(s, f):
@@ -379,10 +381,16 @@ ENSEMBLE = ["d3_win_rate", "d7_payout_rate", "d14_payout_rate", "d28_payout_rate
 
 
 def _ensemble(s, f):
-    rows = _mart(s, f).select("hole", "machine", "target_date", "machine_number", "d1_payout_rate", *ENSEMBLE)
+    rows = _mart(s, f).select("hole", "machine", "target_date", "machine_number", "d1_diff", "d1_payout_rate", *ENSEMBLE)
     return profiles.ensemble(rows, ENSEMBLE, [0.3, 0.25, 0.25, 0.2], ["hole", "machine", "target_date"])
 
 
+def conditional_ensemble(s, f):
+    scored = session.stored(_ensemble(s, f))
+    out = profiles.conditional_ensemble(scored, ENSEMBLE)
+    return _round(out.select("hole", "machine", "target_date", "machine_number", *[f"accuracy_{i}" for i in range(3)], "conditional_score", "conditional_rank"))
+
+
 def _venue_days(s, f):
     """A venue's days with data: the raw keys have the days of the mart."""
     return d.observations(s, f).select("hole", F.col("date").alias("target_date")).distinct()
@@ -416,6 +424,7 @@ def profile_queries():
             *key, "ensemble_score", "avg_rank", "total_votes", "consensus_count", "ensemble_rank", "priority_rank"
         ),
         "weight_grid": lambda s, f: _round(
-            p.weight_grid_search(_ensemble(s, f), [f"norm_{c}" for c in ENSEMBLE], "d1_payout_rate")
+            p.weight_grid_search(p.with_next_day(_ensemble(s, f)), [f"norm_{c}" for c in ENSEMBLE], "next_payout_rate")
         ),
+        "conditional_ensemble": conditional_ensemble,
     }

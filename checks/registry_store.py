@@ -19,6 +19,7 @@ from floorlens.plans import mart as mart_plan
 from floorlens.plans import report
 from floorlens.sources import clean, layouts, readers, schemas, sinks, text
 from floorlens.sources import derived as d
+from floorlens.streaming import ingest
 
 BY = ["date", "hole"]
 FEED = "id string, date date, hole string, machine string, machine_number bigint, diff bigint, game bigint, win bigint, source string, timestamp timestamp, event_id bigint"
@@ -83,8 +84,8 @@ def delete_slice_result(s, f):
 
 
 def insert_ignore_stored(s, f):
-    """Clicks stored; all rows added where their id is new."""
-    path = _stored(s, newest_feed(s, f, "source = 'click'"))
+    """Clicks stored under the day before theirs; all rows added where their id is new anywhere."""
+    path = _stored(s, newest_feed(s, f, "source = 'click'").withColumn("date", F.date_sub("date", 1)))
     first = dedupe.dedupe_first(feed(s, f), ["id"], "timestamp", ["event_id"])
     sinks.insert_ignore(s, first, path, ["id"], BY, _schema())
     return _read(s, path)
@@ -163,7 +164,6 @@ def mart_range(s, f):
 
 def mart_refresh(s, f):
     """A stored mart, then two late days far apart: only the days they reach are built again."""
-    from floorlens.streaming import ingest
 
     base = session.work_folder(s)
     late = "day(date) in (3, 24) and source = 'error'"
@@ -193,21 +193,61 @@ def register_corrections(s, f):
 def ingest_reconcile(s, f):
     """Captured pages to stored slices: parse, check, decide, fall back, stamp and replace.
 
-    Every third venue-day (by day of month) is stored already. Pages of model M1 failed;
-    corrections stand in for them where there are any.
+    Venue-days of every third day of the month are stored already, on even days without a row of M2.
+    Pages of model M1 failed; corrections stand in for them where there are any. What is
+    stored completely is skipped. The result is the table after the ingest and, as rows without
+    units, the failures to record.
     """
+    from .registry import unit_days
     from .registry_more import captured_pages
 
-    shots = captured_pages(s, f)
+    shots = session.stored(captured_pages(s, f))
     path = f"{session.work_folder(s)}/raw"
-    stamp = dt.datetime(2026, 1, 1)
+    days = unit_days(s, f)
+    there = days.where("day(date) % 3 = 0 and not (day(date) % 2 = 0 and machine = 'M2')").select(*BY, "machine", "machine_number", "diff", F.coalesce("game", F.lit(0)).alias("game"))
+    there = clean.stamp(clean.with_win(there), "s0", dt.datetime(2025, 1, 1)).withColumn("year", F.year("date"))
+    schema, by = there.schema, ["year", "hole"]  # some thousand venue-days: a folder for each would hold a handful of rows
+    sinks.overwrite_partitions(there, path, by)
+    stored = s.read.schema(schema).parquet(path)
+    listed = shots.groupBy(*BY).agg(F.countDistinct("machine").alias("models"))
     fixes = clean.with_win(dedupe.dedupe_latest(d.corrections(s, f), ["date", "hole", "machine_number"], "ts", d.TIES))
-    rows, _ = reconcile.ingest(
-        shots.where("machine <> 'M1'"), shots.where("machine = 'M1'"), fixes, stored=None, listed=None, source="s9", load_ts=stamp
+    rows, left = reconcile.ingest(
+        shots.where("machine <> 'M1'"), shots.where("machine = 'M1'"), fixes, stored=stored, listed=listed, source="s9", load_ts=dt.datetime(2026, 1, 1)
     )
-    sinks.overwrite_partitions(rows.withColumn("year", F.year("date")), path, ["year"])
-    back = s.read.schema(StructType.fromDDL(rows.limit(0)._jdf.schema().toDDL() + ", year int")).parquet(path)
-    return back.select("id", "date", "hole", "machine", "machine_number", "diff", "game", "win", "source")
+    rows, left = session.stored(rows), session.stored(left)  # both read the table that is replaced next
+    sinks.replace_rows(s, rows.withColumn("year", F.year("date")), path, BY, by, schema)
+    shown = ["date", "hole", "machine", "machine_number", "diff", "game", "source"]
+    none = {c: F.lit(None).cast(there.schema[c].dataType) for c in shown[3:]}
+    failures = left.withColumns(none).withColumn("source", F.lit("failure"))
+    return s.read.schema(schema).parquet(path).select(*shown).unionByName(failures.select(*shown))
+
+
+def shard_scan(s, f):
+    """The middle third of the days, from folders named by day."""
+    root = f"{session.work_folder(s)}/shards"
+    sinks.write_shards(s, newest_feed(s, f), root)
+    return readers.scan_shards(s, root, *_days(s, f), schema=_schema()).select(*SHOWN)
+
+
+def stream_repeats(s, f):
+    """Rows that the stream took in, for each day and venue: the events arrive in several batches, a
+    third of them again in a later one, and another third after the stream was started anew."""
+    base = session.work_folder(s)
+    rows = feed(s, f)
+    keys = tuple([*KEY, "event_id"])
+
+    def run() -> None:
+        stream = ingest.read_stream(s, f"{base}/incoming", _schema(), files_per_trigger=4)
+        ingest.ingest(
+            stream, f"{base}/raw", f"{base}/state", keys=keys, schema=_schema(), repeat_delay="60 days", ledger=f"{base}/ledger"
+        ).awaitTermination()
+
+    rows.repartitionByRange(10, "date").write.parquet(f"{base}/incoming")
+    rows.where("event_id % 3 = 0").coalesce(2).write.mode("append").parquet(f"{base}/incoming")
+    run()
+    rows.where("event_id % 3 = 1").coalesce(2).write.mode("append").parquet(f"{base}/incoming")
+    run()
+    return s.read.parquet(f"{base}/ledger").groupBy(*BY).agg(F.sum("rows").alias("n"))
 
 
 def summary_loaded(s, f):
@@ -224,7 +264,7 @@ def queries() -> dict:
     fs = [
         replace_slice_result, replace_day_result, delete_slice_result, insert_ignore_stored, upsert_stored, rewrite_deduped,
         sync_range, sync_dimension, csv_round_trip, ndjson_round_trip, stored_layouts, mart_range, mart_refresh,
-        register_corrections, ingest_reconcile, summary_loaded,
+        register_corrections, ingest_reconcile, summary_loaded, shard_scan, stream_repeats,
     ]
     return {x.__name__: x for x in fs}
 
@@ -257,7 +297,7 @@ span as (
     q["delete_slice_result"] = (f"{st}, t as ({last()})",
         f"select {shown.replace('hole', '''hole || ':a/b=c' as hole''')} from t where not (hole = 'H0' and date between (select a from span) and (select b from span))")
     q["insert_ignore_stored"] = (f"{st}, t as ({last('''source = 'click' ''')}), b as ({first})",
-        f"select {shown} from t union all select {shown} from b where source <> 'click'")
+        f"select {shown} from (select * replace (cast(date - 1 as date) as date) from t) union all select {shown} from b where source <> 'click'")
     q["upsert_stored"] = (f"{st}, t as ({last('event_id % 2 = 0')}), b as ({last('event_id % 2 = 1')})",
         f"select {shown} from t where ({key}) not in (select ({key}) from b) union all select {shown} from b")
     q["rewrite_deduped"] = (f"{st}, b as ({first})",
@@ -277,13 +317,26 @@ u as (select *, date - date '1970-01-01' as n from raw qualify row_number() over
   cast(sum(diff) {over.format(27)} as bigint) as d28_diff, count(*) {over.format(31)} as all_days from u""")
     q["register_corrections"] = (UNITS, """select date || '_' || hole || '_' || machine_number || '_s9' as id, date, hole, machine_number, diff, coalesce(game, 0) as game,
   cast(case when diff > 0 then 1 else 0 end as bigint) as win, 'f_' || date || '_' || hole as failure_id from unit_days""")
-    q["ingest_reconcile"] = (f"{UNITS}, {CORRECTIONS}, c as ({newest('fix')}), failed as (select distinct date, hole from unit_days where machine = 'M1')",
-        """select date || '_' || hole || '_' || machine_number || '_s9' as id, date, hole, machine, machine_number, diff, game,
-  cast(case when diff > 0 then 1 else 0 end as bigint) as win, 's9' as source from (
-  select date, hole, machine, machine_number, diff, coalesce(game, 0) as game from unit_days where machine <> 'M1'
-  union all
-  select date, hole, machine, machine_number, diff, game from c where machine = 'M1' and game is not null and (date, hole) in (select (date, hole) from failed))
-qualify row_number() over (partition by date, hole, machine_number order by machine) = 1""")
+    q["shard_scan"] = (f"{st}, t as ({last()})", f"select {shown} from t where date between (select a from span) and (select b from span)")
+    q["stream_repeats"] = (st, "select date, hole, count(*) as n from st group by all")
+    q["ingest_reconcile"] = (f"""{UNITS}, {CORRECTIONS}, c as ({newest('fix')}),
+u as (select * replace (coalesce(game, 0) as game) from unit_days),
+there as (select * from u where day(date) % 3 = 0 and not (day(date) % 2 = 0 and machine = 'M2')),
+had as (select date, hole, count(distinct machine) as n from there group by all),
+listed as (select date, hole, count(distinct machine) as n from u group by all),
+wanted as (select l.date, l.hole from listed l left join had h using (date, hole) where coalesce(h.n, 0) <> l.n),
+failed as (select distinct date, hole, machine from u where machine = 'M1' and (date, hole) in (select (date, hole) from wanted)),
+fresh as (
+  select date, hole, machine, machine_number, diff, game from (
+    select date, hole, machine, machine_number, diff, game from u where machine <> 'M1' and (date, hole) in (select (date, hole) from wanted)
+    union all
+    select date, hole, machine, machine_number, diff, game from c where game is not null and (date, hole, machine) in (select (date, hole, machine) from failed))
+  qualify row_number() over (partition by date, hole, machine_number order by machine) = 1)""",
+        """select date, hole, machine, machine_number, diff, game, 's9' as source from fresh
+union all
+select date, hole, machine, machine_number, diff, game, 's0' as source from there where (date, hole) not in (select (date, hole) from fresh)
+union all
+select date, hole, machine, null, null, null, 'failure' as source from failed where (date, hole, machine) not in (select (date, hole, machine) from c)""")
     q["summary_loaded"] = ("x as (select 1)", """select o_orderkey, case when o_orderkey % 7 = 0 then null else (o_orderkey % 100)::double end as win_rate,
   (o_orderkey % 50)::double + 0.5::double as payout_rate from orders""")
     return q

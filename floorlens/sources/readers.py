@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,9 @@ from pyspark.sql import types as T
 
 from . import schemas
 
+#: Fixed value: name of a day's folder.
+SHARD = r"data_(\d{8})"
+
 
 def scan_raw(
     spark: SparkSession,
@@ -28,6 +32,29 @@ def scan_raw(
     return df if hole is None else df.where(F.col("hole") == hole)
 
 
+def shard_days(spark: SparkSession, root: str, date_from: dt.date | None = None, date_to: dt.date | None = None) -> list[str]:
+    """Folders `data_YYYYMMDD` of a span of days, by their names alone; other names are passed over."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()] if fs.exists(folder) else []
+    low = f"{date_from or dt.date.min:%Y%m%d}".rjust(8, "0")
+    high = f"{date_to or dt.date.max:%Y%m%d}".rjust(8, "0")
+    return sorted(f"{root.rstrip('/')}/{n}" for n in names if re.fullmatch(SHARD, n) and low <= n[-8:] <= high)
+
+
+def scan_shards(
+    spark: SparkSession, root: str, date_from: dt.date | None = None, date_to: dt.date | None = None, schema: T.StructType = schemas.RAW
+) -> DataFrame:
+    """Raw rows of date-named folders; only folders of the span are listed and read, and `date` is
+    that of the folder a row lies in, whatever its file says. Without a folder there are no rows."""
+    folders = shard_days(spark, root, date_from, date_to)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    inside = T.StructType([f for f in schema.fields if f.name != "date"])
+    day = F.to_date(F.regexp_extract("_metadata.file_path", rf"/{SHARD}/[^/]*$", 1), "yyyyMMdd")
+    return spark.read.schema(inside).parquet(*folders).withColumn("date", day).select(*schema.fieldNames())
+
+
 def raw_detail(df: DataFrame, date: dt.date, hole: str) -> DataFrame:
     """One venue and day, by model and unit."""
     return df.where((F.col("date") == F.lit(date)) & (F.col("hole") == hole)).orderBy("machine", "machine_number")

@@ -97,12 +97,14 @@ def replace_slice(df: DataFrame, path: str, by: tuple[str, ...] = ("date", "hole
     overwrite_partitions(df, path, list(by))
 
 
-def replace_day(spark: SparkSession, df: DataFrame, path: str, by: tuple[str, ...] = ("date", "hole")) -> None:
+def replace_day(
+    spark: SparkSession, df: DataFrame, path: str, by: tuple[str, ...] = ("date", "hole"), schema: T.StructType = schemas.RAW
+) -> None:
     """Replaces whole days: venues missing from the batch are dropped."""
     dates = [r[0] for r in df.select("date").distinct().collect()]  # one value per day of the batch
     overwrite_partitions(df, path, list(by))
     kept = df.select(*by).distinct()
-    old = spark.read.schema(schemas.RAW).parquet(path).where(F.col("date").isin(dates)).select(*by).distinct()
+    old = spark.read.schema(schema).parquet(path).where(F.col("date").isin(dates)).select(*by).distinct()
     _drop_partitions(spark, path, old.join(kept, list(by), "left_anti"), list(by))
 
 
@@ -114,6 +116,26 @@ def _drop_partitions(spark: SparkSession, path: str, keys: DataFrame, by: list[s
     return len(rows)
 
 
+def write_shards(spark: SparkSession, df: DataFrame, root: str) -> None:
+    """Writes rows as folders `data_YYYYMMDD` by their date; a day that is there already is replaced.
+
+    All days are written in one job beside the folders and then put in place one by one.
+    """
+    staging = f"{root.rstrip('/')}__staging/{uuid.uuid4().hex}"
+    named = df.where(F.col("date").isNotNull()).withColumn("__shard", F.date_format("date", "yyyyMMdd"))
+    named.drop("date").hint("rebalance", "__shard").write.partitionBy("__shard").parquet(staging)
+    fs, folder = _fs(spark, staging)
+    fs.mkdirs(_fs(spark, root)[1])
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("__shard="):
+            to = f"{root.rstrip('/')}/data_{name[-8:]}"
+            _drop(spark, to)
+            if not fs.rename(status.getPath(), _fs(spark, to)[1]):
+                raise OSError(f"{to} could not be put in place")
+    _drop(spark, staging)
+
+
 def delete_slice(
     spark: SparkSession,
     path: str,
@@ -231,14 +253,74 @@ def rewrite_deduped(
     return before
 
 
+def replace_rows(
+    spark: SparkSession, df: DataFrame, path: str, slices: list[str], by: list[str], schema: T.StructType
+) -> None:
+    """Replaces the slices of the batch in a table whose partitions hold many slices each, such as days in
+    folders of a year: only partitions of the batch are read and written again. `df` must not read the table."""
+    rows = df.select(*[f.name for f in schema.fields])
+    recover(spark, path, by, schema)
+    if not exists(spark, path):
+        return overwrite_partitions(rows, path, by)
+    old = touched_partitions(spark, rows, path, by, schema)
+    commit_merged(absent(old, rows.select(*slices).distinct(), slices).unionByName(rows), path, by)
+
+
+#: Folders of a key index: a batch opens those of its own keys only.
+KEY_BUCKETS = 64
+
+
+def _index_folder(path: str) -> str:
+    return f"{path.rstrip('/')}__keys"
+
+
+def _bucketed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int").alias("bucket"))
+
+
+def build_key_index(spark: SparkSession, path: str, keys: list[str], schema: T.StructType) -> None:
+    """Writes the stored keys beside the table, in folders by their hash; reads the key columns only."""
+    stored = spark.read.schema(schema).parquet(path).select(*keys).distinct()
+    _bucketed(stored, keys).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(_index_folder(path))
+
+
+def _indexed_keys(spark: SparkSession, rows: DataFrame, path: str, keys: list[str], schema: T.StructType) -> DataFrame:
+    """Stored keys in the index folders that the keys of `rows` belong to."""
+    kinds = T.StructType([*(schema[k] for k in keys), T.StructField("bucket", T.IntegerType())])
+    buckets = [r[0] for r in _bucketed(rows, keys).select("bucket").distinct().collect()]  # at most KEY_BUCKETS
+    return spark.read.schema(kinds).parquet(_index_folder(path)).where(F.col("bucket").isin(buckets)).drop("bucket")
+
+
 def insert_ignore(
     spark: SparkSession, source: DataFrame, path: str, keys: list[str], by: list[str], schema: T.StructType
 ) -> None:
-    """Adds the rows whose key is new; existing rows win.  The source has unique keys."""
+    """Adds the rows whose key is new; existing rows win, wherever they lie. The source has unique keys.
+
+    If the partition columns are part of the key, an equal key can only lie in the batch's own
+    partitions, and these are read. Otherwise stored keys are looked up in an index beside the
+    table. It is open while a batch is added: an index that is missing, or was left open by a lost
+    driver, is built again from the table's key columns.
+    """
+    recover(spark, path, by, schema)
     rows = source.select(*[f.name for f in schema.fields])
-    if exists(spark, path):
-        rows = absent(rows, touched_partitions(spark, rows, path, by, schema), keys)
-    rows.hint("rebalance", *[F.col(c) for c in by]).write.mode("append").partitionBy(*by).parquet(path)
+    if set(by) <= set(keys):
+        if exists(spark, path):
+            rows = absent(rows, touched_partitions(spark, rows, path, by, schema), keys)
+        rows.hint("rebalance", *[F.col(c) for c in by]).write.mode("append").partitionBy(*by).parquet(path)
+        return
+    index = _index_folder(path)
+    if not exists(spark, path):
+        overwrite_partitions(rows, path, by)
+        return build_key_index(spark, path, keys, schema)
+    if not exists(spark, f"{index}/_SUCCESS"):
+        build_key_index(spark, path, keys, schema)
+    staging = f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
+    absent(rows, _indexed_keys(spark, rows, path, keys, schema), keys).write.partitionBy(*by).parquet(staging)
+    new = spark.read.schema(schema).parquet(staging)
+    _drop(spark, f"{index}/_SUCCESS")  # open: from here on the table may be ahead of the index
+    new.hint("rebalance", *[F.col(c) for c in by]).write.mode("append").partitionBy(*by).parquet(path)
+    _bucketed(new, keys).hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(index)  # closes it
+    _drop(spark, staging)
 
 
 def sync_dimension(df: DataFrame, path: str) -> None:

@@ -120,16 +120,32 @@ def ingest(
     mart_path: str | None = None,
     keys: tuple[str, ...] = ("date", "hole", "machine_number", "source"),
     schema: T.StructType = schemas.RAW,
+    repeat_delay: str | None = None,
+    ledger: str | None = None,
+    ts: str = "timestamp",
     **mart_args,
 ):
     """Starts the ingest of all available files and returns the query.
 
     The checkpoint belongs in storage that all executors and a restarted driver
     can reach.
+
+    With `repeat_delay`, rows that repeat a key and stamp within that time of the newest stamp
+    are dropped before they are merged: the keys are the state of the stream, kept with the
+    checkpoint and removed as the watermark passes them. Rows later than the watermark are
+    dropped too; without `repeat_delay` there is no state and late rows are merged.
+
+    `ledger` is a table of what each batch brought: rows for each day and venue. A batch that
+    is replayed replaces its own entry.
     """
+    if repeat_delay is not None:
+        stream = drop_repeats(stream, list(keys), ts, repeat_delay)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if ledger is not None:
+            entry = batch.groupBy("date", "hole").agg(F.count(F.lit(1)).alias("rows")).withColumn("batch_id", F.lit(batch_id))
+            sinks.overwrite_partitions(entry, ledger, ["batch_id"])
         merge_batch(batch, raw_path, list(keys), ["date", "hole"], schema)
         if mart_path is None:
             return

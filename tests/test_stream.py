@@ -50,3 +50,26 @@ def test_repeats_are_dropped_within_the_watermark(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("repeats").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("repeats").count() == 1
+
+
+def test_repeats_across_batches_and_a_restart_are_dropped_and_forgotten(spark, tmp_path):
+    """The state holds keys of the delay only: older ones are removed as the watermark passes them."""
+    base = str(tmp_path)
+    days = [raw(spark, [(D(2024, 1, i), "A", "m", u, i, 1) for u in range(5)], ts=dt.datetime(2024, 1, i, 12)) for i in range(1, 21)]
+
+    def run():
+        q = ingest.ingest(ingest.read_stream(spark, f"{base}/in", files_per_trigger=1), f"{base}/raw", f"{base}/state", repeat_delay="2 days", ledger=f"{base}/ledger")
+        q.awaitTermination()
+        return q
+
+    for day in days:
+        day.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    last = run()
+    states = [p["stateOperators"][0] for p in last.recentProgress if p["stateOperators"]]
+    assert sum(x["numRowsRemoved"] for x in states) > 0 and states[-1]["numRowsTotal"] < 100
+    for day in (days[19], days[18], days[0]):  # in the state, in the state, long before the watermark
+        day.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    run()
+    ledger = spark.read.parquet(f"{base}/ledger").groupBy("date").sum("rows").collect()
+    assert sorted(tuple(x) for x in ledger) == [(D(2024, 1, i), 5) for i in range(1, 21)]
+    assert spark.read.schema(schemas.RAW).parquet(f"{base}/raw").count() == 100

@@ -186,3 +186,59 @@ def test_register_and_resolve(spark):
     failures = spark.createDataFrame([("f1", "pending", None, None), ("f2", "pending", None, None)], "id string, status string, resolved_at timestamp, resolved_method string")
     after = {r.id: r.status for r in sinks.apply_changes(failures, reconcile.resolutions(meta, T0), ["id"]).collect()}
     assert after == {"f1": "resolved", "f2": "pending"}
+
+
+def test_insert_ignore_finds_keys_in_other_partitions(spark, tmp_path):
+    path, by, keys = str(tmp_path / "t"), ["date", "hole"], ["id"]
+
+    def add(rows):
+        sinks.insert_ignore(spark, raw(spark, rows), path, keys, by, schemas.RAW)
+        return sorted((x["date"], x["machine_number"], x["diff"]) for x in spark.read.schema(schemas.RAW).parquet(path).collect())
+
+    first = [(D(2024, 1, 1), "A", "m", u, 10 + u, 1) for u in range(20)]
+    add(first)
+    moved = raw(spark, first).withColumns({"date": F.lit(D(2024, 2, 2)), "diff": F.lit(99).cast("bigint")})
+    sinks.insert_ignore(spark, moved, path, keys, by, schemas.RAW)
+    assert add([]) == [(D(2024, 1, 1), u, 10 + u) for u in range(20)]
+    assert (D(2024, 1, 3), 1, 5) in add([(D(2024, 1, 3), "A", "m", 1, 5, 1)])
+    # a driver lost between table and index: rows are there, the index is open and lacks them
+    late = raw(spark, [(D(2024, 1, 4), "A", "m", 1, 6, 1)])
+    late.write.mode("append").partitionBy(*by).parquet(path)
+    sinks._drop(spark, f"{path}__keys/_SUCCESS")
+    sinks.insert_ignore(spark, late.withColumn("date", F.lit(D(2024, 5, 5))), path, keys, by, schemas.RAW)
+    assert sum(x[2] == 6 for x in add([])) == 1
+
+
+def test_shards_of_a_span_only_are_read(spark, tmp_path):
+    root = str(tmp_path / "shards")
+    rows = raw(spark, [(D(2024, m, 1), "A", "m", u, u, 1) for m in range(1, 7) for u in (1, 2)])
+    sinks.write_shards(spark, rows, root)
+    sinks.write_shards(spark, raw(spark, [(D(2024, 3, 1), "A", "m", 9, 9, 1)]), root)  # a day is replaced
+    (tmp_path / "shards" / "data_other").mkdir()
+    found = readers.scan_shards(spark, root, D(2024, 2, 15), D(2024, 5, 1))
+    assert sorted((x["date"], x["machine_number"]) for x in found.collect()) == sorted([(D(2024, 3, 1), 9), *((D(2024, m, 1), u) for m in (4, 5) for u in (1, 2))])
+    assert {f.split("data_")[1][:8] for f in found.inputFiles()} == {"20240301", "20240401", "20240501"}
+    assert readers.scan_shards(spark, root).count() == 11
+    assert readers.scan_shards(spark, root, D(2030, 1, 1)).count() == 0 and readers.scan_shards(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_replace_rows_in_coarser_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = raw(spark, []).withColumn("year", F.year("date")).schema
+
+    def put(rows):
+        sinks.replace_rows(spark, raw(spark, rows).withColumn("year", F.year("date")), path, ["date", "hole"], ["year"], schema)
+        return sorted((x["date"], x["hole"], x["machine_number"]) for x in spark.read.schema(schema).parquet(path).collect())
+
+    put([(D(2023, 1, 1), "A", "m", 1, 1, 1), (D(2024, 1, 1), "A", "m", 1, 1, 1), (D(2024, 1, 1), "B", "m", 1, 1, 1), (D(2024, 1, 2), "A", "m", 1, 1, 1)])
+    assert put([(D(2024, 1, 1), "A", "m", 7, 1, 1)]) == [
+        (D(2023, 1, 1), "A", 1), (D(2024, 1, 1), "A", 7), (D(2024, 1, 1), "B", 1), (D(2024, 1, 2), "A", 1),
+    ]
+
+
+def test_replace_day_keeps_a_wider_schema(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = raw(spark, [(D(2024, 1, 1), h, "m", 1, 1, 1) for h in "AB"]).withColumn("extra", F.lit(5))
+    sinks.overwrite_partitions(rows, path, ["date", "hole"])
+    sinks.replace_day(spark, rows.where("hole = 'B'"), path, schema=rows.schema)
+    assert [x["hole"] for x in spark.read.schema(rows.schema).parquet(path).collect()] == ["B"]
