@@ -45,6 +45,7 @@ _APART = re.compile(rf"(?<![{_L}{_S}])[{_L}{_S}](?:[ ._\-]{{1,2}}[{_L}{_S}](?![{
 _THRICE = re.compile(rf"([{_L}])\1\1")
 #: A lattice is decoded in pieces of so many characters; the path of one ends where the next begins.
 PIECE = 256
+ROWS_AT_ONCE, FEATURES_AT_ONCE = 100, 100_000
 #: Symbols of the character model: 0 for all that is no letter, then letters.
 LETTERS = [chr(c) for c in (*range(97, 123), *range(0xE0, 0xF7), *range(0xF8, 0x100))]
 SYMBOLS = len(LETTERS) + 1
@@ -197,6 +198,13 @@ class Decoder:
         return out
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows some hundred at a time: only so many documents' words are held as Python values."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(first, ROWS_AT_ONCE)
+
+
 def features_of(word: str) -> list[str]:
     """The word with an end mark, and its beginnings of 4 to 8 letters."""
     return [word[:40] + "$", *(word[:n] for n in range(4, min(8, len(word)) + 1))]
@@ -274,7 +282,7 @@ def fit(documents: DataFrame, labels: DataFrame, most_labelled: int = 40_000, mo
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(costs)
-        for batch in batches:
+        for batch in slices(batches):
             rows = [decoder.words(x.as_py()) for x in batch["text"]]
             kinds = pa.list_(pa.string()), pa.list_(pa.int32())
             columns = [pa.array([list(x) for x in rows], kinds[0]), pa.array([list(x.values()) for x in rows], kinds[1])]
@@ -287,14 +295,22 @@ def fit(documents: DataFrame, labels: DataFrame, most_labelled: int = 40_000, mo
         return ToxicityModel(costs, {}, [0.0] * len(Evidence.NAMES), 40.0 if sum(toxic) else -40.0)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, ys, folds = [], [], []
+        names, ys, folds = [], [], []
+
+        def out() -> pa.RecordBatch:
+            batch = pa.record_batch([pa.array(names, pa.string()), pa.array(ys, pa.int32()), pa.array(folds, pa.int32())], names=["feature", "toxic", "fold"])
+            names.clear(), ys.clear(), folds.clear()
+            return batch
+
+        for batch in slices(batches):
             for words, y, part in zip(*(batch[c].to_pylist() for c in ("words", "toxic", "fold")), strict=True):
                 found = {f for w in words for f in features_of(w)}
                 names += found
                 ys += [y] * len(found)
                 folds += [part] * len(found)
-            yield pa.record_batch([pa.array(names, pa.string()), pa.array(ys, pa.int32()), pa.array(folds, pa.int32())], names=["feature", "toxic", "fold"])
+                if len(names) > FEATURES_AT_ONCE:
+                    yield out()
+        yield out()
 
     one = sample.select("words", "toxic", "fold").mapInArrow(features, "feature string, toxic int, fold int")
     per = [F.sum(((F.col("fold") == f) & (F.col("toxic") == y)).cast("long")).alias(f"n{f}{y}") for f in (0, 1) for y in (0, 1)]
@@ -309,7 +325,7 @@ def fit(documents: DataFrame, labels: DataFrame, most_labelled: int = 40_000, mo
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         others = [Evidence(halves[1]), Evidence(halves[0])]
-        for batch in batches:
+        for batch in slices(batches):
             rows = zip(*(batch[c].to_pylist() for c in ("words", "times", "fold")), strict=True)
             found = [others[part].sums(dict(zip(words, times, strict=True))) for words, times, part in rows]
             yield pa.record_batch([pa.array(found, pa.list_(pa.float64())), batch["toxic"]], names=["sums", "toxic"])
