@@ -4,10 +4,13 @@ The standard library's parser streams events; block elements cut the page into l
 with its text, its tags and the element that holds it. Per line the text-to-tag ratio is
 taken and smoothed with a Gaussian kernel; lines above a threshold (the standard deviation
 of the smoothed ratios) form the content cluster. The cluster votes for the region that
-holds most of its text: the article or main element if there is one, else the smallest
-element with nearly all of it. Every line of that region belongs to the text, so short
-paragraphs and headings are kept whole; lines inside menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and reader comments never count.
+holds most of its text: the articles or the main element if more than half of it is there,
+else the smallest element with nearly all of it. Every line of that region belongs to the
+text, so short paragraphs and headings are kept whole; lines inside menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles and reader comments never count.
+
+Elements know their parent and lines their element, and open elements are looked up by name,
+so the work grows with the page, also with deep or unclosed elements.
 """
 
 from __future__ import annotations
@@ -33,6 +36,9 @@ _BLOCKS = frozenset(
     "hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 ) | _SKIPPED
 _CLOSES_P = _BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "head", "title"}
+#: Elements inside which an open paragraph, or an open list item or cell, is out of reach.
+_BARS_P = _BLOCKS - {"p"}
+_BARS_ITEM = frozenset(("ul", "ol", "dl", "table", "select"))
 _REGIONS = frozenset(("article", "main"))
 #: Elements that can hold a page's text; a paragraph or list cannot be its region.
 _HOLDERS = frozenset("html body div section td center".split())
@@ -48,22 +54,29 @@ _BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary sear
 
 
 class PageLines(HTMLParser):
-    """Turns parser events into lines: (text, tags, path of element numbers)."""
+    """Turns parser events into lines: (text, tags, number of the element that holds it).
+
+    `parents` has the parent of each element; element 0 is the page. Elements are numbered as
+    they open, so a parent's number is below its children's.
+    """
 
     def __init__(self, by_class: bool = True):
         super().__init__(convert_charrefs=True)
         self.by_class = by_class
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, int]] = []
         self.regions: dict[int, str] = {}
         self.holders: set[int] = set()
+        self.parents: list[int] = [0]
         self.stack: list[tuple[str, int, bool]] = []
+        self.open: dict[str, list[int]] = {}  # depths of the open elements of a name
+        self.bars: dict[frozenset, list[int]] = {_BARS_P: [], _BARS_ITEM: []}  # and of those of a set
         self.text: list[str] = []
-        self.tags, self.made, self.hidden = 0, 0, 0
+        self.tags, self.hidden = 0, 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, self.tags, tuple(n for _, n, _ in self.stack)))
+            self.lines.append((text, self.tags, self.stack[-1][1] if self.stack else 0))
             self.tags = 0
         self.text = []
 
@@ -73,20 +86,25 @@ class PageLines(HTMLParser):
         if not self.hidden:
             self.tags += 1
         if tag in _CLOSES_P:
-            self._close("p", _BLOCKS - {"p"})
+            self._close("p", _BARS_P)
         if tag in ("li", "dd", "dt", "td", "th", "tr", "option"):
-            self._close(tag, frozenset(("ul", "ol", "dl", "table", "select")))
+            self._close(tag, _BARS_ITEM)
         if tag == "br":
             self.text.append("\n")
         if tag in _VOID:
             return
-        self.made += 1
+        number = len(self.parents)
+        self.parents.append(self.stack[-1][1] if self.stack else 0)
         skipped = tag in _SKIPPED or self._marked(tag, attrs)
         if tag in _REGIONS and not self.hidden and not skipped:
-            self.regions[self.made] = tag
+            self.regions[number] = tag
         if tag in _HOLDERS:
-            self.holders.add(self.made)
-        self.stack.append((tag, self.made, skipped))
+            self.holders.add(number)
+        self.open.setdefault(tag, []).append(len(self.stack))
+        for names, depths in self.bars.items():
+            if tag in names:
+                depths.append(len(self.stack))
+        self.stack.append((tag, number, skipped))
         self.hidden += skipped
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -99,7 +117,7 @@ class PageLines(HTMLParser):
             self.flush()
         if not self.hidden:
             self.tags += 1
-        self._close(tag, frozenset())
+        self._close(tag)
 
     def handle_data(self, data: str) -> None:
         if not self.hidden:
@@ -121,16 +139,18 @@ class PageLines(HTMLParser):
                 return True
         return False
 
-    def _close(self, tag: str, stop: frozenset) -> None:
-        """Close the innermost `tag`, and all in it, unless an element of `stop` lies between."""
-        for i in range(len(self.stack) - 1, -1, -1):
-            name = self.stack[i][0]
-            if name == tag:
-                self.hidden -= sum(s for _, _, s in self.stack[i:])
-                del self.stack[i:]
-                return
-            if name in stop:
-                return
+    def _close(self, tag: str, bars: frozenset | None = None) -> None:
+        """Close the innermost `tag`, and all in it, unless an element of `bars` lies between."""
+        depths = self.open.get(tag)
+        if not depths or bars and self.bars[bars] and self.bars[bars][-1] > depths[-1]:
+            return
+        for _ in range(len(self.stack) - depths[-1]):
+            name, _, skipped = self.stack.pop()
+            self.open[name].pop()
+            for names, inner in self.bars.items():
+                if name in names:
+                    inner.pop()
+            self.hidden -= skipped
 
 
 def smoothed(values: np.ndarray, sigma: float) -> np.ndarray:
@@ -148,23 +168,30 @@ def content_lines(page: PageLines, sigma: float, share: float) -> list[str]:
     size = np.array([len(t) for t, _, _ in lines], float)
     ratio = smoothed(size / np.array([max(n, 1) for _, n, _ in lines]), sigma)
     cluster = ratio >= min(ratio.std(), ratio.max())
-    voted: dict[int, float] = {}
-    for chosen, weight, (_, _, path) in zip(cluster, size, lines, strict=True):
-        if chosen:
-            for n in path:
-                voted[n] = voted.get(n, 0) + weight
-    total = size[cluster].sum()
-    regions = {n: kind for n, kind in page.regions.items() if voted.get(n)}
-    if regions:
-        # the outermost elements of the kind that holds most of the cluster; articles go first
-        kind = "article" if "article" in regions.values() else "main"
-        inside = {n for n, k in regions.items() if k == kind}
-        return [t for t, _, path in lines if inside.intersection(path)]
-    holders = [n for n, weight in voted.items() if weight >= share * total and n in page.holders]
+    voted = [0.0] * len(page.parents)
+    for chosen, weight, (_, _, holder) in zip(cluster, size, lines, strict=True):
+        voted[holder] += weight * bool(chosen)
+    for n in range(len(voted) - 1, 0, -1):  # an element has the votes of all in it
+        voted[page.parents[n]] += voted[n]
+    total = voted[0]
+    for kind in ("article", "main"):
+        inside = within(page, {n for n, k in page.regions.items() if k == kind and voted[n]})
+        kept = [i for i, (_, _, holder) in enumerate(lines) if inside[holder]]
+        if 2 * size[kept][cluster[kept]].sum() > total:
+            return [lines[i][0] for i in kept]
+    holders = [n for n in page.holders if voted[n] >= share * total]
     if not holders:
         return [t for t, _, _ in lines]
-    smallest = max(holders)  # elements are numbered as they open, so the innermost opened last
-    return [t for t, _, path in lines if smallest in path]
+    inside = within(page, {max(holders)})  # the innermost opened last
+    return [t for t, _, holder in lines if inside[holder]]
+
+
+def within(page: PageLines, chosen: set[int]) -> list[bool]:
+    """For each element, whether it or one around it is chosen."""
+    inside = [False] * len(page.parents)
+    for n, parent in enumerate(page.parents):
+        inside[n] = n in chosen or inside[parent]
+    return inside
 
 
 def main_text(html: str, sigma: float = 1.0, share: float = 0.9) -> str:
