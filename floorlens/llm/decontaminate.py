@@ -10,7 +10,9 @@ bounds), and the words there must equal the window's words.
 Documents are scanned once. A bit map of fixed size holds the benchmark's shingles, so what
 is sent to the tasks does not grow with the benchmark; each document gives up only its
 passages (maximal runs of words covered by shingles in the map), with their words. Rarity,
-join and check then work on these passages, which are stored in the shared folder.
+join and check then work on these passages, which are stored in the shared folder. A shingle
+of a passage goes into the join with the few words that a window around it can reach, never
+with its passage, so a copied passage of n words costs n rows of bounded width.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from floorlens.llm.common import WordHashes, mix, shingle_hashes, stored, text_of, words_of
 
 _MAP_BITS = 1 << 24
+_ROWS = 8192  # shingles of a long passage sent at a time
 _BIT = np.array([1, 2, 4, 8, 16, 32, 64, 128], np.uint8)
 
 
@@ -77,9 +80,23 @@ def shingle_map(windows: DataFrame, width: int) -> dict[int, bytes]:
     return {size: bits.tobytes() for size, bits in maps.items()}
 
 
-def passages(df: DataFrame, key: str, text: str, maps, width: int) -> DataFrame:
+def longest_word(windows: DataFrame) -> int:
+    """Bytes of the benchmark's longest word (0 if it has none): longer words match nothing."""
+    longest = F.array_max(F.transform("words", F.octet_length))
+    return windows.agg(F.max(longest)).first()[0] or 0
+
+
+def short_runs(words: list[bytes], longest: int) -> Iterator[tuple[int, list[bytes]]]:
+    """(place, words) of the runs of `words` between those of more than `longest` bytes."""
+    cuts = [i for i, word in enumerate(words) if len(word) > longest]
+    for start, end in zip([0, *(i + 1 for i in cuts)], [*cuts, len(words)], strict=True):
+        if start < end:
+            yield start, words[start:end]
+
+
+def passages(df: DataFrame, key: str, text: str, maps, width: int, longest: int) -> DataFrame:
     """Rows (key, n_words, runs): each document's runs of words that shingles in the map cover,
-    as structs (start, words)."""
+    as structs (start, words). Words of more than `longest` bytes are in no run."""
 
     def scan(frames: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
@@ -103,7 +120,8 @@ def passages(df: DataFrame, key: str, text: str, maps, width: int) -> DataFrame:
                     inside = np.concatenate([[False], np.cumsum(edge[:-1]) > 0, [False]])
                     turns = np.flatnonzero(inside[1:] != inside[:-1])
                     for start, end in turns.reshape(-1, 2).tolist():
-                        found.append({"start": start, "words": [w.decode("utf-8", "replace") for w in words[start:end]]})
+                        for skip, run in short_runs(words[start:end], longest):
+                            found.append({"start": start + skip, "words": [w.decode("utf-8", "replace") for w in run]})
                 runs.append(found)
             yield pd.DataFrame({"n_words": counts, "runs": runs})
 
@@ -132,13 +150,15 @@ def decontaminated(
     spark = docs.sparkSession
     windows = stored(item_windows(benchmark, item, item_text, window, width), "windows")
     maps = spark.sparkContext.broadcast(shingle_map(windows, width))  # 2 MB a width
-    found = passages(docs, key, text, maps, width).withColumn("row", F.monotonically_increasing_id())
+    found = passages(docs, key, text, maps, width, longest_word(windows))
+    found = found.withColumn("row", F.monotonically_increasing_id())
     found = stored(found, "passages")
     runs = found.select("row", F.explode("runs").alias("run")).select("row", "run.start", "run.words")
     # shingles of the passages, at each width in use, with their place
-    tokens = shingles_of(runs, sorted(maps.value), width)
+    sizes = sorted(maps.value) or [width]
+    tokens = shingles_of(runs, sizes, width, window)
     # rarity over all documents, and the necessary prefix token of each window
-    rarity = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    rarity = shingles_of(runs, sizes, width, None).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
     numbered = windows.select("item", "words", "shingles").withColumn("window", F.xxhash64(F.concat_ws(" ", "words")))
     exploded = numbered.select("item", "words", F.posexplode("shingles").alias("at", "shingle"), F.size("words").alias("size"))
     ranked = exploded.join(rarity, "shingle").groupBy("item", "words", "size").agg(
@@ -148,12 +168,13 @@ def decontaminated(
     prefix = ranked.where(F.col("present") == per).select(
         "item", F.col("words").alias("needed"), "size", F.col("rarest.shingle").alias("shingle"), F.col("rarest.at").alias("at")
     )
-    joined = tokens.join(prefix, "shingle").withColumn("begin", F.col("place") - F.col("at"))
-    bounded = joined.where((F.col("begin") >= 0) & (F.col("begin") + F.col("size") <= F.size("words")))
-    exact = bounded.where(F.slice("words", F.col("begin") + 1, F.col("size")) == F.col("needed"))
-    spans = exact.select(
-        "row", "item", (F.col("start") + F.col("begin")).alias("from"), (F.col("start") + F.col("begin") + F.col("size")).alias("to")
+    joined = tokens.join(prefix, "shingle").withColumns(
+        {"from": F.col("place") - F.col("at"), "near": F.split("around", " ")}
     )
+    begin = F.col("from") - F.col("first")
+    bounded = joined.where((begin >= 0) & (begin + F.col("size") <= F.size("near")))
+    exact = bounded.where(F.slice("near", begin + 1, F.col("size")) == F.col("needed"))
+    spans = exact.select("row", "item", "from", (F.col("from") + F.col("size")).alias("to"))
     # covered words: each window adds what no earlier one in the document covers
     order = Window.partitionBy("row").orderBy("from", "to")
     covered = F.coalesce(F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -176,25 +197,35 @@ def decontaminated(
     )
 
 
-def shingles_of(runs: DataFrame, sizes: list[int], width: int) -> DataFrame:
-    """Rows (row, start, words, place, shingle) for each shingle of each passage."""
-    sizes = sizes or [width]
+def shingles_of(runs: DataFrame, sizes: list[int], width: int, window: int | None) -> DataFrame:
+    """Rows (shingle, row, place, first, around) for each shingle of each passage: its place in the
+    text, and the words (joined by spaces) that a window holding it can reach in the passage, from
+    word `first` on. Without a `window`, rows (shingle) only. Some thousand rows leave at a time."""
+    before = max(window - width, 0) if window else 0
 
-    def cut(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for texts in frames:
-            out = []
-            for words in texts:
+        for frame in frames:
+            for row, start, listed in zip(frame["row"], frame["start"], frame["words"], strict=True):
+                words = list(listed)
                 own = hashes.of([w.encode("utf-8", "surrogatepass") for w in words])
-                pairs = []
                 for size in sizes:
-                    if size <= len(words):
-                        pairs += [{"place": i, "shingle": h} for i, h in enumerate(shingle_hashes(own, size).view(np.int64).tolist())]
-                out.append(pairs)
-            yield pd.Series(out)
-
-    of = F.pandas_udf(cut, "array<struct<place: int, shingle: bigint>>")
-    return runs.withColumn("t", F.explode(of("words"))).select("row", "start", "words", "t.place", "t.shingle")
+                    if size > len(words):
+                        continue
+                    shingles = shingle_hashes(own, size).view(np.int64)
+                    if window is None:
+                        yield pd.DataFrame({"shingle": shingles})
+                        continue
+                    for part in range(0, len(shingles), _ROWS):
+                        at = np.arange(part, min(part + _ROWS, len(shingles)))
+                        first = np.maximum(at - before, 0)
+                        around = [" ".join(words[i:j]) for i, j in zip(first.tolist(), (at + window).tolist(), strict=True)]
+                        yield pd.DataFrame(
+                            {"shingle": shingles[at], "row": row, "place": start + at, "first": start + first, "around": around}
+                        )
+
+    kind = "shingle long" if window is None else "shingle long, row long, place long, first long, around string"
+    return runs.mapInPandas(cut, kind)
 
 
 def decontamination_digest(found: DataFrame, key: str = "doc_id") -> DataFrame:

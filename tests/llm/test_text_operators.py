@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -276,6 +277,21 @@ def test_decontamination(docs, nothing, spark):
     assert not any(r["contaminated"] for r in decontaminate.decontaminated(docs, bench.where("false")).collect())
 
 
+def test_decontamination_of_long_copied_passages(spark):
+    """Rows of the join carry a window's words, not their passage; words beyond the benchmark's length part a passage."""
+    long = " ".join(f"w{i}" for i in range(20_000))
+    cut = " ".join([*long.split()[:300], "x" * 1_000_000, *long.split()[300:305]])
+    bench = spark.createDataFrame([("a", long), ("b", "w7 w8")], "item_id string, text string")
+    rows = [*((i, long) for i in range(4)), (4, cut), (5, "w1 " * 20_000), (6, None)]
+    found = decontaminate.decontaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench)
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], ",".join(r["items"])) for r in found.collect()}
+    assert got == {**{i: (20_000, 20_000, "a,b") for i in range(4)}, 4: (306, 300, "a,b"), 5: (20_000, 0, ""), 6: (0, 0, "")}
+    runs = spark.createDataFrame([(0, 50, long.split())], "row long, start long, words array<string>")
+    tokens = decontaminate.shingles_of(runs, [2, 5], 5, 10)
+    widest = tokens.selectExpr("count(1) as n", "max(size(split(around, ' '))) as words", "min(place) as low").first()
+    assert widest == (19_999 + 19_996, 15, 50)
+
+
 def test_pii_base_spans_equal_the_patterns():
     patterns = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -397,6 +413,29 @@ def test_main_text_of_pages(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
 
 
+def test_main_text_is_where_the_cluster_is():
+    """A teaser in an article is not the page; several articles with the text are."""
+    body = "".join(f"<p>{prose(30, i)}.</p>" for i in range(8))
+    plain = [f"{prose(30, i)}." for i in range(8)]
+    teaser = f"<article><p>{prose(12, 50)}</p></article>"
+    assert html_text.main_text(f"<body><div class=content>{body}</div>{teaser}</body>").split("\n")[:8] == plain
+    assert html_text.main_text(f"<body>{teaser}<div>{body}</div></body>").split("\n")[-8:] == plain
+    two = f"<body><div>short words here</div><article>{body}</article><article>{body}</article></body>"
+    assert html_text.main_text(two).split("\n") == plain * 2
+    assert html_text.main_text(f"<body><div><p>aside</p></div><main><h1>T</h1>{body}</main></body>").split("\n") == ["T", *plain]
+
+
+def test_main_text_of_deep_and_broken_pages():
+    """Time grows with the page: nested, unmatched and unclosed elements are looked up, not searched."""
+    n = 100_000
+    words = "\n".join(["word"] * n)
+    start = time.perf_counter()
+    assert html_text.main_text("<div>word " * n).count("word") >= 0.9 * n  # the innermost element with 0.9 of the cluster
+    assert html_text.main_text("<b>" * n + "word</i>" * n).count("word") == n
+    assert html_text.main_text("<p><div>" + "<b>" * n + "<hr>word" * n) == words
+    assert html_text.main_text("<ul>" + "<li><i>word" * n) == words
+    assert time.perf_counter() - start < 60
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     import corpus_pipeline
 
