@@ -203,26 +203,39 @@ def shingles_of(runs: DataFrame, sizes: list[int], width: int, window: int | Non
     word `first` on. Without a `window`, rows (shingle) only. Some thousand rows leave at a time."""
     before = max(window - width, 0) if window else 0
 
+    def pieces(frame: pd.DataFrame, hashes: WordHashes) -> Iterator[tuple[np.ndarray, ...]]:
+        for row, start, listed in zip(frame["row"], frame["start"], frame["words"], strict=True):
+            words = list(listed)
+            own = hashes.of([w.encode("utf-8", "surrogatepass") for w in words])
+            for size in sizes:
+                if size > len(words):
+                    continue
+                shingles = shingle_hashes(own, size).view(np.int64)
+                if window is None:
+                    yield (shingles,)
+                    continue
+                for part in range(0, len(shingles), _ROWS):
+                    at = np.arange(part, min(part + _ROWS, len(shingles)))
+                    first = np.maximum(at - before, 0)
+                    around = [" ".join(words[i:j]) for i, j in zip(first.tolist(), (at + window).tolist(), strict=True)]
+                    yield shingles[at], np.full(len(at), row), start + at, start + first, np.array(around, object)
+
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for frame in frames:
-            for row, start, listed in zip(frame["row"], frame["start"], frame["words"], strict=True):
-                words = list(listed)
-                own = hashes.of([w.encode("utf-8", "surrogatepass") for w in words])
-                for size in sizes:
-                    if size > len(words):
-                        continue
-                    shingles = shingle_hashes(own, size).view(np.int64)
-                    if window is None:
-                        yield pd.DataFrame({"shingle": shingles})
-                        continue
-                    for part in range(0, len(shingles), _ROWS):
-                        at = np.arange(part, min(part + _ROWS, len(shingles)))
-                        first = np.maximum(at - before, 0)
-                        around = [" ".join(words[i:j]) for i, j in zip(first.tolist(), (at + window).tolist(), strict=True)]
-                        yield pd.DataFrame(
-                            {"shingle": shingles[at], "row": row, "place": start + at, "first": start + first, "around": around}
-                        )
+            held, rows = [], 0
+            for piece in pieces(frame, hashes):
+                held.append(piece)
+                rows += len(piece[0])
+                if rows >= _ROWS:
+                    yield joined(held)
+                    held, rows = [], 0
+            if held:
+                yield joined(held)
+
+    def joined(held: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
+        names = ("shingle", "row", "place", "first", "around")
+        return pd.DataFrame({n: np.concatenate(c) for n, c in zip(names, zip(*held, strict=True), strict=False)})
 
     kind = "shingle long" if window is None else "shingle long, row long, place long, first long, around string"
     return runs.mapInPandas(cut, kind)
