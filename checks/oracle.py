@@ -524,7 +524,7 @@ from (select *, round(total_score / nullif(max(total_score) over g, 0), 9) as ra
     # back-test
     b = backtest()
     add("backtest_record", b, "select hole, machine, sp as special_day_type, strategy, target_date, n as ref_count, days, win_rate as rec_win_rate, round(payout_rate, 6) as rec_payout_rate, round(eff, 6) as effectiveness from rec where (hole, machine, sp, strategy, target_date) in (select (hole, machine, sp, strategy, target_date) from hits)")
-    add("backtest_picks", b, "select hole, machine, sp as special_day_type, method as score_method, target_date, evaluation_date, machine_number, total_score, cast(rank as integer) as rank, top1 as top1_score, cut as outlier_threshold, actual_diff, actual_game from picks where rank <= 10")
+    add("backtest_picks", b, "select hole, machine, sp as special_day_type, method as score_method, target_date, evaluation_date, machine_number, total_score, cast(rank as integer) as rank, top1 as top1_score, cut as outlier_threshold, actual_diff, actual_game from picks")
     s = f"{b}, {SUMMARY}"
     add("backtest_summary", s, "select *, cast(null as varchar) as result_detail from summary")
     keys = "target_hole, target_machine, evaluation_days, special_day_type"
@@ -544,7 +544,7 @@ from (select *, round(total_score / nullif(max(total_score) over g, 0), 9) as ra
     pay_of = ", ".join(f"max(payout_rate) filter (where evaluation_days = {n}) as payout_{n}" for n in (14, 28, 60))
     add("recent_trend", s, f"select *, coalesce(payout_14 > payout_28 and payout_28 > payout_60, false) as rising from (select target_hole, target_machine, special_day_type, score_method, {pay_of} from summary where result_key = 'TOP1' group by all)")
     levels = ", ".join(f"round(max(total_score) * {p / 100}::double, 9) as threshold_{p}" for p in (80, 85, 90, 95, 96, 97, 98, 99))
-    add("score_stats", b, f"select hole, machine, sp as special_day_type, method as score_method, target_date, count(*) as units, min(total_score) as min_score, max(total_score) as max_score, round(median(total_score), 9) as median_score, {levels} from scored group by all")
+    add("score_stats", b, f"select hole, machine, sp as special_day_type, method as score_method, target_date, count(*) as units, min(total_score) as min_score, max(total_score) as max_score, round(median(total_score), 9) as median_score, round(avg(total_score), 6) as avg_score, round(stddev_samp(total_score), 6) as stddev_score, quantile_disc(total_score, 0.25) as q1_score, quantile_disc(total_score, 0.75) as q3_score, max(total_score) as top1_score, {levels} from scored group by all")
 
     for name, (ctes, select) in (oracle_more.build() | registry_store.build() | oracle_studies.build()).items():
         add(name, ctes, select)

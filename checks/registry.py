@@ -82,14 +82,15 @@ def special_days(spark, sf):
     )
 
 
-def studies(mart_table):
-    """(venue, model, special-day profile) of every venue and model of the data: a list as long as the venues' models."""
-    pairs = mart_table.select("hole", "machine").distinct().orderBy("hole", "machine").collect()
-    return [(r.hole, r.machine, "island" if r.hole == "H0" else "espas") for r in pairs]
+def studies(mart_table, column, values):
+    """Every venue and model of the data with its special-day profile, for each of `values`: a written table."""
+    profile = F.when(F.col("hole") == "H0", "island").otherwise("espas")
+    pairs = mart_table.select("hole", "machine").distinct().withColumn("special_day_type", profile)
+    return stored(pairs.withColumn(column, F.explode(F.array(*map(F.lit, values)))))
 
 
 def reco_params(mart_table):
-    return [st.RecoParam(h, m, p, s) for h, m, p in studies(mart_table) for s in RECO_METHODS]
+    return studies(mart_table, "score_method", RECO_METHODS)
 
 
 def scoring_mart(spark, sf):
@@ -107,7 +108,7 @@ def recommendation(spark, sf, **kw):
 
 
 def backtest_params(mart_table):
-    return [bt.BacktestParam(h, m, n, p) for h, m, p in studies(mart_table) for n in oracle.BACKTEST_PERIODS]
+    return studies(mart_table, "evaluation_days", oracle.BACKTEST_PERIODS)
 
 
 AS_OF = dt.date.fromisoformat(oracle.BACKTEST_AS_OF)
@@ -119,7 +120,7 @@ def backtest_rows(spark, sf):
 
 
 def backtest_picks(spark, sf):
-    return bt.score_picks(bt.unit_scores(backtest_rows(spark, sf)), 10)
+    return bt.score_picks(bt.unit_scores(backtest_rows(spark, sf)))
 
 
 def backtest_summary(spark, sf, candidates=None):
@@ -129,15 +130,7 @@ def backtest_summary(spark, sf, candidates=None):
 
 def score_stats(spark, sf):
     """Spread of the scores of each floor, method and day."""
-    picks = bt.score_picks(bt.unit_scores(backtest_rows(spark, sf)))
-    levels = [F.round(F.first("top1_score") * (p / 100), 9).alias(f"threshold_{p}") for p in (80, 85, 90, 95, 96, 97, 98, 99)]
-    return picks.groupBy(*st.STUDY, "score_method", "target_date").agg(
-        F.count(F.lit(1)).alias("units"),
-        F.min("total_score").alias("min_score"),
-        F.max("total_score").alias("max_score"),
-        F.round(F.median("total_score"), 9).alias("median_score"),
-        *levels,
-    )
+    return bt.score_stats(bt.unit_scores(backtest_rows(spark, sf)))
 
 
 def _ranked(**kw):

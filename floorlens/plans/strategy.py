@@ -9,7 +9,7 @@ against every strategy of the catalogue.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -213,21 +213,22 @@ class RecoParam:
     target_date: dt.date | None = None
 
 
-_PARAM_SCHEMA = T.StructType(
-    [
-        T.StructField("hole", T.StringType()),
-        T.StructField("machine", T.StringType()),
-        T.StructField("special_day_type", T.StringType()),
-        T.StructField("target_date", T.DateType()),
-    ]
-)
+_RECO_TYPES = "hole string, machine string, special_day_type string, score_method string, target_date date"
 STUDY = ["hole", "machine", "special_day_type"]
 
 
-def param_table(spark: SparkSession, params) -> DataFrame:
-    """Distinct studies; a local relation, so joins know its size."""
-    rows = sorted({(p.hole, p.machine, p.special_day_type, getattr(p, "target_date", None)) for p in params}, key=str)
-    return local_table(spark, rows, _PARAM_SCHEMA)
+def param_table(spark: SparkSession, params: DataFrame | list, kind: type, types: str) -> DataFrame:
+    """Parameters as a table with the columns of `kind`.
+
+    A table of parameters, which may grow with the venues, is used as it is; columns that it
+    lacks take their default. A list becomes a local relation, so joins know its size.
+    """
+    schema = T.StructType.fromDDL(types)
+    if not isinstance(params, DataFrame):
+        return local_table(spark, sorted({tuple(getattr(p, f.name) for f in schema) for p in params}, key=str), schema)
+    default = {f.name: f.default for f in fields(kind)}
+    columns = [F.col(f.name) if f.name in params.columns else F.lit(default[f.name]).alias(f.name) for f in schema]
+    return params.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, schema, strict=True)])
 
 
 def diff_ranks(df: DataFrame, keys: list[str], diff: str, best: str, worst: str) -> DataFrame:
@@ -306,69 +307,87 @@ def unit_score_inputs(matches: DataFrame, unit_keys: list[str], filter_missing:
 _INPUTS = ["match_count", "weight", "pay", "win", "days", "refs"]
 
 
-def with_methods(inputs: DataFrame, methods: list[str], filtered=fixed.FILTERED_METHODS) -> DataFrame:
-    """One row per unit and method, with the sums the method uses: those in `filtered`
-    use the effective strategies only."""
-    structs = []
-    for m in methods:
-        p = "f_" if m in filtered else ""
-        s = F.struct(F.lit(m).alias("score_method"), *[F.col(p + c).alias(c) for c in _INPUTS])
-        structs.append(F.when(F.col(p + "match_count").isNotNull(), s))
-    keys = [c for c in inputs.columns if c.removeprefix("f_") not in _INPUTS]
-    return inputs.select(*keys, F.explode(F.array_compact(F.array(*structs))).alias("s")).select(*keys, "s.*")
+def method_scores(
+    inputs: DataFrame, methods: list[str], group: list[str], reliability: str, filtered=fixed.FILTERED_METHODS
+) -> DataFrame:
+    """Score parts and total score of every unit and method, within each group of units.
 
-
-def score_units(inputs: DataFrame, group: list[str], reliability: str) -> DataFrame:
-    """Score parts and total score within each group.
+    Methods in `filtered` use the sums of the effective strategies; units without any get no row
+    for them. The parts are worked out once for each kind of sums, and methods multiply the rows
+    last: the exchange on the group serves the ranks by group and method as well.
 
     reliability: "absolute" steps on days and rows, or "relative" to the best
     of the group; the method `rms_reliability` always uses the steps.
     """
     w = Window.partitionBy(*group)
-    has = F.col("weight") > 0
-    df = inputs.withColumns(
-        {
-            "weighted_payout_rate": F.when(has, F.col("pay") / F.col("weight")).otherwise(0.0),
-            "weighted_win_rate": F.when(has, F.col("win") / F.col("weight")).otherwise(0.0),
-            "__max_m": F.max("match_count").over(w),
-            "__max_r": F.max(F.col("days") + F.col("refs")).over(w),
-        }
-    )
-    p, v = F.col("weighted_payout_rate"), F.col("weighted_win_rate")
+    kinds = sorted({"f_" if m in filtered else "" for m in methods})
+    df = inputs
+    for kind in kinds:
+        df = df.withColumns({kind + name: column for name, column in _group_parts(kind, w).items()})
+    for kind in kinds:
+        df = df.withColumns({kind + name: column for name, column in _unit_parts(kind, reliability).items()})
+    rows = []
+    for method in methods:
+        kind = "f_" if method in filtered else ""
+        parts = [F.col(kind + c).alias(c) for c in [*_INPUTS, *_PARTS]]
+        total = F.round(_total(method, kind), RANK_DIGITS).alias("total_score")
+        row = F.struct(F.lit(method).alias("score_method"), *parts, total)
+        rows.append(F.when(F.col(kind + "match_count").isNotNull(), row))
+    keys = [c for c in inputs.columns if c.removeprefix("f_") not in _INPUTS]
+    return df.select(*keys, F.explode(F.array_compact(F.array(*rows))).alias("s")).select(*keys, "s.*")
+
+
+_PARTS = ["weighted_payout_rate", "weighted_win_rate", "rms", "frequency_bonus", "reliability_score", "anomaly_bonus", "dual_high_bonus"]
+
+
+def _group_parts(kind: str, w) -> dict[str, Column]:
+    """Weighted rates, and the group's largest counts."""
+    has, weight = F.col(kind + "weight") > 0, F.col(kind + "weight")
+    return {
+        "weighted_payout_rate": F.when(has, F.col(kind + "pay") / weight).otherwise(0.0),
+        "weighted_win_rate": F.when(has, F.col(kind + "win") / weight).otherwise(0.0),
+        "__max_m": F.max(kind + "match_count").over(w),
+        "__max_r": F.max(F.col(kind + "days") + F.col(kind + "refs")).over(w),
+    }
+
+
+def _unit_parts(kind: str, reliability: str) -> dict[str, Column]:
+    p, v = F.col(kind + "weighted_payout_rate"), F.col(kind + "weighted_win_rate")
     ps, vs = pct_score(p, _PAY), pct_score(v, _WIN)
-    days, refs = F.col("days"), F.col("refs")
+    days, refs = F.col(kind + "days"), F.col(kind + "refs")
+    max_m, max_r = F.col(kind + "__max_m"), F.col(kind + "__max_r")
     steps = (
         F.when((days >= 30) & (refs >= 50), 1.0)
         .when((days >= 20) & (refs >= 30), 0.8)
         .when((days >= 10) & (refs >= 20), 0.6)
         .otherwise(0.4)
     )
-    relative = F.when(F.col("__max_r") > 0, F.least((days + refs) / F.col("__max_r"), F.lit(1.0))).otherwise(1.0)
+    relative = F.when(max_r > 0, F.least((days + refs) / max_r, F.lit(1.0))).otherwise(1.0)
     high_p, high_v = p > _PAY[2] * 1.05, v > _WIN[2] * 1.1
-    df = df.withColumns(
-        {
-            "rms": F.sqrt((vs * vs + ps * ps) / 2),
-            "frequency_bonus": F.when(
-                F.col("__max_m") > 0,
-                F.least(F.sqrt("match_count") / F.sqrt("__max_m"), F.lit(1.0)),
-            ).otherwise(1.0),
-            "reliability_score": steps if reliability == "absolute" else relative,
-            "__steps": steps,
-            "anomaly_bonus": F.when(high_p & high_v, 1.1 * 1.1).when(high_p | high_v, 1.1).otherwise(1.0),
-            "dual_high_bonus": F.when((p >= _PAY[1]) & (v >= _WIN[1]), 1.1).otherwise(1.0),
-        }
-    )
-    rms, freq = F.col("rms"), F.col("frequency_bonus")
-    method = F.col("score_method")
-    total = (
-        F.when(method == "simple", rms)
-        .when(method == "rms_reliability", rms * F.col("__steps"))
-        .when(method.isin("rms_frequency", "rms_frequency_filter"), rms * freq)
-        .when(method == "rms_frequency_anomaly", rms * freq * F.col("anomaly_bonus"))
-        .when(method == "rms_frequency_dual", rms * freq * F.col("dual_high_bonus"))
-        .otherwise(rms * F.col("reliability_score") * freq * F.col("anomaly_bonus") * F.col("dual_high_bonus"))
-    )
-    return df.withColumn("total_score", F.round(total, RANK_DIGITS)).drop("__max_m", "__max_r", "__steps")
+    frequency = F.least(F.sqrt(kind + "match_count") / F.sqrt(max_m), F.lit(1.0))
+    return {
+        "rms": F.sqrt((vs * vs + ps * ps) / 2),
+        "frequency_bonus": F.when(max_m > 0, frequency).otherwise(1.0),
+        "reliability_score": steps if reliability == "absolute" else relative,
+        "__steps": steps,
+        "anomaly_bonus": F.when(high_p & high_v, 1.1 * 1.1).when(high_p | high_v, 1.1).otherwise(1.0),
+        "dual_high_bonus": F.when((p >= _PAY[1]) & (v >= _WIN[1]), 1.1).otherwise(1.0),
+    }
+
+
+def _total(method: str, kind: str) -> Column:
+    rms, freq, anomaly, dual = (F.col(kind + c) for c in ("rms", "frequency_bonus", "anomaly_bonus", "dual_high_bonus"))
+    if method == "simple":
+        return rms
+    if method == "rms_reliability":
+        return rms * F.col(kind + "__steps")
+    if method in ("rms_frequency", "rms_frequency_filter"):
+        return rms * freq
+    if method == "rms_frequency_anomaly":
+        return rms * freq * anomaly
+    if method == "rms_frequency_dual":
+        return rms * freq * dual
+    return rms * F.col(kind + "reliability_score") * freq * anomaly * dual
 
 
 @dataclass
@@ -388,7 +407,7 @@ RATES = [f"d{n}_win_rate" for n in (3, 5, 7, 28)] + ["d28_payout_rate", "d28_dif
 
 def recommend(
     mart: DataFrame,
-    params: list[RecoParam],
+    params: DataFrame | list[RecoParam],
     features: str = "current",
     literal_precedence: bool = False,
     dedupe_strategies: bool = True,
@@ -397,10 +416,11 @@ def recommend(
 
     features: "current" takes the windows that include the latest day; "prev"
     takes, as published, those before it.  The track record always looks at the
-    windows before a day and the unit's next outcome.
+    windows before a day and the unit's next outcome. `params` may be a table with the fields
+    of `RecoParam` as columns; it can name the methods of `fixed.SCORE_METHODS`.
     """
-    spark = mart.sparkSession
-    studies = param_table(spark, params)
+    asked = param_table(mart.sparkSession, params, RecoParam, _RECO_TYPES)
+    studies = asked.select(*STUDY, "target_date").distinct()
     cols = ["target_date", "hole", "machine", "machine_number", "d1_diff", "d1_game"]
     cols += RATES + [f"prev_{c}" for c in RATES]
     base = mart.select(*cols).join(studies.drop("target_date").distinct(), ["hole", "machine"])
@@ -445,14 +465,12 @@ def recommend(
     )
     scored = matches.join(record, [*STUDY, "strategy"], "left")
     inputs = unit_score_inputs(scored, [*STUDY, "next_date", "machine_number"], False, dedupe_strategies)
-    methods = list(dict.fromkeys(p.score_method for p in params))
-    wanted = local_table(
-        spark,
-        sorted({(p.hole, p.machine, p.special_day_type, p.score_method) for p in params}),
-        T.StructType([T.StructField(c, T.StringType()) for c in [*STUDY, "score_method"]]),
-    )
+    methods = fixed.SCORE_METHODS
+    if not isinstance(params, DataFrame):
+        methods = list(dict.fromkeys(p.score_method for p in params))
     group = [*STUDY, "score_method"]
-    scores = score_units(with_methods(inputs, methods, ("rms_frequency_filter",)).join(wanted, group, "left_semi"), group, "absolute")
+    scores = method_scores(inputs, methods, STUDY, "absolute", ("rms_frequency_filter",))
+    scores = scores.join(asked.select(*group), group, "left_semi")
     w = Window.partitionBy(*group)
     ranked = scores.withColumns(
         {

@@ -190,3 +190,32 @@ def test_catalogue_counts():
     repeats = sum(1 for r in rows if r[3] == 0)
     assert len(rows) + repeats == 266
     assert ("全条件なし" in {r[1] for r in rows}) and ("+特日" in {r[1] for r in rows})
+
+
+def test_parameters_as_a_table_and_score_stats(spark):
+    """A table of parameters gives what the list gives; score statistics equal a literal count."""
+    data = mart_rows(9)
+    types = ["date", "string", "string", "bigint", "bigint", "bigint"] + (["double"] * 5 + ["bigint"]) * 2
+    mart = spark.createDataFrame(data, ", ".join(f"{c} {t}" for c, t in zip(COLS, types)))
+    params = [bt.BacktestParam("V", "M", n) for n in (5, 100)]
+    table = spark.createDataFrame([("V", "M", 5), ("V", "M", 100), ("X", "M", 5)], "hole string, machine string, evaluation_days int")
+    same = [sorted(map(str, bt.backtest(mart, p, D(2024, 2, 6)).collect())) for p in (params, table)]
+    assert same[0] == same[1] and same[0]
+    assert bt.backtest(mart, table.where("false"), D(2024, 2, 6)).count() == 0
+
+    wanted = [st.RecoParam("V", "M", "island", m) for m in ("simple", "strategy_filter")]
+    asked = spark.createDataFrame([(p.hole, p.machine, p.special_day_type, p.score_method) for p in wanted], "hole string, machine string, special_day_type string, score_method string")
+    ranked = [sorted(map(str, st.recommend(mart, p).ranked.collect())) for p in (wanted, asked)]
+    assert ranked[0] == ranked[1] and ranked[0]
+
+    scores = bt.unit_scores(bt.evaluation_rows(mart, params))
+    floors = {}
+    for r in scores.collect():
+        floors.setdefault((r.score_method, r.target_date), []).append(r.total_score)
+    stats = bt.score_stats(scores).collect()
+    assert len(stats) == len(floors)
+    for r in stats:
+        x = sorted(floors[(r.score_method, r.target_date)])
+        nearest = [x[-(-len(x) * k // 4) - 1] for k in (1, 3)]
+        assert (r.units, r.min_score, r.max_score, r.top1_score, r.q1_score, r.q3_score) == (len(x), x[0], x[-1], x[-1], *nearest)
+        assert abs(r.avg_score - sum(x) / len(x)) < 1e-6 and abs(r.threshold_95 - 0.95 * x[-1]) < 2e-9
