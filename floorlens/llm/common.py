@@ -62,6 +62,20 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().translate(_SEPARATORS).split()
 
 
+def word_places(text: str) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The words as `words_of` gives them, and where each starts and ends in code points."""
+    raw = text.encode("utf-8", "surrogatepass")
+    plain = raw.lower().translate(_SEPARATORS)
+    inside = np.zeros(len(plain) + 2, np.int8)
+    inside[1:-1] = np.frombuffer(plain, np.uint8) != 32
+    steps = np.diff(inside)
+    starts, ends = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
+    if len(raw) != len(text):
+        before = np.concatenate([[0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)])
+        starts, ends = before[starts], before[ends]
+    return plain.split(), starts, ends
+
+
 class WordHashes(dict):
     """64-bit hash of a word, remembered; forgotten in whole when it grows large."""
 

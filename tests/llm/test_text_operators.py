@@ -328,22 +328,100 @@ def test_pii_terms_that_disclose(spark):
     assert digest[0]["n_email"] == 1 and "term:" in digest[0]["spans"] and digest[12]["spans"] == ""
 
 
-def test_repeated_paragraphs(docs, nothing):
-    got = by_id(paragraph_dedup.repeated(docs.where("doc_id IS NOT NULL")))
-    lines, hashes = [], WordHashes()
-    for i, t in enumerate(TEXTS):
-        lines += [(i, a, b, line) for a, b, line, _ in paragraph_dedup.paragraphs(t or "", 20)]
-    _, lead = linked([x[3] for x in lines])
-    seen, expected = set(), {}
-    for i, a, b, line in lines:
-        if lead[line] in seen:
-            expected.setdefault(i, []).append((a, b))
-        seen.add(lead[line])
-    assert {i: [(s["start"], s["end"]) for s in r["removed"]] for i, r in got.items() if r["removed"]} == expected
-    assert 17 in expected and hashes is not None
-    assert paragraph_dedup.repeated(nothing).count() == 0
-    cleaned = by_id(paragraph_dedup.without_repeats(docs.where("doc_id IS NOT NULL")))
-    assert cleaned[17]["text"] == "another beginning\n" and cleaned[16]["text"] == TEXTS[16] and cleaned[19]["text"] is None
+def passages_by_hand(rows, reach=13, least=20, threshold=0.8):
+    """(n_repeats, removed spans) of each row of (key, text), by comparing all pairs of paragraphs."""
+    hashes, units = WordHashes(), []
+    for i, (_, t) in enumerate(rows):
+        for place, (start, end, words) in enumerate(paragraph_dedup.paragraphs(t or "", reach, hashes)):
+            units.append((i, place, start, end, len(words), frozenset(similar.shingle_hashes(words, 5).tolist()), words.tobytes()))
+    classes = list(dict.fromkeys(u[6] for u in units))
+    shingles = {u[6]: u[5] for u in units}
+    group = {c: n for n, c in enumerate(classes)}
+    for x in classes:
+        for y in classes:
+            if group[x] != group[y] and len(shingles[x] & shingles[y]) >= threshold * len(shingles[x] | shingles[y]) - 1e-9:
+                old, kept = group[x], group[y]
+                group = {c: kept if n == old else n for c, n in group.items()}
+    held, lead = {}, {}
+    for i, place, *_, c in units:
+        held.setdefault(group[c], set()).add(i)
+        mark = (rows[i][0] is None, rows[i][0] or 0, i, place)
+        lead[group[c]] = min(lead.get(group[c], mark), mark)
+    out = []
+    for i in range(len(rows)):
+        own, runs = [u for u in units if u[0] == i], []
+        for u in own:
+            if len(held[group[u[6]]]) > 1:
+                if runs and runs[-1][-1][1] == u[1] - 1:
+                    runs[-1].append(u)
+                else:
+                    runs.append([u])
+        runs = [r for r in runs if sum(u[4] for u in r) >= least]
+        removed = []
+        for run in runs:
+            gone = [u for u in run if lead[group[u[6]]][2:] != (i, u[1])]
+            for k, u in enumerate(gone):
+                if k and gone[k - 1][1] == u[1] - 1:
+                    removed[-1] = (removed[-1][0], u[3])
+                else:
+                    removed.append((u[2], u[3]))
+        out.append((len(runs), removed))
+    return out
+
+
+SHARED = prose(75, 501)
+REPEATS = [
+    (1, prose(300, 502) + " " + SHARED + " " + prose(200, 503)),  # inside one long line
+    (2, prose(90, 504) + ", " + SHARED + "; " + prose(400, 505)),
+    (3, "\n".join(SHARED.split(" ")[k : k + 6][0] + " " + " ".join(SHARED.split(" ")[k : k + 6][1:]) for k in range(0, 75, 6))),  # short lines
+    (4, prose(120, 506)),
+    (5, (prose(30, 507) + "\n") * 3),  # repeated in this text only
+    (6, edited(prose(120, 508), 60, "änderung")),
+    (7, prose(120, 508)),
+    (7, prose(120, 509)),
+    (None, re.sub("[a-z]", lambda m: m[0].upper(), prose(120, 509))),
+    (None, None),
+    (8, ""),
+    (9, "x y " * 4000),
+    (9, "x y " * 4000),
+]
+
+
+def test_repeated_paragraphs(spark, docs, nothing):
+    df = spark.createDataFrame([(k, t, "clash", i) for i, (k, t) in enumerate(REPEATS)], "doc_id long, text string, node string, row int").coalesce(1)
+    got = paragraph_dedup.repeated(df).collect()
+    made = Counter((r["doc_id"], r["n_repeats"], tuple((s["start"], s["end"]) for s in r["removed"])) for r in got)
+    expected = passages_by_hand(REPEATS)
+    assert made == Counter((k, n, tuple(spans)) for (k, _), (n, spans) in zip(REPEATS, expected, strict=True))
+    found = {i for i, (n, _) in enumerate(expected) if n}
+    assert {0, 1, 2, 5, 6, 7, 8, 11, 12} == found
+    assert paragraph_dedup.repeated(nothing).count() == 0 and paragraph_dedup.repeated(docs).count() == docs.count()
+
+
+def test_repeated_paragraphs_taken_out(spark):
+    df = spark.createDataFrame([(k, t, "clash") for k, t in REPEATS], "doc_id long, text string, node string").coalesce(1)
+    out = paragraph_dedup.without_repeats(df)
+    assert out.columns == df.columns and out.count() == df.count()
+    texts = [(r["doc_id"], r["text"]) for r in out.collect()]
+    for i in (0, 3, 4, 5, 9, 10):
+        assert REPEATS[i] in texts
+    second = next(t for k, t in texts if k == 2)
+    words = SHARED.split(" ")
+    assert prose(90, 504) in second and prose(400, 505) in second and " ".join(words[28:48]) not in second
+    digest = by_id(paragraph_dedup.repeats_digest(paragraph_dedup.repeated(df.where("doc_id < 5"))))
+    assert digest[2]["n_repeats"] == 1 and digest[2]["class_ids"] == "1" and digest[4]["n_repeats"] == 0
+
+
+def test_paragraph_cuts_follow_the_words():
+    hashes = WordHashes()
+    for seed in range(40):
+        words = hashes.of(words_of(prose(60, 600 + seed)))
+        first, second = (np.concatenate([hashes.of(words_of(prose(n, 700 + seed + n))), words]) for n in (33, 71))
+        ends = [{at - len(x) for at in paragraph_dedup.cuts(x, 13) if len(x) - 46 <= at < len(x) - 14} for x in (first, second)]
+        assert ends[0] == ends[1]
+    for text in ("", "one", "one two", "a " * 50_000):
+        spans = list(paragraph_dedup.paragraphs(text, 13, hashes))
+        assert sum(len(w) for _, _, w in spans) == len(words_of(text)) and all(len(w) <= 64 for _, _, w in spans)
 
 
 def test_quality(docs, nothing):
