@@ -39,6 +39,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Remove a table that `stored` wrote, once nothing reads it any more."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def stored_bytes(df: DataFrame) -> int:
     """Size of a stored table's files, from Spark's own listing."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())

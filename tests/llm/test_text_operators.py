@@ -332,7 +332,7 @@ def passages_by_hand(rows, reach=13, least=20, threshold=0.8):
     """(n_repeats, removed spans) of each row of (key, text), by comparing all pairs of paragraphs."""
     hashes, units = WordHashes(), []
     for i, (_, t) in enumerate(rows):
-        for place, (start, end, words) in enumerate(paragraph_dedup.paragraphs(t or "", reach, hashes)):
+        for place, (start, end, words, _) in enumerate(paragraph_dedup.paragraphs(t or "", reach, hashes)):
             units.append((i, place, start, end, len(words), frozenset(similar.shingle_hashes(words, 5).tolist()), words.tobytes()))
     classes = list(dict.fromkeys(u[6] for u in units))
     shingles = {u[6]: u[5] for u in units}
@@ -421,7 +421,8 @@ def test_paragraph_cuts_follow_the_words():
         assert ends[0] == ends[1]
     for text in ("", "one", "one two", "a " * 50_000):
         spans = list(paragraph_dedup.paragraphs(text, 13, hashes))
-        assert sum(len(w) for _, _, w in spans) == len(words_of(text)) and all(len(w) <= 64 for _, _, w in spans)
+        assert sum(len(w) for _, _, w, _ in spans) == len(words_of(text)) and all(len(w) <= 64 for _, _, w, _ in spans)
+        assert all((similar.shingle_hashes(w, 5) == s).all() for _, _, w, s in spans)
 
 
 def test_quality(docs, nothing):
