@@ -9,6 +9,7 @@ import pytest
 from floorlens.functions import fixed
 from floorlens.plans import backtest as bt
 from floorlens.plans import strategy as st
+from floorlens.session import stored
 
 D = dt.date
 RATES = st.RATES
@@ -219,3 +220,17 @@ def test_parameters_as_a_table_and_score_stats(spark):
         nearest = [x[-(-len(x) * k // 4) - 1] for k in (1, 3)]
         assert (r.units, r.min_score, r.max_score, r.top1_score, r.q1_score, r.q3_score) == (len(x), x[0], x[-1], x[-1], *nearest)
         assert abs(r.avg_score - sum(x) / len(x)) < 1e-6 and abs(r.threshold_95 - 0.95 * x[-1]) < 2e-9
+
+
+def test_no_exchange_carries_rows_times_strategies(spark):
+    """Rows go to the task of their study once; whatever the strategies multiply stays there."""
+    types = ["date", "string", "string", "bigint", "bigint", "bigint"] + (["double"] * 5 + ["bigint"]) * 2
+    mart = spark.createDataFrame(mart_rows(), ", ".join(f"{c} {t}" for c, t in zip(COLS, types)))
+    rows = stored(bt.evaluation_rows(mart, [bt.BacktestParam("V", "M", 100)]))
+    recommended = st.recommend(mart, [st.RecoParam("V", "M")])
+    for df in (bt.asked_record(rows), bt.unit_scores(rows, methods=["simple"]), recommended.record):
+        plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        generated = [i for i, line in enumerate(plan) if "Generate " in line]
+        assert generated
+        above = [line for line in plan[: generated[-1]] if " Exchange " in line]
+        assert not above, above
