@@ -65,10 +65,11 @@ def commit_merged(df: DataFrame, path: str, by: list[str]) -> None:
 
     The whole new content of the partitions is written beside the table first. If the
     driver is lost while partitions are exchanged, `recover` finishes from that copy, so
-    rows that were stored before the batch are not lost with their old folders.
+    rows that were stored before the batch are not lost with their old folders. The copy has no
+    folders: it is read whole, and every task would put a small file into each of them.
     """
     copy = f"{_merged_folder(path)}/{uuid.uuid4().hex}"
-    df.write.partitionBy(*by).parquet(copy)
+    df.write.parquet(copy)
     overwrite_partitions(df.sparkSession.read.schema(df.schema).parquet(copy), path, by)
     _drop(df.sparkSession, copy)
 
@@ -92,9 +93,16 @@ def recover(spark: SparkSession, path: str, by: list[str], schema: T.StructType)
     return done
 
 
-def replace_slice(df: DataFrame, path: str, by: tuple[str, ...] = ("date", "hole")) -> None:
-    """Replaces each (date, venue) of the batch; other venues of the day stay."""
-    overwrite_partitions(df, path, list(by))
+def replace_slice(
+    df: DataFrame, path: str, by: tuple[str, ...] = ("date", "hole"), slices: tuple[str, ...] = ("date", "hole")
+) -> None:
+    """Replaces each (date, venue) of the batch; other venues of the day stay.
+
+    Where a partition holds many slices, `df` must not read the table.
+    """
+    if set(slices) <= set(by):
+        return overwrite_partitions(df, path, list(by))
+    replace_rows(df.sparkSession, df, path, list(slices), list(by), df.schema, null_slices=True)
 
 
 def replace_day(
@@ -212,7 +220,7 @@ def upsert(
     is computed once and the merge can be repeated if it fails.
     """
     staging = f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
-    source.select(*[f.name for f in schema.fields]).write.partitionBy(*by).parquet(staging)
+    source.select(*[f.name for f in schema.fields]).write.parquet(staging)
     new = spark.read.schema(schema).parquet(staging)
     total = new.count()
     updated = 0
@@ -240,30 +248,41 @@ def rewrite_deduped(
 ) -> DataFrame:
     """Rewrites the days of a range with one row per id, in one job for the whole range.
 
-    Only partitions that hold copies are rewritten. Returns rows, distinct ids and copies
+    Only partitions that hold copies are rewritten, which may hold many slices each. Returns rows, distinct ids and copies
     of each slice as they were before.
     """
     recover(spark, path, list(by), schema)
     rows = spark.read.schema(schema).parquet(path).where(F.col("date").between(F.lit(date_from), F.lit(date_to)))
-    report = duplicate_report(rows, list(by), key).where("has_duplicates").collect()  # one row a folder
+    slices = ["date", "hole"]
+    report = duplicate_report(rows, slices, key).where("has_duplicates").collect()  # one row a slice with copies
     before = spark.createDataFrame(report, "date date, hole string, total long, unique_count long, duplicate_count long, has_duplicates boolean")
     if report:
-        doubled = touched_partitions(spark, before, path, list(by), schema).join(before.select(*by), list(by), "left_semi")
-        commit_merged(dedupe_collapse(doubled, key, ts, list(ties)), path, list(by))
+        touched, held = touched_partitions(spark, before, path, list(by), schema), before.select(*slices)
+        once = dedupe_collapse(touched.join(held, slices, "left_semi"), key, ts, list(ties))
+        if not set(slices) <= set(by):  # other slices of the same partitions stay as they are
+            once = once.unionByName(touched.join(held, slices, "left_anti"))
+        commit_merged(once, path, list(by))
     return before
 
 
 def replace_rows(
-    spark: SparkSession, df: DataFrame, path: str, slices: list[str], by: list[str], schema: T.StructType
+    spark: SparkSession, df: DataFrame, path: str, slices: list[str], by: list[str], schema: T.StructType, null_slices: bool = False
 ) -> None:
     """Replaces the slices of the batch in a table whose partitions hold many slices each, such as days in
-    folders of a year: only partitions of the batch are read and written again. `df` must not read the table."""
+    folders of a year: only partitions of the batch are read and written again. `df` must not read the table.
+    With `null_slices` rows without a venue or day are a slice too, as a folder of them would be."""
     rows = df.select(*[f.name for f in schema.fields])
     recover(spark, path, by, schema)
     if not exists(spark, path):
         return overwrite_partitions(rows, path, by)
     old = touched_partitions(spark, rows, path, by, schema)
-    commit_merged(absent(old, rows.select(*slices).distinct(), slices).unionByName(rows), path, by)
+    new = rows.select(*slices).distinct()
+    if null_slices:
+        new = new.withColumnsRenamed({c: f"__{c}" for c in slices})
+        kept = old.join(new, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in slices], "left_anti")
+    else:
+        kept = absent(old, new, slices)
+    commit_merged(kept.unionByName(rows), path, by)
 
 
 #: Folders of a key index: a batch opens those of its own keys only.
@@ -315,7 +334,7 @@ def insert_ignore(
     if not exists(spark, f"{index}/_SUCCESS"):
         build_key_index(spark, path, keys, schema)
     staging = f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
-    absent(rows, _indexed_keys(spark, rows, path, keys, schema), keys).write.partitionBy(*by).parquet(staging)
+    absent(rows, _indexed_keys(spark, rows, path, keys, schema), keys).write.parquet(staging)
     new = spark.read.schema(schema).parquet(staging)
     _drop(spark, f"{index}/_SUCCESS")  # open: from here on the table may be ahead of the index
     new.hint("rebalance", *[F.col(c) for c in by]).write.mode("append").partitionBy(*by).parquet(path)

@@ -123,6 +123,7 @@ def ingest(
     repeat_delay: str | None = None,
     ledger: str | None = None,
     ts: str = "timestamp",
+    by: tuple[str, ...] = ("date", "hole"),
     **mart_args,
 ):
     """Starts the ingest of all available files and returns the query.
@@ -136,7 +137,8 @@ def ingest(
     dropped too; without `repeat_delay` there is no state and late rows are merged.
 
     `ledger` is a table of what each batch brought: rows for each day and venue. A batch that
-    is replayed replaces its own entry.
+    is replayed replaces its own entry. `by` are the partition columns of the raw table: where the
+    venues are many, days alone make folders of a fair size.
     """
     if repeat_delay is not None:
         stream = drop_repeats(stream, list(keys), ts, repeat_delay)
@@ -146,7 +148,7 @@ def ingest(
         if ledger is not None:
             entry = batch.groupBy("date", "hole").agg(F.count(F.lit(1)).alias("rows")).withColumn("batch_id", F.lit(batch_id))
             sinks.overwrite_partitions(entry, ledger, ["batch_id"])
-        merge_batch(batch, raw_path, list(keys), ["date", "hole"], schema)
+        merge_batch(batch, raw_path, list(keys), list(by), schema)
         if mart_path is None:
             return
         intervals = affected_intervals(batch)

@@ -242,3 +242,23 @@ def test_replace_day_keeps_a_wider_schema(spark, tmp_path):
     sinks.overwrite_partitions(rows, path, ["date", "hole"])
     sinks.replace_day(spark, rows.where("hole = 'B'"), path, schema=rows.schema)
     assert [x["hole"] for x in spark.read.schema(rows.schema).parquet(path).collect()] == ["B"]
+
+
+def test_slices_within_day_partitions_and_copies_without_folders(spark, tmp_path, monkeypatch):
+    """Partitions of a day hold many venues; a merge writes its copy as a few files, not into folders."""
+    p, d, days = str(tmp_path / "t"), [D(2024, 1, i) for i in (1, 2)], ("date",)
+    rows = raw(spark, [(x, h, "m", 1, 1, 1) for x in d for h in "ABC"])
+    sinks.replace_slice(rows.unionByName(rows.where("hole = 'A'")), p, days)
+    written = []
+    monkeypatch.setattr(sinks, "overwrite_partitions", lambda df, *a, f=sinks.overwrite_partitions: (written.append(df.inputFiles()), f(df, *a)))
+    sinks.replace_slice(raw(spark, [(d[0], "B", "m", 1, 9, 1)]), p, days)
+    for diff in (3, 4):  # rows without a venue are a slice too
+        sinks.replace_slice(raw(spark, [(D(2024, 1, 3), None, "m", 1, diff, 1)]), p, days)
+    assert [x for x in content(spark, p) if x[1] is None] == [(D(2024, 1, 3), None, 1, 4)]
+    report = sinks.rewrite_deduped(spark, p, d[0], d[0], by=days)
+    assert [(r.date, r.hole, r.duplicate_count) for r in report.collect()] == [(d[0], "A", 1)]
+    assert content(spark, p)[:-1] == [(d[0], "A", 1, 1), (d[0], "B", 1, 9), (d[0], "C", 1, 1)] + [(d[1], h, 1, 1) for h in "AABC"]
+    assert sinks.upsert(spark, raw(spark, [(d[1], "C", "m", 1, 5, 1)]), p, ["date", "hole", "machine_number"], list(days), schemas.RAW).updated == 1
+    assert (d[1], "C", 1, 5) in content(spark, p) and len(written) == 5
+    assert sum(any("__merged/" in f for f in files) for files in written) >= 3
+    assert all("date=" not in f for files in written for f in files)
