@@ -108,7 +108,12 @@ def replace_slice(
 def replace_day(
     spark: SparkSession, df: DataFrame, path: str, by: tuple[str, ...] = ("date", "hole"), schema: T.StructType = schemas.RAW
 ) -> None:
-    """Replaces whole days: venues missing from the batch are dropped."""
+    """Replaces whole days: venues missing from the batch are dropped.
+
+    In a table by day a day's folder is replaced with all its venues.
+    """
+    if list(by) == ["date"]:
+        return overwrite_partitions(df, path, ["date"])
     dates = [r[0] for r in df.select("date").distinct().collect()]  # one value per day of the batch
     overwrite_partitions(df, path, list(by))
     kept = df.select(*by).distinct()
@@ -157,7 +162,7 @@ def delete_slice(
     """Deletes a date range, optionally of one venue; returns the number of rows.
 
     Whole partitions are dropped as folders.  When the venue is not a partition
-    column the touched days are rewritten without it.
+    column the days that hold it are rewritten without it, as a merge.
     """
     rows = spark.read.schema(schema).parquet(path)
     rows = rows.where(F.col(date).between(F.lit(date_from), F.lit(date_to)))
@@ -168,14 +173,15 @@ def delete_slice(
         for r in doomed:
             _drop(spark, partition_folder(spark, path, list(by), r))
         return sum(r["n"] for r in doomed)
-    n = hit.count()
-    rest = rows.where(F.col("hole") != hole)
-    emptied = counts.select(*by).join(rest.select(*by).distinct(), list(by), "left_anti")
-    gone = emptied.collect()
-    overwrite_partitions(rest, path, list(by))
+    recover(spark, path, list(by), schema)
+    touched = spark.createDataFrame(counts.collect(), counts.schema)  # a row for each folder that holds the venue
+    doomed = F.col(date).between(F.lit(date_from), F.lit(date_to)) & F.col("hole").eqNullSafe(hole)
+    rest = touched_partitions(spark, touched, path, list(by), schema).where(~F.coalesce(doomed, F.lit(False)))
+    gone = touched.join(rest.select(*by).distinct(), list(by), "left_anti").collect()
+    commit_merged(rest, path, list(by))
     for r in gone:
         _drop(spark, partition_folder(spark, path, list(by), r))
-    return n
+    return touched.agg(F.sum("n")).first()[0] or 0
 
 
 @dataclass(frozen=True)

@@ -262,3 +262,17 @@ def test_slices_within_day_partitions_and_copies_without_folders(spark, tmp_path
     assert (d[1], "C", 1, 5) in content(spark, p) and len(written) == 5
     assert sum(any("__merged/" in f for f in files) for files in written) >= 3
     assert all("date=" not in f for files in written for f in files)
+
+
+def test_delete_slice_and_replace_day_within_day_partitions(spark, tmp_path):
+    """A table by day: the venue leaves its days, rows without a venue and other days stay; a replaced day has the batch's venues only."""
+    p, d = str(tmp_path / "t"), [D(2024, 1, i) for i in (1, 2, 3)]
+    rows = raw(spark, [(x, h, "m", 1, 1, 1) for x in d for h in ("A:b", None)] + [(d[0], "C", "m", 1, 1, 1)]).where("hole is not null or date < date'2024-01-03'")
+    sinks.overwrite_partitions(rows, p, ["date"])
+    assert sinks.delete_slice(spark, p, d[0], d[1], "A:b", by=("date",)) == 2
+    assert sinks.delete_slice(spark, p, d[0], d[1], "A:b", by=("date",)) == 0
+    left = {(r.date, r.hole) for r in spark.read.schema(schemas.RAW).parquet(p).collect()}
+    assert left == {(d[0], None), (d[0], "C"), (d[1], None), (d[2], "A:b")}
+    assert sinks.delete_slice(spark, p, d[2], d[2], "A:b", by=("date",)) == 1  # the last rows of a day
+    sinks.replace_day(spark, raw(spark, [(d[0], "B", "m", 1, 2, 1)]), p, ("date",))
+    assert {(r.date, r.hole) for r in spark.read.schema(schemas.RAW).parquet(p).collect()} == {(d[0], "B"), (d[1], None)}
