@@ -12,6 +12,7 @@ has `BLOCK` units. A floor of n units is (n / BLOCK)^2 / 2 rows, which any task
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -43,26 +44,45 @@ def met_blocks(mart: DataFrame, block: int = BLOCK) -> DataFrame:
     return blocks.join(other, on).select(*FLOOR, (F.col("block") == F.col("__block")).alias("same"), F.col("units").alias("left"), "right")
 
 
-def _matrices(units: list[dict], first: int, days: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+@dataclass(frozen=True)
+class Block:
+    """Units of a block and all their days, one after another: `unit` is the place in `numbers`."""
+
+    numbers: list[int]
+    unit: np.ndarray
+    day: np.ndarray
+    payout: np.ndarray  # nan: not known
+    sign: np.ndarray  # 0: not known
+
+    @classmethod
+    def of(cls, units: pa.ListScalar) -> Block:
+        """From the Arrow value, whose buffers hold the days as columns already."""
+        days = units.values.field("days")
+        flat = days.flatten()
+        unit = np.repeat(np.arange(len(days)), days.value_lengths().to_numpy(zero_copy_only=False))
+        payout, sign = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("payout", "sign"))
+        return cls(units.values.field("number").to_pylist(), unit, flat.field("day").to_numpy(), payout.astype(float), np.nan_to_num(sign.astype(float)))
+
+
+def _matrices(block: Block, first: int, days: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Present, payout known, payout less the unit's mean (0 where unknown), sign: each days x units."""
-    there, known, payout, sign = (np.zeros((days, len(units))) for _ in range(4))
-    for j, unit in enumerate(units):
-        at = np.fromiter((d["day"] for d in unit["days"]), np.int64) - first
-        value = np.array([d["payout"] for d in unit["days"]], float)  # None becomes nan
-        has = ~np.isnan(value)
-        there[at, j] = 1
-        known[at, j] = has
-        payout[at, j] = np.where(has, value - (value[has].mean() if has.any() else 0), 0)
-        sign[at, j] = [d["sign"] or 0 for d in unit["days"]]
+    there, known, payout, sign = (np.zeros((days, len(block.numbers))) for _ in range(4))
+    at, has = (block.day - first, block.unit), ~np.isnan(block.payout)
+    count = np.bincount(block.unit[has], minlength=len(block.numbers))
+    mean = np.bincount(block.unit[has], block.payout[has], len(block.numbers)) / np.maximum(count, 1)
+    there[at] = 1
+    known[at] = has
+    payout[at] = np.where(has, block.payout - mean[block.unit], 0)
+    sign[at] = block.sign
     return there, known, payout, sign
 
 
-def _days(*sides: list[dict]) -> tuple[int, int]:
-    found = [d["day"] for units in sides for u in units for d in u["days"]]
-    return min(found), max(found) - min(found) + 1
+def _days(*sides: Block) -> tuple[int, int]:
+    first, last = min(int(b.day.min()) for b in sides), max(int(b.day.max()) for b in sides)
+    return first, last - first + 1
 
 
-def correlations(left: list[dict], right: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def correlations(left: Block, right: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Common days, correlation of payouts (nan without spread) and common wins of all pairs."""
     first, days = _days(left, right)
     p, m, x, s = _matrices(left, first, days)
@@ -77,7 +97,7 @@ def correlations(left: list[dict], right: list[dict]) -> tuple[np.ndarray, np.nd
     return p.T @ q, np.round(r, RANK_DIGITS), (s > 0).astype(float).T @ (t > 0).astype(float)
 
 
-def rotations(left: list[dict], right: list[dict]) -> tuple[np.ndarray, ...]:
+def rotations(left: Block, right: Block) -> tuple[np.ndarray, ...]:
     """Counts for pairs (unit of `left` on a day, unit of `right` on the next): days, days after a win,
     wins after a win, days after a loss, wins after a loss."""
     first, days = _days(left, right)
@@ -96,7 +116,8 @@ def _over_blocks(mart: DataFrame, study: Callable, schema: str, block: int) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                rows = study(batch["left"][i].as_py(), batch["right"][i].as_py(), batch["same"][i].as_py())
+                left, same = Block.of(batch["left"][i]), batch["same"][i].as_py()
+                rows = study(left, left if same else Block.of(batch["right"][i]), same)
                 if rows:
                     floor = [pa.array([batch[c][i].as_py()] * len(rows), batch.schema.field(c).type) for c in FLOOR]
                     names = [*FLOOR, *(x.split()[0] for x in schema.split(", "))]
@@ -124,21 +145,21 @@ def same_day_partners(mart: DataFrame, least_days: int = 30, strong: float = 0.5
     and are rounded to nine digits before they are compared.
     """
 
-    def study(left: list[dict], right: list[dict], same: bool) -> list[tuple]:
+    def study(left: Block, right: Block, same: bool) -> list[tuple]:
         days, r, wins = correlations(left, right)
         if same:
             np.fill_diagonal(days, 0)
         out = []
         sides = [(left, right, days, r, wins)] + ([] if same else [(right, left, days.T, r.T, wins.T)])
         for units, others, n, c, w in sides:
-            for i, unit in enumerate(units):
+            for i, unit in enumerate(units.numbers):
                 near = np.flatnonzero(n[i] >= least_days)
                 if len(near):
                     order = np.where(np.isnan(c[i, near]), -2, c[i, near])
                     j = near[int(order.argmax())]  # the first of equal ones: units are in order of number
                     value = None if np.isnan(c[i, j]) else float(c[i, j])
                     above = int((order > strong).sum())
-                    out.append((unit["number"], len(near), above, others[j]["number"], value, int(n[i, j]), int(w[i, j])))
+                    out.append((unit, len(near), above, others.numbers[j], value, int(n[i, j]), int(w[i, j])))
         return out
 
     schema = "machine_number long, near long, above long, partner long, correlation double, days long, wins long"
@@ -159,12 +180,12 @@ def same_day_partners(mart: DataFrame, least_days: int = 30, strong: float = 0.5
 def correlated_links(mart: DataFrame, least_days: int = 30, above: float = 0.5, block: int = BLOCK) -> DataFrame:
     """Rows (hole, machine, a, b, correlation): pairs a < b above the threshold, the links of the groups."""
 
-    def study(left: list[dict], right: list[dict], same: bool) -> list[tuple]:
+    def study(left: Block, right: Block, same: bool) -> list[tuple]:
         days, r, _ = correlations(left, right)
         hit = (days >= least_days) & (np.nan_to_num(r, nan=-2) > above)
         if same:
             hit = np.triu(hit, 1)
-        return [(left[i]["number"], right[j]["number"], float(r[i, j])) for i, j in zip(*np.nonzero(hit), strict=True)]
+        return [(left.numbers[i], right.numbers[j], float(r[i, j])) for i, j in zip(*np.nonzero(hit), strict=True)]
 
     return _over_blocks(mart, study, "a long, b long, correlation double", block)
 
@@ -178,18 +199,18 @@ def next_day_successors(mart: DataFrame, least_days: int = 30, block: int = BLOC
     day of the successor. A rate without any such day is null and comes last.
     """
 
-    def study(left: list[dict], right: list[dict], same: bool) -> list[tuple]:
+    def study(left: Block, right: Block, same: bool) -> list[tuple]:
         out = []
         for units, others in [(left, right)] + ([] if same else [(right, left)]):
             n, after_win, win_win, after_loss, loss_win = rotations(units, others)
             with np.errstate(divide="ignore", invalid="ignore"):
                 rate, again = np.round(loss_win / after_loss, RANK_DIGITS), win_win / after_win
-            for i, unit in enumerate(units):
+            for i, unit in enumerate(units.numbers):
                 near = np.flatnonzero(n[i] >= least_days)
                 if len(near):
                     j = near[int(np.nan_to_num(rate[i, near], nan=-1).argmax())]
                     values = [None if np.isnan(x) else float(x) for x in (rate[i, j], again[i, j])]
-                    out.append((unit["number"], len(near), others[j]["number"], *values, int(n[i, j])))
+                    out.append((unit, len(near), others.numbers[j], *values, int(n[i, j])))
         return out
 
     schema = "machine_number long, near long, successor long, rotation double, again double, days long"
