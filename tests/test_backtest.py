@@ -234,3 +234,26 @@ def test_no_exchange_carries_rows_times_strategies(spark):
         assert generated
         above = [line for line in plan[: generated[-1]] if " Exchange " in line]
         assert not above, above
+
+
+def test_outcome_totals_equal_a_loop(spark):
+    """Totals and days of a strategy from rows with arrays of strategies; null days and repeated rows count."""
+    r = random.Random(4)
+    rows = [("A", None if i % 11 == 0 else D(2024, 1, 1 + i % 9), i % 4, r.choice([None, -50, 80, 200]), r.choice([0, 100, 300]), r.sample(range(6), r.randint(0, 4))) for i in range(70)]
+    rows += rows[:5]
+    df = spark.createDataFrame(rows, "k string, target_date date, machine_number long, diff long, game long, codes array<int>").repartition(1)
+    want = {}
+    for _, day, _, diff, game, codes in rows:
+        for c in codes:
+            t = want.setdefault(c, [0, 0, 0.0, 0, set()])
+            t[0] += 1
+            t[1] += diff is not None and diff > 0
+            if diff is not None and game:
+                t[2] += (game * 3 + diff) / (game * 3)
+                t[3] += 1
+            t[4].add(day)
+    got = {x["strategy"]: x for x in st.outcome_totals(df, ["k"], "codes", "diff", "game").collect()}
+    assert got.keys() == want.keys()
+    for c, (n, wins, pay, pays, days) in want.items():
+        x = got[c]
+        assert (x["n"], x["wins"] or 0, x["pays"], x["days"]) == (n, wins, pays, len(days)) and (x["pay"] or 0.0) == pytest.approx(pay)
