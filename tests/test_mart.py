@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+
 from floorlens.operators.dedupe import dedupe_collapse, dedupe_latest, duplicate_report
 from floorlens.operators.remap import ShiftRule, remap_units
 from floorlens.plans.mart import build_mart, clean_observations, unit_windows
@@ -130,3 +132,18 @@ def test_plan_prunes_duplicates_before_the_shuffle(spark, tmp_path):
     assert shuffle < partial  # printed top-down: the partial limit runs below the exchange
     assert plan.count("Exchange") == 2
     assert "extra" not in plan
+
+
+def test_tasks_grow_with_the_rows(spark):
+    """The window exchange has as many tasks as the rows ask for; few rows leave it to Spark."""
+    from floorlens.session import TASK_ROWS, dealt
+
+    df = spark.range(20).withColumn("k", F.col("id") % 5)
+    assert dealt(df, ["k"], 20) is df and dealt(df, ["k"], None) is df
+    many = dealt(df, ["k"], 9 * TASK_ROWS)
+    assert many.rdd.getNumPartitions() == 10
+    assert many.select("k", F.spark_partition_id().alias("p")).distinct().count() == 5
+    obs = spark.createDataFrame(obs_rows(), OBS)
+    want = sorted(map(str, unit_windows(obs).collect()))
+    plan = unit_windows(obs, rows=9 * TASK_ROWS)
+    assert "REPARTITION_BY_NUM" in plan._jdf.queryExecution().executedPlan().toString() and sorted(map(str, plan.collect())) == want
