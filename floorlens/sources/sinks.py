@@ -110,10 +110,15 @@ def replace_day(
 ) -> None:
     """Replaces whole days: venues missing from the batch are dropped.
 
-    In a table by day a day's folder is replaced with all its venues.
+    In a table by day a day's folder is replaced with all its venues. Rows without a venue count
+    for the days that are replaced, but are not stored in either kind of table.
     """
     if list(by) == ["date"]:
-        return overwrite_partitions(df, path, ["date"])
+        named = df.where(F.col("hole").isNotNull())
+        overwrite_partitions(named, path, ["date"])
+        days = df.where(F.col("date").isNotNull()).select("date").distinct()
+        _drop_partitions(spark, path, days.join(named.select("date").distinct(), "date", "left_anti"), ["date"])
+        return
     dates = [r[0] for r in df.select("date").distinct().collect()]  # one value per day of the batch
     overwrite_partitions(df, path, list(by))
     kept = df.select(*by).distinct()

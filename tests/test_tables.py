@@ -276,3 +276,5 @@ def test_delete_slice_and_replace_day_within_day_partitions(spark, tmp_path):
     assert sinks.delete_slice(spark, p, d[2], d[2], "A:b", by=("date",)) == 1  # the last rows of a day
     sinks.replace_day(spark, raw(spark, [(d[0], "B", "m", 1, 2, 1)]), p, ("date",))
     assert {(r.date, r.hole) for r in spark.read.schema(schemas.RAW).parquet(p).collect()} == {(d[0], "B"), (d[1], None)}
+    sinks.replace_day(spark, raw(spark, [(d[0], None, "m", 1, 3, 1), (d[0], "E", "m", 1, 3, 1), (d[1], None, "m", 1, 3, 1)]), p, ("date",))
+    assert {(r.date, r.hole) for r in spark.read.schema(schemas.RAW).parquet(p).collect()} == {(d[0], "E")}
