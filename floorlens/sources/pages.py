@@ -1,7 +1,7 @@
 """Captured pages to rows.
 
 Reading HTML needs a parser, so this is the one place that runs Python on the
-data: mapInPandas over batches of pages, one page at a time.  Everything after
+data: mapInArrow over batches of pages, one page at a time.  Everything after
 the tokens - which value wins, typing, filtering - is DataFrame work.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 import html as html_lib
 import re
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +23,8 @@ _TAG = re.compile(r"<!--.*?-->|<(/?)(div|p|strong|font|table|tr|th|td|script)\b(
 _SCRIPT_END = re.compile("</script", re.I)
 _CLASS = re.compile(r"""class\s*=\s*["']?([^"'>]*)""", re.I)
 _ANY_TAG = re.compile(r"<[^>]*>")
+_ENDS = {"th", "td", "font", "table", "div"}  # tags whose end says something
+_NONE: frozenset[str] = frozenset()
 
 
 def _text(raw: str) -> str:
@@ -43,14 +45,20 @@ class _Tables:
         self.open_tables = []
         self.open_cards = []
         self.page = page
-        pos = 0
-        while (m := _TAG.search(page, pos)) is not None:
+        pos, stack, search = 0, self.stack, _TAG.search
+        while (m := search(page, pos)) is not None:
             pos = m.end()
-            if m.group(2) is None:
+            slash, tag, attrs = m.groups()
+            if tag is None:
                 continue
-            tag = m.group(2).lower()
-            if m.group(1):
-                self._end(tag, m.start())
+            tag = tag.lower()
+            if slash:
+                if stack and stack[-1][0] == tag:  # nearly always: nothing in between is open
+                    if tag in _ENDS:
+                        self._close(tag, stack[-1][2], m.start())
+                    stack.pop()
+                else:
+                    self._end(tag, m.start())
             elif tag == "script":
                 end = _SCRIPT_END.search(page, pos)
                 stop = end.start() if end else len(page)
@@ -58,13 +66,13 @@ class _Tables:
                     self.open_cards[-1][1]["script"] = page[pos:stop]
                 pos = stop
             else:
-                self._start(tag, m.group(3), pos)
+                self._start(tag, attrs, pos)
 
     def _start(self, tag, attrs, pos):
         found = _CLASS.search(attrs) if attrs else None
-        classes = set(found.group(1).split()) if found else set()
+        classes = set(found.group(1).split()) if found else _NONE
         self.stack.append((tag, classes, pos))
-        if tag == "div" and {"wp-block-column", "is-vertically-aligned-top"} <= classes:
+        if tag == "div" and "wp-block-column" in classes and "is-vertically-aligned-top" in classes:
             self.open_cards.append((len(self.stack), {"unit": None, "script": ""}))
         elif tag == "table":
             card = self.open_cards[-1][1] if self.open_cards else None
@@ -135,16 +143,20 @@ def extract_tokens(pages: DataFrame, html: str = "html") -> DataFrame:
     schema = T.StructType(keep + types)
     names = [f.name for f in keep]
 
+    kinds = [pa.int32() if c == "position" else pa.string() for c in _TOKENS]
+
     def parse(batches):
-        for pdf in batches:
-            rows = [
-                (*key, *row)
-                for key, text in zip(pdf[names].itertuples(index=False, name=None), pdf[html])
-                for row in page_rows(text)
-            ]
-            yield pd.DataFrame(rows, columns=names + _TOKENS)
-
-    return pages.mapInPandas(parse, schema)
+        for batch in batches:
+            at, rows = [], []
+            for i, text in enumerate(batch.column(html).to_pylist()):
+                found = page_rows(text)
+                rows += found
+                at += [i] * len(found)
+            tokens = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(kinds), kinds)]
+            kept = [batch.column(c).take(pa.array(at, pa.int32())) for c in names]  # the key columns stay Arrow's
+            yield pa.record_batch([*kept, *tokens], names=names + _TOKENS)
+
+    return pages.mapInArrow(parse, schema)
 
 
 def extract_units(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:

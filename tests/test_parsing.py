@@ -1,3 +1,6 @@
+from pyspark.sql import functions as F
+
+from floorlens.functions.scalars import clean_int
 from floorlens.sources import layouts, pages, readers, text
 
 PASTE = "台番\t差枚\tG数\tBB\tRB\t合成\n101\t+1,200\t5,000\t20\t15\t1/142.9\n102\t-300\t\t\t\t\n\nabc\t1\t1\n0\t5\t5\n平均\t450\t2,500\t-\t-\t-"
@@ -74,3 +77,17 @@ def test_model_links(spark):
     html = '<a href="kishu/?kishu=L%2BA">L+A</a><a href="other">x</a><a class="c" href="kishu/?kishu=B%20C"> <b>B C</b></a>'
     got = pages.extract_models(spark.createDataFrame([(1, html)], "id int, html string")).orderBy("position").collect()
     assert [(r.name, r.encoded_name, r.decoded_name) for r in got] == [("L+A", "L%2BA", "L+A"), ("B C", "B%20C", "B C")]
+
+
+def test_whole_numbers_of_texts(spark):
+    """The short way for plain numbers gives what the patterns give."""
+    texts = ["+1,200", "-1,200", "++7", "+-5", " 12 ", "12\n", "1,2,3", "12.5", "x1", "", None, "-", "+", ",5", "9" * 30, "\x0112", "5 x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(clean_int(F.col("t"))).collect()]
+    assert got == [1200, -1200, 7, -5, 12, 12, 123, 12, None, None, None, None, None, 5, None, None, 5]
+
+
+def test_pages_without_units_give_no_rows(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "<table></td></div><p>")], "page int, html string")
+    assert pages.extract_units(df, ["page"]).collect() == []
+    assert pages.extract_tokens(df.repartition(1)).columns[0] == "page"
