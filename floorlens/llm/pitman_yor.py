@@ -1,40 +1,55 @@
 """Hierarchical Pitman-Yor language model with Gibbs-sampled seating.
 
-A word restaurant draws its dishes (words, and the end of a text) from a spelling model,
-itself a hierarchy of restaurants: one for each context of two bytes, whose parents are
-those of one byte, whose parent is the one without context, above a uniform law. Every table
-opened in a restaurant is a customer of its parent, so frequent words are spelled from few
-tables. As in the add-one score beside it, all words that training has not seen are one
-event: what the restaurant gives to new tables less the seen words' spellings. Seating starts from the mean path of
-the Chinese restaurant process and is then sampled by Gibbs: a random customer of a dish
-leaves its table and is seated again. After each sweep the predictive probabilities are
-taken; their average over the sweeps scores the texts.
+A restaurant for each previous word (at a text's start: the end of a text) serves the words
+that follow it. Its parent is the word restaurant, and that one draws its dishes (words, and
+the end of a text) from a spelling model, itself a hierarchy of restaurants: one for each
+context of two bytes, whose parents are those of one byte, whose parent is the one without
+context, above a uniform law. Every table opened in a restaurant is a customer of its parent.
+A word that training has not seen gets what the word restaurant gives to new tables, by its
+spelling.
+
+Sampling: a sweep draws the tables of every dish of every restaurant, level by level, given
+the other levels. Up to EXACT customers of a dish the number of tables is drawn at once from
+its exact law, weight**t times the generalised Stirling number; a dish with more has as many
+Gibbs steps as customers, each with a random customer who leaves a table and is seated again.
+The weight of a new table is that of the sweep before, so dishes are drawn in parallel. The
+table sizes of such large dishes are kept from sweep to sweep; in the spelling they start from
+the mean path. After `burn_in` sweeps, the predictive probabilities of `sweeps` more are averaged.
+Discounts come from the numbers of dishes with one and two customers, the strength is given.
 
 Words of the corpus are counted in blocks of documents: a task keeps about `block_tokens`
 tokens and stores each block's distinct words, their training counts and the documents as
-numbers into that list. Counts are summed by word, seating is sampled where the words are,
-and each block gets its words' probabilities back by one join. The spelling model has at
-most 257**3 rows whatever the corpus, so it may be sent to every task.
+numbers into that list. Counts are summed by word; a word's number is its place in that table.
+A pair (previous word, word) is 64 bits of two such numbers. A block's pairs are dealt by their
+hash into buckets, in which their counts are added up. A pair with one customer has one table
+whatever is drawn, so only pairs seen twice or more become rows (previous, word, n, tables):
+the tables of a restaurant are its customers less, for these rows, n - tables. Blocks get back
+the words' and contexts' probabilities and only those pairs' counts that they cannot know. The
+spelling model has at most 257**3 rows whatever the corpus, so it may be sent to every task.
 """
 
 from __future__ import annotations
 
 import math
+import random
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from floorlens.llm.common import stored, text_of
+from floorlens.llm.common import dropped, mix, stored, text_of
 
 END = ""  # the end of a text, as a word: no word is empty
 STOP = 256  # the end of a word, as a byte
 SYMBOLS = 257
+EXACT = 1000  # customers of a dish up to which its tables are drawn from their exact law
 
 
 def held_out(key: str):
@@ -102,46 +117,89 @@ def seated(count: np.ndarray, tables: np.ndarray) -> list[np.ndarray]:
     return [np.concatenate([[c - t + 1], np.ones(t - 1, np.int64)]) for c, t in zip(count.tolist(), tables.tolist(), strict=True)]
 
 
-def reseated(sizes: list[np.ndarray], weight: np.ndarray, discount: float, steps: int, rng: np.random.Generator) -> list[np.ndarray]:
-    """Gibbs steps for every dish at once: a customer drawn at random leaves and is seated at a
-    table of size s with weight s - discount, or at a new one with `weight`."""
-    if not sizes:
-        return sizes
-    have = np.array([len(s) for s in sizes])
-    start = np.concatenate([[0], np.cumsum(have + steps)[:-1]])
-    free = start + have
-    slots = np.zeros(int((have + steps).sum()), np.int64)
-    for s, values in zip(start.tolist(), sizes, strict=True):
-        slots[s : s + len(values)] = values
-    count = np.array([s.sum() for s in sizes])
-    tables = have.astype(float)
-
-    def drawn(rows: np.ndarray, customers: np.ndarray, running: np.ndarray) -> np.ndarray:
-        before = running[start[rows]] - slots[start[rows]]
-        return np.searchsorted(running, before + (rng.random(len(rows)) * customers).astype(np.int64) + 1)
-
-    everyone = np.arange(len(sizes))
-    for _ in range(steps):
-        left = drawn(everyone, count, np.cumsum(slots))
-        slots[left] -= 1
-        tables -= slots[left] == 0
-        stay = count - 1 - discount * tables
-        new = rng.random(len(count)) * (weight + stay) < weight
-        new |= count == 1
-        at = np.where(slots[left] == 0, left, free)
-        free += new & (at == free)
-        slots[at[new]] = 1
-        tables += new
-        running = np.cumsum(slots - 0)
-        rest = everyone[~new]
-        # an existing table by size, accepted with (size - discount) / size
-        live = slots.copy()
-        while len(rest):
-            pick = drawn(rest, count[rest] - 1, running)
-            fine = rng.random(len(rest)) * live[pick] < live[pick] - discount
-            slots[pick[fine]] += 1
-            rest = rest[~fine]
-    return [slots[s:f][slots[s:f] > 0] for s, f in zip(start.tolist(), free.tolist(), strict=True)]
+def reseated(sizes: list[np.ndarray], weight: np.ndarray, discount: float, steps: int | None, rng: np.random.Generator) -> list[np.ndarray]:
+    """Gibbs steps for each dish (None: as many as it has customers): a customer drawn at random
+    leaves and is seated at a table of size s with weight s - discount, or at a new one with `weight`."""
+    return [np.array(_moved(s.tolist(), w, discount, steps, rng), np.int64) for s, w in zip(sizes, weight.tolist(), strict=True)]
+
+
+def _moved(sizes: list[int], weight: float, discount: float, steps: int | None, rng: np.random.Generator) -> list[int]:
+    """Steps in which a customer comes back to the first table are passed over at once: their
+    number is geometric. `crowd` has the table of each customer of the other tables."""
+    draw = random.Random(int(rng.integers(1 << 62))).random  # single numbers
+    first, sizes = sizes[0], sizes[1:]
+    crowd = [t for t, s in enumerate(sizes) for _ in range(s)]
+    total, tables = first + len(crowd), len(sizes)
+    left = total if steps is None else steps
+    while True:
+        back = first / total * (first - 1 - discount) / (total - 1 - discount * (tables + 1) + weight) if first > 1 else 0.0
+        if 0 < back < 1:
+            left -= int(math.log(1 - draw()) / math.log(back))
+        left -= 1
+        if left < 0 or back >= 1:
+            return [s for s in (first, *sizes) if s]
+        if not crowd or draw() * (1 - back) < first / total - back:
+            first -= 1
+            stays = 0.0  # coming back is not among the steps drawn here
+        else:
+            at = int(draw() * len(crowd))
+            crowd[at], crowd[-1] = crowd[-1], crowd[at]
+            old = crowd.pop()
+            sizes[old] -= 1
+            tables -= sizes[old] == 0
+            stays = first - discount if first else 0.0
+        others = len(crowd) - discount * tables if crowd else 0.0
+        drawn = draw() * (weight + stays + others)
+        if drawn < weight or stays + others <= 0:
+            crowd.append(len(sizes))
+            sizes.append(1)
+            tables += 1
+        elif drawn < weight + stays or not crowd:
+            first += 1
+        else:
+            while True:  # by size, accepted with (size - discount) / size
+                to = crowd[int(draw() * len(crowd))]
+                if draw() * sizes[to] < sizes[to] - discount:
+                    break
+            sizes[to] += 1
+            crowd.append(to)
+
+
+@lru_cache(maxsize=4)
+def stirling(discount: float) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers: the seatings of c customers (row) at t
+    tables (column), each with the product of what its customers found at their tables."""
+    out = np.full((EXACT + 1, EXACT + 1), -np.inf)
+    out[1, 1] = 0.0
+    for c in range(1, EXACT):
+        joined = np.log(c - discount * np.arange(1, c + 1)) + out[c, 1 : c + 1]
+        out[c + 1, 1 : c + 2] = np.logaddexp(out[c, : c + 1], np.append(joined, -np.inf))
+    return out
+
+
+def drawn_tables(count: np.ndarray, weight: np.ndarray, discount: float, rng: np.random.Generator, sizes=None) -> tuple[np.ndarray, list]:
+    """Number of tables of each dish, and the sizes of those with more than EXACT customers
+    (else None); `sizes` has theirs before, if there are any."""
+    weight = np.maximum(weight, 1e-300)
+    tables, kept = np.minimum(count, 1), [None] * len(count)
+    law = stirling(discount)
+    many = np.flatnonzero((count > 1) & (count <= EXACT))
+    classes = np.ceil(np.log2(count[many]))  # dishes of like size at once
+    for k in np.unique(classes).tolist():
+        rows = many[classes == k]
+        t = np.arange(1, count[rows].max() + 1)
+        for part in np.array_split(rows, len(rows) * len(t) // 1_000_000 + 1):
+            chance = law[:, 1 : len(t) + 1][count[part]] + np.log(weight[part])[:, None] * t
+            chance = np.cumsum(np.exp(chance - chance.max(axis=1, keepdims=True)), axis=1)
+            at = (chance < (rng.random(len(part)) * chance[:, -1])[:, None]).sum(axis=1)
+            tables[part] = np.minimum(at + 1, count[part])
+    rows = np.flatnonzero(count > EXACT)
+    for i, k in zip(rows.tolist(), mean_tables(count[rows], weight[rows], discount), strict=True):
+        old = None if sizes is None else sizes[i]
+        old = seated(count[[i]], k[None])[0] if old is None or old.sum() != count[i] else old
+        kept[i] = reseated([old], weight[[i]], discount, None, rng)[0]
+        tables[i] = len(kept[i])
+    return tables, kept
 
 
 class Spelling:
@@ -171,12 +229,15 @@ class Spelling:
         return p
 
     def words(self, words: list[bytes]) -> np.ndarray:
-        """Probability of each word's bytes and its end."""
+        """Logarithm of the probability of each word's bytes and its end."""
         if not words:
             return np.zeros(0)
         context, symbol, ends = grams(words)
         logs = np.log(self.after(context, symbol))
-        return np.exp(np.add.reduceat(logs, np.concatenate([[0], ends[:-1]])))
+        return np.add.reduceat(logs, np.concatenate([[0], ends[:-1]]))
+
+
+UNIFORM = Spelling([{"keys": np.zeros(0, np.int64), "own": np.zeros(0), "contexts": np.zeros(0, np.int64), "backoff": np.zeros(0)}] * 3)
 
 
 def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -210,11 +271,11 @@ def gram_counts(words: DataFrame) -> DataFrame:
         if len(keys):
             yield pd.DataFrame({"context": keys // SYMBOLS, "symbol": keys % SYMBOLS, "n": sums})
 
-    parts = words.select("word", F.coalesce(F.size("sizes"), F.lit(1)).cast("long").alias("tables"))
+    parts = words.where("tables > 0").select("word", "tables")
     return parts.mapInPandas(count, "context long, symbol long, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
 
 
-def spelled(counts: DataFrame, before: Spelling | None, discount: float, strength: float, steps: int) -> Spelling:
+def spelled(counts: DataFrame, before: Spelling | None, discount: float, strength: float) -> Spelling:
     """Seat the spelling's customers from long contexts to short ones and take the predictive
     probabilities. A group is one context: 257 dishes at most."""
     levels: list[dict] = [{}, {}, {}]
@@ -232,11 +293,11 @@ def spelled(counts: DataFrame, before: Spelling | None, discount: float, strengt
             for _ in range(2):  # the number of tables and its effect on new ones settle together
                 tables = mean_tables(n, (strength + discount * total) * parent, discount)
                 total = float(tables.sum())
-            sizes = seated(n, tables)
-            sizes = reseated(sizes, (strength + discount * total) * parent, discount, steps, rng)
-            return pd.DataFrame({"context": context, "symbol": symbol, "n": n, "tables": [len(s) for s in sizes]})
+            tables, _ = drawn_tables(n, (strength + discount * total) * parent, discount, rng)
+            return pd.DataFrame({"context": context, "symbol": symbol, "n": n, "tables": tables})
 
-        done = stored(rows.groupBy("context").applyInPandas(seat, "context long, symbol long, n long, tables long"), "spelling")
+        dealt = rows.repartition(32, "context") if k == 2 else rows
+        done = stored(dealt.groupBy("context").applyInPandas(seat, "context long, symbol long, n long, tables long"), "spelling")
         got = done.toPandas()  # at most 257**3 rows
         sums = got.groupby("context")[["n", "tables"]].sum().sort_index()
         keys = (got["context"] * SYMBOLS + got["symbol"]).to_numpy()
@@ -252,75 +313,258 @@ def spelled(counts: DataFrame, before: Spelling | None, discount: float, strengt
     return Spelling(levels)
 
 
+def pairs_of(ident: np.ndarray, sizes: np.ndarray, held: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A block's distinct pairs (previous word << 32 | word), sorted; a place in the block with
+    each, the pair at each place, training customers of each, and the previous words' numbers."""
+    previous = np.concatenate([tokens[:1], tokens[:-1]])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    previous[starts] = tokens[sizes[0] - 1]  # a text starts where one ends
+    keys, first, pair = np.unique((ident[previous] << np.uint64(32)) | ident[tokens], return_index=True, return_inverse=True)
+    count = np.bincount(pair, np.repeat(~held, sizes), len(keys)).astype(np.int64)
+    return keys, first, pair, count, previous
+
+
+def in_buckets(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of a block's sorted pairs by bucket."""
+    own = (mix(keys) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(own, kind="stable")
+    values, starts = np.unique(own[order], return_index=True)
+    yield from zip(values.tolist(), np.split(order, starts[1:]), strict=True)
+
+
+def block_arrays(row: pd.Series) -> tuple[np.ndarray, ...]:
+    """(ident, n, sizes, held, tokens): the words' numbers and training counts by their place
+    in the block's list, and its documents."""
+    ident, n = np.zeros(len(row["at"]), np.uint64), np.zeros(len(row["at"]))
+    ident[row["at"]], n[row["at"]] = row["id"], row["n"]
+    return ident, n, np.asarray(row["sizes"], np.int64), np.asarray(row["held"], bool), np.frombuffer(row["tokens"], "<u4").astype(np.int64)
+
+
+def pair_counts(blocks: DataFrame, buckets: int) -> DataFrame:
+    """Rows (bucket, block, first, second, once, twice). Block -1 has a bucket's pairs seen twice
+    or more in training: pairs and customers. Other rows say what a block is to be told: places
+    among its pairs of this bucket and among those of block -1 (-1: a pair seen once, elsewhere)."""
+
+    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for _, row in frame.iterrows():
+                keys, _, _, count, _ = pairs_of(*(block_arrays(row)[i] for i in (0, 2, 3, 4)))
+                out = [(b, row["block"], keys[x].tobytes(), count[x].astype("<u4").tobytes()) for b, x in in_buckets(keys, buckets)]
+                yield pd.DataFrame(out, columns=["bucket", "block", "keys", "counts"])
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        lists = [np.frombuffer(x, "<u8") for x in frame["keys"]]
+        own = np.concatenate([np.frombuffer(x, "<u4") for x in frame["counts"]])
+        keys, pair = np.unique(np.concatenate(lists), return_inverse=True)
+        total = np.bincount(pair, own).astype(np.int64)
+        many = total > 1
+        place = np.where(many, np.cumsum(many) - 1, -1).astype("<i4")
+        out = [(-1, keys[many].tobytes(), total[many].tobytes(), int((total == 1).sum()), int((total == 2).sum()))]
+        ends = np.cumsum([len(x) for x in lists])
+        for block, start, end in zip(frame["block"].tolist(), [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            here = pair[start:end]
+            at = np.flatnonzero(many[here] | ((own[start:end] == 0) & (total[here] == 1)))
+            out.append((block, at.astype("<u4").tobytes(), place[here[at]].tobytes(), 0, 0))
+        made = pd.DataFrame(out, columns=["block", "first", "second", "once", "twice"])
+        return made.assign(bucket=frame["bucket"].iloc[0])
+
+    dealt = blocks.select("block", "sizes", "held", "tokens", "at", "id", "n").mapInPandas(deal, "bucket int, block long, keys binary, counts binary")
+    return dealt.groupBy("bucket").applyInPandas(add, "block long, first binary, second binary, once long, twice long, bucket int")
+
+
+def repeated_pairs(pairs: DataFrame) -> DataFrame:
+    """Rows (bucket, place, previous, next, n, tables, total, sizes), a table for each pair."""
+
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for bucket, keys, n in zip(frame["bucket"].tolist(), frame["first"], frame["second"], strict=True):
+                keys, n = np.frombuffer(keys, "<u8"), np.frombuffer(n, "<i8")
+                for start in range(0, len(keys), 100_000):
+                    x = keys[start : start + 100_000]
+                    ends = {"previous": (x >> np.uint64(32)).astype(np.int64), "next": (x & np.uint64(0xFFFFFFFF)).astype(np.int64)}
+                    yield pd.DataFrame({"bucket": bucket, "place": np.arange(start, start + len(x)), **ends, "n": n[start : start + len(x)]})
+
+    made = pairs.where("block < 0").select("bucket", "first", "second").mapInPandas(rows, "bucket int, place int, previous long, next long, n long")
+    return made.select("*", F.lit(1).cast("long").alias("tables"), F.lit(0).cast("long").alias("total"), F.lit(None).cast("array<bigint>").alias("sizes"))
+
+
+def with_customers(words: DataFrame, seats: DataFrame) -> DataFrame:
+    """`words` with `customers`, the tables at which a word is served, and `opened`, the tables
+    of the restaurant of which it is the context: its n less n - tables of the repeated pairs."""
+    out = words
+    for side, name in (("next", "customers"), ("previous", "opened")):
+        lost = seats.groupBy(F.col(side).alias("id")).agg(F.sum(F.col("n") - F.col("tables")).alias("lost"))
+        out = out.join(lost, "id", "left").withColumn(name, F.col("n") - F.coalesce("lost", F.lit(0))).drop("lost")
+    return out
+
+
+def pair_seats(seats: DataFrame, words: DataFrame, discount: float, strength: float, counted: bool, sweep: int) -> DataFrame:
+    """A sweep of the repeated pairs' dishes; `words` has `chance`, the log of a word's probability."""
+
+    def sit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rng = np.random.default_rng([sweep, *frame[["bucket", "place"]].iloc[0].tolist(), TaskContext.get().partitionId()])
+            weight = (strength + discount * frame["opened"].to_numpy()) * np.exp(frame["chance"].to_numpy())
+            tables, sizes = drawn_tables(frame["n"].to_numpy(), weight, discount, rng, frame["sizes"].tolist())
+            total = frame["total"] + tables * counted
+            yield frame.drop(columns=["opened", "chance"]).assign(tables=tables, total=total, sizes=pd.Series(sizes, dtype=object, index=frame.index))
+
+    both = seats.join(words.select(F.col("id").alias("next"), "chance"), "next").join(words.select(F.col("id").alias("previous"), "opened"), "previous")
+    return both.select(*seats.columns, "opened", "chance").mapInPandas(sit, seats.schema)
+
+
+def word_seats(words: DataFrame, spelling: Spelling, opened: float, discount: float, strength: float, sweep: int) -> DataFrame:
+    """A sweep of the word restaurant; `spelled` is the log of a word's spelling."""
+    law = words.sparkSession.sparkContext.broadcast(spelling.levels)  # at most 257**3 rows
+
+    def sit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            names = [w.encode("utf-8", "surrogatepass") for w in frame["word"]]
+            logs = Spelling(law.value).words(names)
+            rng = np.random.default_rng(xxhash.xxh3_64_intdigest(names[0]) + sweep if names else 0)
+            tables, sizes = drawn_tables(frame["customers"].to_numpy(), (strength + discount * opened) * np.exp(logs), discount, rng, frame["sizes"].tolist())
+            yield frame.assign(tables=tables, spelled=logs, sizes=pd.Series(sizes, dtype=object, index=frame.index))
+
+    return words.mapInPandas(sit, words.schema)
+
+
+def with_chance(words: DataFrame, discount: float, strength: float) -> DataFrame:
+    """`chance`: log of a word's probability in the word restaurant."""
+    customers, opened = (float(x or 0) for x in words.agg(F.sum("customers"), F.sum("tables")).first())
+    whole = customers + strength
+    new = (strength + discount * opened) / whole
+    own = (F.col("customers") - discount * F.col("tables")) / whole
+    known = F.log(own + new * F.exp("spelled"))
+    return words.withColumn("chance", F.when(F.col("customers") > 0, known).otherwise(math.log(new) + F.col("spelled")))
+
+
+def word_answers(blocks: DataFrame, words: DataFrame, names: list[str], span: int = 200_000) -> DataFrame:
+    """Rows (block, paired, bucket, at, values): `names` of a block's words in the order of their
+    numbers, `span` numbers a bucket."""
+
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for block, ids in zip(frame["block"].tolist(), frame["id"], strict=True):
+                ids = np.sort(ids)
+                values, starts = np.unique(ids // span, return_index=True)
+                parts = zip(values.tolist(), np.split(ids, starts[1:]), strict=True)
+                yield pd.DataFrame([(b, block, (x - b * span).astype("<u4").tobytes()) for b, x in parts], columns=["bucket", "block", "ids"])
+
+    def answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        table = np.zeros((span, len(names)), "<f4")
+        table[known["id"].to_numpy() % span] = known[names].to_numpy()
+        out = [(block, False, bucket, b"", table[np.frombuffer(ids, "<u4")].tobytes()) for bucket, block, ids in asked[["bucket", "block", "ids"]].itertuples(index=False)]
+        return pd.DataFrame(out, columns=["block", "paired", "bucket", "at", "values"])
+
+    asked = blocks.select("block", "id").mapInPandas(ask, "bucket long, block long, ids binary")
+    known = words.select(F.floor(F.col("id") / span).cast("long").alias("bucket"), "id", *names)
+    return asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(answer, ANSWER)
+
+
+def pair_answers(pairs: DataFrame, seats: DataFrame, discount: float, samples: int) -> DataFrame:
+    """Rows (block, paired, bucket, at, values): customers less discounts of the pairs asked for."""
+
+    def answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        table = np.zeros(len(known), "<f4")
+        table[known["place"].to_numpy()] = known["own"].to_numpy()
+        table = np.append(table, np.float32(1 - discount))  # the last one is for pairs seen once
+        rows = asked[["block", "bucket", "first", "second"]].itertuples(index=False)
+        out = [(block, True, bucket, at, table[np.frombuffer(place, "<i4")].tobytes()) for block, bucket, at, place in rows]
+        return pd.DataFrame(out, columns=["block", "paired", "bucket", "at", "values"])
+
+    asked = pairs.where("block >= 0").select(F.col("bucket").cast("long").alias("bucket"), "block", "first", "second")
+    known = seats.select(F.col("bucket").cast("long").alias("bucket"), "place", (F.col("n") - discount * F.col("total") / samples).alias("own"))
+    return asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(answer, ANSWER)
+
+
+ANSWER = "block long, paired boolean, bucket long, at binary, values binary"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Files of a query's shuffles go when the query ends: what is read later is stored."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def scored(
     df: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     sweeps: int = 2,
-    steps: int = 4,
+    burn_in: int = 1,
     strength: float = 1.0,
     spelling_discount: float = 0.5,
     block_tokens: int = 1_000_000,
+    bucket_tokens: int = 3_000_000,
 ) -> DataFrame:
     """One row for each row of `df`: key, held_out, n_tokens, n_known, train_tokens, base_score,
     score and perplexity (10 to the minus mean score of a token).
 
     A null or empty text has its end alone. Null keys count as the empty text for the choice
     of training documents; repeated rows are documents of their own; an empty table gives an
-    empty result. Without training tokens every word is unseen, with probability one.
+    empty result. Without training tokens a word has the uniform law of its bytes.
     """
-    spark = df.sparkSession
+    with shuffles_freed(df.sparkSession):
+        return _scored(df, key, text, max(sweeps, 1), burn_in, strength, spelling_discount, block_tokens, bucket_tokens)
+
+
+def estimated(once: int | None, twice: int | None) -> float:
+    """A discount from the numbers of dishes with one and with two customers."""
+    return min(max(once / (once + 2 * (twice or 0)), 0.05), 0.95) if once else 0.5
+
+
+def _scored(df, key, text, sweeps, burn_in, strength, spelling_discount, block_tokens, bucket_tokens) -> DataFrame:
     blocks = stored(blocks_of(df, key, text, block_tokens), "blocks")
     each = blocks.select("block", F.posexplode(F.arrays_zip("words", "train")).alias("at", "x")).select("block", "at", "x.words", "x.train")
-    words = stored(each.groupBy(F.col("words").alias("word")).agg(F.sum("train").alias("n")), "words")
-    seen = words.where("n > 0")
-    facts = seen.agg(F.sum("n"), F.count(F.lit(1)), F.sum((F.col("n") == 1).cast("int")), F.sum((F.col("n") == 2).cast("int"))).first()
-    train, kinds, once, twice = (int(x or 0) for x in facts)
-    discount = min(max(once / (once + 2 * twice), 0.05), 0.95) if once else 0.5
-    state = seen.withColumn("sizes", F.lit(None).cast("array<bigint>"))
-    spelling, opened, samples = None, float(kinds), []
-    for sweep in range(sweeps if train else 0):
-        spelling = spelled(gram_counts(state), spelling, spelling_discount, strength, steps)
-        law = spark.sparkContext.broadcast(spelling.levels)  # at most 257**3 rows
-
-        def sit(frames: Iterator[pd.DataFrame], opened=opened, law=law, sweep=sweep) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                names = [w.encode("utf-8", "surrogatepass") for w in frame["word"]]
-                n = frame["n"].to_numpy()
-                p = Spelling(law.value).words(names)
-                weight = (strength + discount * opened) * p
-                many = np.flatnonzero(n > 1)
-                rng = np.random.default_rng(xxhash.xxh3_64_intdigest(names[0]) + sweep)
-                if sweep:
-                    old = [frame["sizes"].iloc[i] for i in many.tolist()]
-                else:
-                    old = seated(n[many], mean_tables(n[many], weight[many], discount))
-                new = iter(reseated(old, weight[many], discount, steps, rng))
-                one = np.ones(1, np.int64)
-                sizes = [next(new) if c > 1 else one for c in n.tolist()]
-                yield frame.assign(**{"sizes": sizes, f"t{sweep}": list(map(len, sizes)), f"p{sweep}": p})
-
-        # a sample is what a word's score needs of a sweep: its tables and its spelling's chance
-        kept = "".join(f", t{i} long, p{i} double" for i in range(sweep + 1))
-        state = stored(state.mapInPandas(sit, "word string, n long, sizes array<bigint>" + kept), "seats")
-        opened = float(state.agg(F.sum(f"t{sweep}")).first()[0])
-        samples.append(opened)
-    whole = train + strength
-
-    unknown = 0.0  # log of the chance of any word that training has not seen; certain without training
-    known = seen.withColumn("log_p", F.lit(0.0))
-    if samples:
-        own = sum((F.col("n") - discount * F.col(f"t{i}")) / whole for i in range(sweeps)) / sweeps
-        new = sum((strength + discount * total) / whole * F.col(f"p{i}") for i, total in enumerate(samples)) / sweeps
-        known = state.select("word", "n", F.log10(own + new).alias("log_p"), new.alias("new"))
-        mass = sum((strength + discount * total) / whole for total in samples) / sweeps
-        unknown = math.log10(max(mass - (known.agg(F.sum("new")).first()[0] or 0.0), 1e-12))
-    matched = each.join(known.withColumnRenamed("word", "words"), "words", "left").select(
-        "block", "at", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("log_p", F.lit(unknown)).alias("log_p")
-    )
-    # arrays of plain numbers take half of what an array of structs takes
-    lists = [F.collect_list(c).alias(c) for c in ("at", "n", "log_p")]
-    answers = matched.withColumn("log_p", F.col("log_p").cast("float")).groupBy("block").agg(*lists)
+    words = each.groupBy(F.col("words").alias("word")).agg(F.sum("train").alias("n"))
+    words = stored(words.withColumn("mark", F.monotonically_increasing_id()), "words")
+    parts = {r["part"]: r["rows"] for r in words.groupBy(F.shiftright("mark", 33).alias("part")).agg(F.count(F.lit(1)).alias("rows")).collect()}
+    before = np.cumsum([0, *(parts.get(i, 0) for i in range(max(parts, default=0) + 1))]).tolist()
+    if before[-1] >> 32:
+        raise ValueError("a word's number has 32 bits")
+    number = F.element_at(F.lit(before), F.shiftright("mark", 33).cast("int") + 1) + F.col("mark").bitwiseAND(F.lit((1 << 33) - 1))
+    words = words.select(number.cast("long").alias("id"), "word", "n")
+    train, kinds = (int(x or 0) for x in words.where("n > 0").agg(F.sum("n"), F.count(F.lit(1))).first())
+
+    lists = [F.collect_list(c).alias(c) for c in ("at", "id", "n")]  # lists of plain numbers take half of what structs take
+    matched = each.drop("train").join(words.withColumnRenamed("word", "words"), "words").groupBy("block").agg(*lists)
+    documents = blocks.select("block", "keys", "held", "sizes", "tokens")
+    numbered = stored(documents.join(matched, "block"), "numbered")
+    dropped(blocks)
+    tokens = numbered.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    pairs = stored(pair_counts(numbered, -(-tokens // bucket_tokens) or 1), "pairs")
+    discount = estimated(*pairs.agg(F.sum("once"), F.sum("twice")).first())
+    seats = stored(repeated_pairs(pairs), "pair-seats")
+
+    first = [(F.col("n") > 0).cast("long").alias("tables"), F.lit(0.0).alias("spelled"), F.lit(None).cast("array<bigint>").alias("sizes")]
+    state = stored(with_customers(words, seats).select("*", *first), "words")
+    ones = [F.sum((F.col("customers") == i).cast("int")) for i in (1, 2)]
+    word_discount = estimated(*state.agg(*ones).first())
+    spelling, opened, names = None, float(kinds), []
+    for sweep in range(burn_in + sweeps + 1):
+        if sweep:  # before the first sweep, the words' law comes from a table a pair
+            old = seats
+            seats = stored(pair_seats(seats, state, discount, strength, sweep > burn_in, sweep), "pair-seats")
+            dropped(old)
+            state = with_customers(state.drop("customers", "opened", "chance"), seats).select(*state.drop("chance").columns)
+        spelling = spelled(gram_counts(state), spelling, spelling_discount, strength) if train else UNIFORM
+        state = stored(word_seats(state, spelling, opened, word_discount, strength, sweep), "words")
+        opened = float(state.agg(F.sum("tables")).first()[0] or 0)
+        state = with_chance(state, word_discount, strength)
+        if sweep > burn_in:
+            ends = {f"p{sweep}": F.col("chance") / math.log(10), f"b{sweep}": F.log10((strength + discount * F.col("opened")) / (strength + F.col("n")))}
+            names += ends
+            state = state.select("*", *(v.cast("float").alias(k) for k, v in ends.items()))
+
+    answers = word_answers(numbered, state, names).unionByName(pair_answers(pairs, seats, discount, sweeps))
+    answers = answers.groupBy("block").agg(F.collect_list(F.struct("paired", "bucket", "at", "values")).alias("answers"))
+    buckets = -(-tokens // bucket_tokens) or 1
     kind = df.schema[key].dataType
     row = T.StructType(
         [
@@ -336,26 +580,38 @@ def scored(
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         whole = np.log10(train + kinds + 1.0)
         for frame in frames:
-            for at, n, log_p, keys, held, sizes, tokens in zip(*(frame[c] for c in ("at", "n", "log_p", "keys", "held", "sizes", "tokens")), strict=True):
-                counts, logs = np.zeros(len(at)), np.zeros(len(at))
-                counts[at], logs[at] = n, log_p
-                ids = np.frombuffer(tokens, "<u4")
+            for _, block in frame.iterrows():
+                ident, n, sizes, held, tokens = block_arrays(block)
+                keys, first, pair, count, previous = pairs_of(ident, sizes, held, tokens)
+                told = {(x["paired"], x["bucket"]): x for x in block["answers"]}
+                law = [np.frombuffer(told[x]["values"], "<f4").reshape(-1, len(names)) for x in sorted(told) if not x[0]]
+                laws = np.zeros((len(ident), len(names)))
+                laws[np.argsort(ident)] = np.concatenate(law)
+                own = np.where(count == 1, 1 - discount, 0.0)  # what is not told: seen here once or nowhere
+                for bucket, places in in_buckets(keys, buckets):
+                    x = told[True, bucket]
+                    own[places[np.frombuffer(x["at"], "<u4")]] = np.frombuffer(x["values"], "<f4")
+                left, right = previous[first], tokens[first]
+                back = laws[right][:, ::2] + laws[left][:, 1::2]
+                most = back.max(axis=1)
+                back = most + np.log10(np.mean(10.0 ** (back - most[:, None]), axis=1))
+                with np.errstate(divide="ignore"):
+                    own = np.log10(own / (strength + n[left]))
+                most = np.maximum(own, back)
+                logs = most + np.log10(10.0 ** (own - most) + 10.0 ** (back - most))
                 starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                base = np.log10(counts + 1) - whole
                 yield pd.DataFrame(
                     {
-                        "key": keys,
+                        "key": block["keys"],
                         "held_out": held,
-                        "n_tokens": np.asarray(sizes, np.int64),
-                        "n_known": np.add.reduceat((counts > 0)[ids].astype(np.int64), starts),
-                        "base_score": np.add.reduceat(base[ids], starts),
-                        "score": np.add.reduceat(logs[ids], starts),
+                        "n_tokens": sizes,
+                        "n_known": np.add.reduceat((n > 0)[tokens].astype(np.int64), starts),
+                        "base_score": np.add.reduceat((np.log10(n + 1) - whole)[tokens], starts),
+                        "score": np.add.reduceat(logs[pair], starts),
                     }
                 )
 
-    both = blocks.select("block", "keys", "held", "sizes", "tokens").join(answers, "block")
-    flat = both.select("at", "n", "log_p", "keys", "held", "sizes", "tokens")
-    out = flat.mapInPandas(score, row)
+    out = numbered.join(answers, "block").mapInPandas(score, row)
     return out.select(
         F.col("key").alias(key),
         "held_out",

@@ -462,6 +462,58 @@ def test_language_model(docs, nothing):
     assert pitman_yor.scored(nothing).count() == 0
 
 
+def test_language_model_knows_the_word_before(spark):
+    """The same words in another order score lower, unseen words by their spelling."""
+    r = random.Random(11)
+    follow = {w: r.sample(WORDS, 2) for w in WORDS}
+
+    def walk(n):
+        out = [r.choice(WORDS)]
+        while len(out) < n:
+            out.append(r.choice(follow[out[-1]]))
+        return out
+
+    held = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    train = [i for i in range(300) if zlib.crc32(str(i).encode()) % 7 != 2]
+    probe = walk(200)
+    mixed = r.sample(probe, len(probe))
+    rows = [(i, " ".join(walk(60))) for i in train]
+    rows += [(held[0], " ".join(probe)), (held[1], " ".join(mixed)), (held[2], "ba kuha"), (held[3], "ba qxzwv")]
+    got = by_id(pitman_yor.scored(spark.createDataFrame(rows, "doc_id long, text string"), block_tokens=3000, bucket_tokens=5000))
+    assert got[held[0]]["base_score"] == pytest.approx(got[held[1]]["base_score"])
+    assert got[held[0]]["score"] > got[held[1]]["score"] + 50 and got[held[0]]["score"] > got[held[0]]["base_score"] + 50
+    assert got[held[2]]["base_score"] == pytest.approx(got[held[3]]["base_score"]) and got[held[2]]["score"] > got[held[3]]["score"]
+
+
+def test_tables_are_drawn_from_their_law():
+    """Against the law summed over all seatings of five customers; large dishes by reseating."""
+
+    def partitions(items):
+        if not items:
+            yield []
+            return
+        for rest in partitions(items[1:]):
+            yield [[items[0]], *rest]
+            for i in range(len(rest)):
+                yield rest[:i] + [[items[0], *rest[i]]] + rest[i + 1 :]
+
+    discount, weight, law = 0.4, 0.7, np.zeros(6)
+    for seating in partitions(list(range(5))):
+        law[len(seating)] += weight ** len(seating) * math.prod(math.prod(i - discount for i in range(1, len(t))) for t in seating)
+    law /= law.sum()
+    rng = np.random.default_rng(3)
+    n = 20_000
+    tables, kept = pitman_yor.drawn_tables(np.full(n, 5), np.full(n, weight), discount, rng)
+    assert np.bincount(tables, minlength=6) / n == pytest.approx(law, abs=0.015) and kept == [None] * n
+    sizes, seen = [np.array([5])], []
+    for _ in range(n // 4):
+        sizes = pitman_yor.reseated(sizes, np.array([weight]), discount, None, rng)
+        seen.append(len(sizes[0]))
+    assert np.bincount(seen, minlength=6) / len(seen) == pytest.approx(law, abs=0.03)
+    tables, kept = pitman_yor.drawn_tables(np.array([1, 5000, 0]), np.array([1.0, 3.0, 1.0]), discount, rng)
+    assert tables[0] == 1 and tables[2] == 0 and kept[1].sum() == 5000 and len(kept[1]) == tables[1] and kept[0] is None
+
+
 def test_seating_keeps_its_customers():
     rng = np.random.default_rng(1)
     count = np.array([2, 3, 10, 500, 7])
