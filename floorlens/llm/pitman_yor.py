@@ -33,7 +33,6 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -44,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from floorlens.llm.common import dropped, mix, stored, text_of
+from floorlens.llm.common import dropped, mix, shuffles_freed, stored, text_of
 
 END = ""  # the end of a text, as a word: no word is empty
 STOP = 256  # the end of a word, as a byte
@@ -480,18 +479,6 @@ def pair_answers(pairs: DataFrame, seats: DataFrame, discount: float, samples: i
 ANSWER = "block long, paired boolean, bucket long, at binary, values binary"
 
 
-@contextmanager
-def shuffles_freed(spark: SparkSession):
-    """Files of a query's shuffles go when the query ends: what is read later is stored."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, "false")
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def scored(
     df: DataFrame,
     key: str = "doc_id",

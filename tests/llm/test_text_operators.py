@@ -412,6 +412,36 @@ def test_repeated_paragraphs_taken_out(spark):
     assert digest[2]["n_repeats"] == 1 and digest[2]["class_ids"] == "1" and digest[4]["n_repeats"] == 0
 
 
+def test_passages_without_a_whole_paragraph(spark):
+    """Any 51 words that two rows share are found, wherever they are cut; 41 words are not."""
+    rows, shared = [], {}
+    for i in range(60):
+        n = 53 if i < 30 else 41
+        words = prose(n, 2000 + i)
+        for side in (0, 1):
+            shared[2 * i + side] = n
+            rows.append((2 * i + side, f"{prose(30 + 7 * i % 40, 3000 + 2 * i + side)} {words} {prose(60, 5000 + 2 * i + side)}"))
+    rows += [(500, None), (501, ""), (502, f"{prose(60, 7000)} {prose(60, 7001)} {prose(60, 7000)}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in paragraph_dedup.repeats_digest(paragraph_dedup.repeated(df, least_words=51)).collect()}
+    assert len(got) == len(rows)
+    for key, n in shared.items():
+        assert got[key]["n_repeats"] == (n > 50), (key, n)
+        assert (got[key]["n_removed"] > 0) == (n > 50 and key % 2 == 1)  # the first row keeps it
+    assert all(got[k]["n_repeats"] == 0 for k in (500, 501, 502))
+
+
+def test_chosen_windows_of_a_shared_run():
+    hashes = WordHashes()
+    for seed in range(30):
+        run = hashes.of(words_of(prose(51, 800 + seed)))
+        texts = [np.concatenate([hashes.of(words_of(prose(n, 900 + seed + n))), run, hashes.of(words_of(prose(20, seed + n)))]) for n in (3, 71)]
+        text, first, values = paragraph_dedup.chosen_windows([texts[0], run[:50], texts[1]])
+        assert set(values[text == 0].tolist()) & set(values[text == 2].tolist()) and not (text == 1).any()
+        whole = np.concatenate([texts[0], run[:50], texts[1]])
+        assert all(len(set(values[np.all([(whole[first + k] == whole[f + k]) for k in range(42)], axis=0)].tolist())) == 1 for f in first.tolist())
+
+
 def test_paragraph_cuts_follow_the_words():
     hashes = WordHashes()
     for seed in range(40):
