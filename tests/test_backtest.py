@@ -1,5 +1,6 @@
 """The back-test against a brute-force walk over days, rows and strategies."""
 
+import collections
 import datetime as dt
 import math
 import random
@@ -257,3 +258,53 @@ def test_outcome_totals_equal_a_loop(spark):
     for c, (n, wins, pay, pays, days) in want.items():
         x = got[c]
         assert (x["n"], x["wins"] or 0, x["pays"], x["days"]) == (n, wins, pays, len(days)) and (x["pay"] or 0.0) == pytest.approx(pay)
+
+
+def test_strategies_are_columns_and_a_walk_does_not_depend_on_batches(spark):
+    """No row for a strategy, no window or grouping over strategies; days that batches cut in two, rows that come
+    again and rows without a day, unit or profile give what one batch gives."""
+    types = ["date", "string", "string", "bigint", "bigint", "bigint"] + (["double"] * 5 + ["bigint"]) * 2
+    data = mart_rows(11, days=10)
+    data += [(None if i % 3 else r[0], *r[1:3], None if i % 3 == 1 else r[3], *r[4:]) for i, r in enumerate(data[:9])]
+    mart = spark.createDataFrame(data, ", ".join(f"{c} {t}" for c, t in zip(COLS, types)))
+    params = spark.createDataFrame([("V", "M", 100, p) for p in ("island", "espas", None)], "hole string, machine string, evaluation_days int, special_day_type string")
+    rows = stored(bt.evaluation_rows(mart, params))
+    scores, record = bt.unit_scores(rows), bt.asked_record(rows)
+    for df in (scores, record):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "array_union" not in plan and "Aggregate" not in plan and "strategy" not in "".join(x for x in plan.splitlines() if "Window" in x)
+    whole = [collections.Counter(map(str, df.collect())) for df in (scores, record)]
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        pieces = [collections.Counter(map(str, df.select("*").collect())) for df in (scores.select("hole", "special_day_type", "target_date", "machine_number", "actual", "score_method", "total_score", "refs"), record.drop("rec_payout_rate", "effectiveness"))]
+        assert whole[1] and not any(r.special_day_type is None or r.target_date is None for r in record.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    again = [scores.select("hole", "special_day_type", "target_date", "machine_number", "actual", "score_method", "total_score", "refs"), record.drop("rec_payout_rate", "effectiveness")]
+    assert pieces == [collections.Counter(map(str, df.collect())) for df in again]
+
+
+def test_summary_multiplies_sums_not_rows_by_rules(spark):
+    """Rules multiply the sums of alike rows; days and units of each rule equal a literal count."""
+    types = ["date", "string", "string", "bigint", "bigint", "bigint"] + (["double"] * 5 + ["bigint"]) * 2
+    mart = spark.createDataFrame(mart_rows(3), ", ".join(f"{c} {t}" for c, t in zip(COLS, types)))
+    params = [bt.BacktestParam("V", "M", n) for n in (4, 8, 100)]
+    picks = bt.score_picks(bt.unit_scores(stored(bt.evaluation_rows(mart, params)))).localCheckpoint()
+    summary = bt.backtest_summary(picks, params, D(2024, 2, 6))
+    plan = summary._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = next(i for i, line in enumerate(plan) if "Generate explode" in line)
+    assert any("Aggregate" in line for line in plan[below:])
+    want = {}
+    for r in picks.collect():
+        rules = {f"TOP{k}" for k in fixed.TOP_RULES if r["rank"] <= k} | {f"THRESHOLD_{p}PCT" for p in fixed.THRESHOLD_RULES if r.total_score >= r.top1_score * (p / 100)}
+        rules |= {"OUTLIER"} if r.total_score >= r.outlier_threshold else set()
+        for n in (4, 8, 100):
+            if r.actual and r.target_date >= D(2024, 2, 6) - dt.timedelta(days=n):
+                for rule in rules:
+                    want.setdefault((n, r.score_method, rule), []).append((r.target_date, r.actual["diff"]))
+    got = {(r.evaluation_days, r.score_method, r.result_key): r for r in summary.collect()}
+    assert got.keys() == want.keys()
+    for key, x in want.items():
+        r, diffs = got[key], [d for _, d in x]
+        assert (r.evaluation_days_count, r.total_machines, r.total_diff, r.max_diff, r.min_diff) == (len({d for d, _ in x}), len(x), sum(diffs), max(diffs), min(diffs))
