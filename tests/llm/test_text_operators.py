@@ -442,6 +442,43 @@ def test_chosen_windows_of_a_shared_run():
         assert all(len(set(values[np.all([(whole[first + k] == whole[f + k]) for k in range(42)], axis=0)].tolist())) == 1 for f in first.tolist())
 
 
+def test_all_pairs_of_a_large_group_are_compared(spark):
+    """A group beyond the block size has the components of all its pairs, whatever further hash values say, and many
+    copies give about a row each."""
+    r = random.Random(8)
+    sets = {}
+    for family in range(30):
+        base = r.sample(range(1000, 10**6), 18)
+        for member in range(5):
+            sets[f"N{family:02}{member}"] = sorted({1, 2, *base[: 18 - r.randint(0, 1)], *r.sample(range(10**6, 10**7), r.randint(0, 3))})
+    alike = {f"C{i:03}": [1, 2, *range(3, 30), 100 + i] for i in range(150)}
+    for held, most in ((sets, None), (alike, 3 * len(alike))):
+        pack = [(n, np.array(x, "<u8").tobytes(), [i * 7 + k for k in range(4)]) for i, (n, x) in enumerate(held.items())]
+        shingles = spark.createDataFrame(pack, "node string, shingles binary, more array<bigint>")
+        groups = spark.createDataFrame([(5, n) for n in held], "group long, node string")
+        found = [(x[0], x[1]) for x in paragraph_dedup.paragraph_links(groups, shingles, 0.8, 16).collect()]
+        want = similar.forest(np.array([[a < b and len({*held[a]} & {*held[b]}) >= 0.8 * len({*held[a]} | {*held[b]}) - 1e-9 for b in held] for a in held]), [*held], [*held])
+        full = np.ones((1, 1), bool)
+        assert want and not [e for a, b in want for e in similar.forest(full, [a], [b], _spanned(found, a, b))]
+        assert not [e for a, b in found for e in similar.forest(full, [a], [b], _spanned(want, a, b))]
+        assert most is None or len(found) < most
+
+
+def _spanned(edges, a, b):
+    """[(a, b)] if the edges connect them, else nothing."""
+    seen, left = {a}, [a]
+    near = {}
+    for x, y in edges:
+        near.setdefault(x, []).append(y)
+        near.setdefault(y, []).append(x)
+    while left:
+        for y in near.get(left.pop(), []):
+            if y not in seen:
+                seen.add(y)
+                left.append(y)
+    return [(a, b)] if b in seen else []
+
+
 def test_paragraph_cuts_follow_the_words():
     hashes = WordHashes()
     for seed in range(40):
